@@ -1,0 +1,5 @@
+"""Intentionally empty: every stage of this engine is a batch full refresh.
+
+The inventory holds no stream source, watermark or stateful operator, so
+nothing belongs here.
+"""
