@@ -89,7 +89,24 @@ _CTES = {
         ORDER BY paid_total DESC, member_region LIMIT 10""",
 }
 
+_CTES["feed"] = (
+    _CTES["claim"].replace(
+        "SELECT concat_ws",
+        "SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS ord,\n"
+        "               l_linestatus, l_quantity, concat_ws",
+        1,
+    )
+)
+_CTES["first_claim"] = "SELECT * FROM feed QUALIFY row_number() OVER (PARTITION BY member_id ORDER BY ord) = 1"
+_CTES["cost"] = """
+        SELECT member_id, dob, member_region, in_network, sum(paid_amount) AS paid_total
+        FROM joined GROUP BY ALL"""
+_CTES["threshold"] = "SELECT quantile_cont(CAST(paid_total AS DOUBLE), 0.9) AS t FROM cost"
+
 _NEEDS = {
+    "first_claim": ["feed"],
+    "cost": ["joined"],
+    "threshold": ["cost"],
     "dim_member": ["member"],
     "joined": ["claim", "dim_member", "provider"],
     "kpis": ["joined"],
@@ -292,4 +309,160 @@ ORACLES: dict[str, str] = {
         ["diagnosis_summary"],
         "SELECT * FROM diagnosis_summary ORDER BY paid_total DESC, diagnosis_code NULLS LAST LIMIT 10",
     ),
+    "map_feed": _with(
+        ["feed"],
+        """
+        SELECT diagnosis_code, '99213' AS procedure_code,
+               CASE WHEN l_linestatus = 'F' THEN 'F' ELSE 'M' END AS gender, place_of_service AS region,
+               'Office' AS place_of_service, CAST(0 AS DOUBLE) AS billed_amount, CAST(0 AS DOUBLE) AS allowed_amount,
+               count(claim_id) AS claims, CAST(sum(paid_amount) AS DOUBLE) AS paid_total,
+               min(service_date) AS first_service
+        FROM feed GROUP BY 1, 2, 3, 4""",
+    ),
+    "derive_members": _with(
+        ["first_claim"],
+        f"""
+        SELECT member_id, member_id AS person_id,
+               {AS_OF} - CAST(ceil((CASE WHEN l_quantity < 3 THEN 0 ELSE l_quantity + 17 END) * 365.25) AS INTEGER) AS dob,
+               CASE WHEN l_linestatus = 'F' THEN 'F' ELSE 'M' END AS gender, place_of_service AS region,
+               DATE '2023-01-01' AS effective_date, CAST(NULL AS DATE) AS termination_date
+        FROM first_claim""",
+    ),
+    "derive_providers": """
+        SELECT DISTINCT 'P' || l_suppkey AS provider_id, 'Unknown' AS specialty, true AS in_network,
+               'Unknown' AS region FROM lineitem""",
+    "surrogate_keys": _with(
+        ["feed"],
+        """
+        , firsts AS (
+          SELECT provider_id AS code, min(ord) AS first_ord, count(*) AS claims,
+                 CAST(sum(paid_amount) AS DOUBLE) AS paid_total FROM feed GROUP BY 1)
+        SELECT row_number() OVER (ORDER BY first_ord) AS provider_id, 'P' || code AS provider_code,
+               claims, paid_total FROM firsts""",
+    ),
+    "serial_claim_ids": _with(
+        ["feed"],
+        """
+        SELECT 'P' || provider_id AS provider_id, min(ord) AS first_id, max(ord) AS last_id,
+               CAST(sum(ord) AS BIGINT) AS id_sum, count(DISTINCT ord) AS ids FROM feed GROUP BY 1""",
+    ),
+    "fk_orphans": """
+        SELECT l_suppkey AS provider_id, count(*) AS claims FROM lineitem
+        WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0) GROUP BY 1""",
+    "overlong_codes": """
+        SELECT 'diagnosis_code' AS column_name, count(*) FILTER (length(p_name) > 8) AS too_long,
+               min(p_name) FILTER (length(p_name) > 8) AS example
+        FROM lineitem JOIN part ON l_partkey = p_partkey
+        UNION ALL
+        SELECT 'procedure_code', count(*) FILTER (length(p_type) > 8), min(p_type) FILTER (length(p_type) > 8)
+        FROM lineitem JOIN part ON l_partkey = p_partkey""",
+    "member_cost": _with(
+        ["cost"],
+        "SELECT member_id, dob, member_region, in_network, CAST(paid_total AS DOUBLE) AS paid_total FROM cost",
+    ),
+    "high_cost_threshold": _with(
+        ["cost", "threshold"],
+        """
+        SELECT round(any_value(t), 4) AS threshold, count(*) AS members,
+               count(*) FILTER (CAST(paid_total AS DOUBLE) > t) AS above FROM cost, threshold""",
+    ),
+    "high_cost_labels": _with(
+        ["cost", "threshold"],
+        """
+        SELECT member_id, in_network, CAST(CAST(paid_total AS DOUBLE) > t AS INTEGER) AS high_cost
+        FROM cost, threshold""",
+    ),
+    "class_balance": _with(
+        ["cost", "threshold"],
+        """
+        SELECT CAST(CAST(paid_total AS DOUBLE) > t AS INTEGER) AS high_cost, count(*) AS members
+        FROM cost, threshold GROUP BY 1""",
+    ),
+    "split_balance": _with(
+        ["cost", "threshold"],
+        """
+        , n AS (SELECT CAST(CAST(paid_total AS DOUBLE) > t AS INTEGER) AS high_cost, count(*) AS n
+                FROM cost, threshold GROUP BY 1),
+        share AS (SELECT *, n * ceil(sum(n) OVER () * 0.2) / sum(n) OVER () AS exact,
+                         ceil(sum(n) OVER () * 0.2) AS wanted FROM n),
+        sized AS (SELECT *, floor(exact) + CASE WHEN row_number() OVER (ORDER BY exact - floor(exact) DESC, high_cost)
+                         <= wanted - sum(floor(exact)) OVER () THEN 1 ELSE 0 END AS tests FROM share)
+        SELECT 'test' AS side, high_cost, CAST(tests AS BIGINT) AS members FROM sized
+        UNION ALL SELECT 'train', high_cost, CAST(n - tests AS BIGINT) FROM sized""",
+    ),
+    "profile": _with(
+        ["claim"],
+        "\n        UNION ALL ".join(
+            f"""SELECT '{c}' AS column_name, count({c}) AS non_null, count(DISTINCT {c}) AS unique_values,
+                   (SELECT CAST(v AS VARCHAR) FROM (SELECT {c} AS v, count(*) AS n FROM claim WHERE {c} IS NOT NULL
+                    GROUP BY 1) ORDER BY n DESC, CAST(v AS VARCHAR) LIMIT 1) AS top,
+                   (SELECT max(n) FROM (SELECT count(*) AS n FROM claim WHERE {c} IS NOT NULL GROUP BY {c})) AS freq,
+                   {f"round(avg(CAST({c} AS DOUBLE)), 4)" if numeric else "CAST(NULL AS DOUBLE)"} AS mean,
+                   {f"round(stddev_samp(CAST({c} AS DOUBLE)), 4)" if numeric else "NULL"} AS std,
+                   {f"min(CAST({c} AS DOUBLE))" if numeric else "CAST(NULL AS DOUBLE)"} AS min,
+                   {f"max(CAST({c} AS DOUBLE))" if numeric else "CAST(NULL AS DOUBLE)"} AS max,
+                   {", ".join(
+                       (f"round(quantile_cont(CAST({c} AS DOUBLE), {q}), 4)" if numeric else "CAST(NULL AS DOUBLE)")
+                       + f" AS p{int(q * 100)}" for q in (0.25, 0.5, 0.75))}
+            FROM claim"""
+            for c, numeric in {
+                "member_id": True,
+                "provider_id": True,
+                "diagnosis_code": False,
+                "place_of_service": False,
+                "billed_amount": True,
+                "paid_amount": True,
+            }.items()
+        ),
+    ),
+    "lookup_fill": _with(
+        ["claim"],
+        """
+        SELECT place_of_service, CASE WHEN place_of_service IN ('1-URGENT', '2-HIGH') THEN 'hospital'
+               WHEN place_of_service = '5-LOW' THEN 'office' ELSE '' END AS care, count(*) AS claims
+        FROM claim GROUP BY ALL""",
+    ),
+    "class_means": _with(
+        ["claim", "dim_member"],
+        """
+        SELECT CASE WHEN age >= 40 THEN 'Senior' ELSE 'Junior' END AS age_group, count(paid_amount) AS n,
+               round(avg(CAST(paid_amount AS DOUBLE)), 4) AS mean,
+               round(stddev_samp(CAST(paid_amount AS DOUBLE)), 4) AS std,
+               min(CAST(paid_amount AS DOUBLE)) AS minimum, max(CAST(paid_amount AS DOUBLE)) AS maximum
+        FROM claim JOIN dim_member USING (member_id) GROUP BY 1""",
+    ),
+    "group_mean": _with(
+        ["claim"],
+        """
+        SELECT diagnosis_code, round(avg(CAST(billed_amount AS DOUBLE)), 4) AS mean_billed
+        FROM claim GROUP BY 1""",
+    ),
+    "frequency": _with(
+        ["claim"],
+        """
+        SELECT place_of_service, count(*) AS rows FROM claim WHERE place_of_service IS NOT NULL
+        GROUP BY 1 ORDER BY rows DESC, 1""",
+    ),
+    "bin_members": _with(
+        ["dim_member"],
+        """
+        SELECT CASE WHEN age > 0 AND age <= 30 THEN 'Young' WHEN age > 30 AND age <= 40 THEN 'Middle'
+                    WHEN age > 40 AND age <= 100 THEN 'Old' END AS age_category, age_band,
+               count(*) AS members, min(age) AS youngest, max(age) AS oldest
+        FROM dim_member GROUP BY ALL""",
+    ),
+    "date_parts": """
+        SELECT service_date, strftime(service_date, '%B %d, %Y') AS written,
+               CAST(service_date + INTERVAL 30 DAY AS DATE) AS due,
+               CAST(date_trunc('month', service_date) AS DATE) AS month, claims
+        FROM (SELECT CAST(l_shipdate AS DATE) AS service_date, count(*) AS claims FROM lineitem GROUP BY 1)""",
+    "rounding_kinds": """
+        SELECT x, round_even(x, 2) AS half_even, round(x, 2) AS half_up, rows
+        FROM (SELECT l_quantity / 8 AS x, count(*) AS rows FROM lineitem GROUP BY 1)""",
+    "redacted_urls": """
+        SELECT s_suppkey, 'db://' || lower(s_name) || ':***@host/claims' AS url FROM supplier""",
+    "synthetic_claims": """
+        SELECT count(*) AS claims, count(*) AS ids, CAST(0 AS BIGINT) AS bad_members,
+               CAST(0 AS BIGINT) AS bad_providers, CAST(0 AS BIGINT) AS bad_amounts, CAST(0 AS BIGINT) AS bad_dates,
+               CAST(15 AS BIGINT) AS diagnoses FROM lineitem""",
 }

@@ -11,8 +11,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.plans import adhoc, marts, quality, reports, warehouse
-from claimloom.sources.sample_tables import AS_OF, CALENDAR_START, SampleTables
+from claimloom.functions.exprs import (
+    age_band,
+    age_years,
+    bin_column,
+    days_after,
+    either,
+    long_date,
+    month_start,
+    redact_password,
+    round_even,
+)
+from claimloom.operators import keys, lookup, mapping, summaries, validate
+from claimloom.operators.joins import orphan_rows
+from claimloom.operators.ordinals import ORD, stage_in_order
+from claimloom.plans import adhoc, classifier, ingest, marts, quality, reports, warehouse
+from claimloom.session import stage
+from claimloom.sources import synthetic
+from claimloom.sources.sample_tables import AS_OF, CALENDAR_START, ORDER_KEYS, SampleTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -123,10 +139,8 @@ def missing_refs(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def duplicate_claims(spark: SparkSession, folder: str) -> DataFrame:
     """Claim numbers given out more than once (order and line number alone are not unique)."""
-    from claimloom.operators.validate import duplicate_keys
-
     lines = SampleTables(spark, folder).table("lineitem")
-    return duplicate_keys(lines.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("claim_no")), "claim_no")
+    return validate.duplicate_keys(lines.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("claim_no")), "claim_no")
 
 
 # ---- SQL over the warehouse ----------------------------------------------------
@@ -221,3 +235,306 @@ def network_mart(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def diagnosis_top10(spark: SparkSession, folder: str) -> DataFrame:
     return marts.diagnosis_top10(diagnosis_summary(spark, folder))
+
+
+# ---- ingest --------------------------------------------------------------------
+# Column names of a client's claims file, as its config maps them.
+CLIENT_MAP = {
+    "claim_no": "claim_id",
+    "patient_id": "member_id",
+    "physician_id": "provider_id",
+    "service_dt": "service_date",
+    "icd_code": "diagnosis_code",
+    "cpt_code": "procedure_code",
+    "charge_amt": "paid_amount",
+    "sex": "gender",
+    "patient_state": "region",
+}
+
+
+def client_feed(t: SampleTables) -> DataFrame:
+    """Every claim as a client would send it: own column names, text keys, ages with unreadable values."""
+    claims = t.claims(
+        ["claim_id", "member_id", "provider_id", "service_date", "diagnosis_code", "paid_amount", "place_of_service"],
+        keep=[*ORDER_KEYS, "l_linestatus", "l_quantity"],
+    )
+    return claims.select(
+        *ORDER_KEYS,
+        F.col("claim_id").alias("claim_no"),
+        F.col("member_id").alias("patient_id"),
+        F.concat(F.lit("P"), F.col("provider_id")).alias("physician_id"),
+        F.col("service_date").cast("string").alias("service_dt"),
+        F.col("diagnosis_code").alias("icd_code"),
+        F.col("paid_amount").alias("charge_amt"),
+        F.when(F.col("l_linestatus") == "F", "F").otherwise("M").alias("sex"),
+        F.col("place_of_service").alias("patient_state"),
+        F.when(F.col("l_quantity") < 3, "unknown")
+        .otherwise((F.col("l_quantity") + 17).cast("int").cast("string"))
+        .alias("age"),
+    )
+
+
+def _mapped_feed(t: SampleTables) -> DataFrame:
+    defaults = {
+        "billed_amount": 0.0,
+        "allowed_amount": 0.0,
+        "place_of_service": "Office",
+        "procedure_code": "99213",
+        "service_date": "2023-01-01",
+        "diagnosis_code": "Z00",
+    }
+    return mapping.apply_mapping(client_feed(t), CLIENT_MAP, defaults)
+
+
+@query
+def map_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """The mapped feed by every mapped or defaulted attribute (cpt_code is absent and takes its default)."""
+    attributes = [
+        "diagnosis_code",
+        "procedure_code",
+        "gender",
+        "region",
+        "place_of_service",
+        "billed_amount",
+        "allowed_amount",
+    ]
+    return (
+        _mapped_feed(SampleTables(spark, folder))
+        .groupBy(*attributes)
+        .agg(
+            F.count("claim_id").alias("claims"),
+            F.sum("paid_amount").cast("double").alias("paid_total"),
+            F.min(F.col("service_date").cast("date")).alias("first_service"),
+        )
+    )
+
+
+@query
+def derive_members(spark: SparkSession, folder: str) -> DataFrame:
+    """One member per id from its first claim; claims are ordered by their four key columns."""
+    feed = _mapped_feed(SampleTables(spark, folder))
+    return keys.derive_members(feed, AS_OF, F.struct(*ORDER_KEYS)).drop(ORD)
+
+
+@query
+def derive_providers(spark: SparkSession, folder: str) -> DataFrame:
+    feed = _mapped_feed(SampleTables(spark, folder))
+    return keys.derive_providers(feed, F.struct(*ORDER_KEYS)).drop(ORD)
+
+
+def _provider_claims_in_order(t: SampleTables) -> DataFrame:
+    """Provider code and amount of every claim with its ordinal in key order."""
+    lines = t.claims(["provider_id", "paid_amount"], keep=ORDER_KEYS)
+    lines = lines.withColumn("provider_id", F.concat(F.lit("P"), F.col("provider_id")))
+    return stage_in_order(lines, ORDER_KEYS, "ordered_claims").drop(*ORDER_KEYS)
+
+
+@query
+def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Text provider codes numbered by first appearance, and the claims rewritten to the numbers."""
+    claims = _provider_claims_in_order(SampleTables(spark, folder))
+    dim = keys.derive_providers(claims).withColumn("provider_code", F.col("provider_id"))
+    dim, claims = keys.map_surrogates(dim, claims, "provider_id")
+    totals = claims.groupBy("provider_id").agg(
+        F.count("*").alias("claims"), F.sum("paid_amount").cast("double").alias("paid_total")
+    )
+    return dim.select("provider_id", "provider_code").join(totals, "provider_id")
+
+
+@query
+def serial_claim_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Claims numbered 1..n in key order, checked per provider."""
+    claims = ingest.serial_claim_ids(_provider_claims_in_order(SampleTables(spark, folder)))
+    return claims.groupBy("provider_id").agg(
+        F.min("claim_id").alias("first_id"),
+        F.max("claim_id").alias("last_id"),
+        F.sum("claim_id").alias("id_sum"),
+        F.count_distinct("claim_id").alias("ids"),
+    )
+
+
+@query
+def fk_orphans(spark: SparkSession, folder: str) -> DataFrame:
+    """Provider ids of claims that a provider file of suppliers in credit does not list."""
+    t = SampleTables(spark, folder)
+    listed = t.table("supplier").filter("s_acctbal >= 0").select(F.col("s_suppkey").alias("provider_id"))
+    return orphan_rows(t.claims(["provider_id"]), listed, "provider_id").withColumnRenamed("rows", "claims")
+
+
+@query
+def overlong_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Part names used as codes break the width limit; part types keep it."""
+    t = SampleTables(spark, folder)
+    lines = t.table("lineitem").join(t.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+    codes = lines.select(F.col("p_name").alias("diagnosis_code"), F.col("p_type").alias("procedure_code"))
+    return validate.overlong_codes(codes)
+
+
+# ---- classifier ----------------------------------------------------------------
+def _costs(spark: SparkSession, folder: str) -> DataFrame:
+    t = SampleTables(spark, folder)
+    claims = t.claims(["member_id", "provider_id", "paid_amount"])
+    return classifier.member_cost(claims, t.members(), t.providers())
+
+
+def _labelled(spark: SparkSession, folder: str) -> DataFrame:
+    costs = stage(_costs(spark, folder), "member_cost")
+    return classifier.label_costs(costs, classifier.cost_threshold(costs))
+
+
+@query
+def member_cost(spark: SparkSession, folder: str) -> DataFrame:
+    return _costs(spark, folder).withColumn("paid_total", F.col("paid_total").cast("double"))
+
+
+@query
+def high_cost_threshold(spark: SparkSession, folder: str) -> DataFrame:
+    costs = stage(_costs(spark, folder), "member_cost")
+    threshold = F.lit(classifier.cost_threshold(costs)).cast("double")
+    return costs.agg(
+        F.round(threshold, 4).alias("threshold"),
+        F.count("*").alias("members"),
+        F.count_if(F.col("paid_total").cast("double") > threshold).alias("above"),
+    )
+
+
+@query
+def high_cost_labels(spark: SparkSession, folder: str) -> DataFrame:
+    return _labelled(spark, folder).select("member_id", "in_network", "high_cost")
+
+
+@query
+def class_balance(spark: SparkSession, folder: str) -> DataFrame:
+    return classifier.class_balance(_labelled(spark, folder))
+
+
+@query
+def split_balance(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per class and side of the stratified split."""
+    rows = classifier.features(_labelled(spark, folder), AS_OF)
+    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    train, test = classifier.stratified_split(rows, "label", ["member_id", "in_network"], counts)
+    sides = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+    return sides.groupBy("side", F.col("label").cast("int").alias("high_cost")).agg(F.count("*").alias("members"))
+
+
+@query
+def classifier_accuracy(spark: SparkSession, folder: str) -> DataFrame:
+    rows = classifier.features(_labelled(spark, folder), AS_OF)
+    return classifier.score_frame(spark, classifier.evaluate(rows, ["member_id", "in_network"]))
+
+
+# ---- summaries and worked examples ---------------------------------------------
+@query
+def profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Column profile of the claim table."""
+    claims = SampleTables(spark, folder).claims(
+        ["member_id", "provider_id", "diagnosis_code", "place_of_service", "billed_amount", "paid_amount"]
+    )
+    out = summaries.profile(stage(claims, "claims"))
+    rounded = {c: F.round(c, 4) for c in ("mean", "std", "p25", "p50", "p75")}
+    return out.withColumns(rounded).drop("data_type")
+
+
+# Places that count as hospital or office care (the rest stay unlabelled)
+URGENCY = {"1-URGENT": "hospital", "2-HIGH": "hospital", "5-LOW": "office"}
+
+
+@query
+def lookup_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """Claims by place and by the label a dictionary gives it, empty where it gives none."""
+    claims = SampleTables(spark, folder).claims(["place_of_service", "paid_amount"])
+    filled = lookup.lookup_fill(claims, "place_of_service", "care", URGENCY)
+    return filled.groupBy("place_of_service", "care").agg(F.count("*").alias("claims"))
+
+
+@query
+def class_means(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics of the paid amount per seniority class of the member."""
+    t = SampleTables(spark, folder)
+    senior = either(age_years(F.col("dob"), AS_OF) >= 40, "Senior", "Junior")
+    members = t.members().select("member_id", senior.alias("age_group"))
+    claims = t.claims(["member_id", "paid_amount"]).join(members, "member_id")
+    out = summaries.class_means(claims, "age_group", "paid_amount")
+    return out.withColumns({c: F.round(c, 4) for c in ("mean", "std")})
+
+
+@query
+def group_mean(spark: SparkSession, folder: str) -> DataFrame:
+    claims = SampleTables(spark, folder).claims(["diagnosis_code", "billed_amount"])
+    out = summaries.group_mean(claims, "diagnosis_code", "billed_amount", "mean_billed")
+    return out.withColumn("mean_billed", F.round("mean_billed", 4))
+
+
+@query
+def frequency(spark: SparkSession, folder: str) -> DataFrame:
+    return summaries.frequency(SampleTables(spark, folder).claims(["place_of_service"]), "place_of_service")
+
+
+@query
+def bin_members(spark: SparkSession, folder: str) -> DataFrame:
+    """Members per age class of a three-bin scale and per report band."""
+    age = age_years(F.col("dob"), AS_OF)
+    members = SampleTables(spark, folder).members().select(
+        bin_column(age, [0, 30, 40, 100], ["Young", "Middle", "Old"]).alias("age_category"),
+        age_band(age).alias("age_band"),
+        age.alias("age"),
+    )
+    return members.groupBy("age_category", "age_band").agg(
+        F.count("*").alias("members"), F.min("age").alias("youngest"), F.max("age").alias("oldest")
+    )
+
+
+@query
+def date_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Service days written out, moved by 30 days and cut to the month."""
+    day = F.col("service_date")
+    return (
+        SampleTables(spark, folder)
+        .claims(["service_date"])
+        .groupBy(day)
+        .agg(F.count("*").alias("claims"))
+        .select(
+            day,
+            long_date(day).alias("written"),
+            days_after(day, 30).alias("due"),
+            month_start(day).alias("month"),
+            "claims",
+        )
+    )
+
+
+@query
+def rounding_kinds(spark: SparkSession, folder: str) -> DataFrame:
+    """Half-even against half-up rounding of eighths of every quantity (ties occur)."""
+    eighths = SampleTables(spark, folder).table("lineitem").select((F.col("l_quantity") / 8).alias("x"))
+    return eighths.groupBy("x").agg(F.count("*").alias("rows")).select(
+        "x", round_even(F.col("x"), 2).alias("half_even"), F.round("x", 2).alias("half_up"), "rows"
+    )
+
+
+@query
+def redacted_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """Connection texts made from supplier names, with the password part hidden."""
+    suppliers = SampleTables(spark, folder).table("supplier")
+    url = F.concat(F.lit("db://"), F.lower("s_name"), F.lit(":"), F.col("s_suppkey"), F.lit("@host/claims"))
+    return suppliers.select("s_suppkey", redact_password(url).alias("url"))
+
+
+@query
+def synthetic_claims(spark: SparkSession, folder: str) -> DataFrame:
+    """Synthetic claims, as many as the tables hold rows: counts and broken invariants (all zero)."""
+    t = SampleTables(spark, folder)
+    n_claims, n_members, n_providers = (t.table(n).count() for n in ("lineitem", "customer", "supplier"))
+    claims = synthetic.claims(spark, n_claims, n_members, n_providers)
+    return claims.agg(
+        F.count("*").alias("claims"),
+        F.count_distinct("claim_id").alias("ids"),
+        F.count_if(~F.col("member_id").between(1, n_members)).alias("bad_members"),
+        F.count_if(~F.col("provider_id").between(1, n_providers)).alias("bad_providers"),
+        F.count_if((F.col("allowed_amount") > F.col("billed_amount")) | (F.col("paid_amount") > F.col("allowed_amount"))).alias(
+            "bad_amounts"
+        ),
+        F.count_if(~F.year("service_date").between(2020, 2024)).alias("bad_dates"),
+        F.count_distinct("diagnosis_code").alias("diagnoses"),
+    )
