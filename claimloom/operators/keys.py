@@ -11,6 +11,7 @@ from claimloom.functions.exprs import dob_from_age, is_number, to_key
 from claimloom.model import ROLE_DEFAULTS
 from claimloom.operators.joins import join_dimension, missing_keys
 from claimloom.operators.ordinals import ORD, number_by_ordinal
+from claimloom.session import stage
 
 
 def ensure_claim_keys(claims: DataFrame, ordinal: str = ORD) -> DataFrame:
@@ -68,12 +69,15 @@ def number_by_first_appearance(dim: DataFrame, key: str, out: str, order: str =
     return number_by_ordinal(firsts, ORD, out).select(key, out)
 
 
-def map_surrogates(dim: DataFrame, fact: DataFrame, key: str, order: str = ORD) -> tuple[DataFrame, DataFrame]:
+def map_surrogates(
+    dim: DataFrame, fact: DataFrame, key: str, order: str = ORD, known: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Make ``key`` a BIGINT on both sides.
 
     If every non-null dimension key is a number the numbers are kept and a fact
     key that is none becomes null. Otherwise keys are numbered by first
-    appearance in the dimension, and a fact key without a number is an error.
+    appearance in the dimension, and a fact key without a number is an error
+    (``known`` says that none can occur, the dimension being made from the fact).
     """
     if key not in dim.columns or key not in fact.columns:
         return dim, fact
@@ -83,10 +87,10 @@ def map_surrogates(dim: DataFrame, fact: DataFrame, key: str, order: str = ORD)
         return dim, fact
 
     text = F.col(key).cast("string")
-    known = text.isNotNull()
+    given = text.isNotNull()
     flags = dim.agg(
-        F.coalesce(F.bool_and(F.when(known, is_number(text))), F.lit(True)).alias("numeric"),
-        F.coalesce(F.bool_and(F.when(known, to_key(text).isNotNull())), F.lit(True)).alias("whole"),
+        F.coalesce(F.bool_and(F.when(given, is_number(text))), F.lit(True)).alias("numeric"),
+        F.coalesce(F.bool_and(F.when(given, to_key(text).isNotNull())), F.lit(True)).alias("whole"),
     ).first()
     if flags["numeric"]:
         if not flags["whole"]:
@@ -94,8 +98,8 @@ def map_surrogates(dim: DataFrame, fact: DataFrame, key: str, order: str = ORD)
         return dim.withColumn(key, to_key(text)), fact.withColumn(key, to_key(text))
 
     dim, fact = dim.withColumn(key, text), fact.withColumn(key, text)
-    numbers = number_by_first_appearance(dim, key, "_number", order)
-    unknown = missing_keys(fact, numbers, key).limit(100).collect()  # bounded sample for the message
+    numbers = stage(number_by_first_appearance(dim, key, "_number", order), f"{key}_numbers")
+    unknown = [] if known else missing_keys(fact, numbers, key).limit(100).collect()  # bounded sample for the message
     if unknown:
         shown = ", ".join(repr(r[0]) for r in unknown[:5])
         more = f" (and {len(unknown) - 5} more)" if len(unknown) > 5 else ""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,17 +23,24 @@ def serial_claim_ids(claims: DataFrame, ordinal: str = ORD) -> DataFrame:
     return claims.withColumn("claim_id", F.col(ordinal) + 1)
 
 
-def to_operational(members: DataFrame, providers: DataFrame, claims: DataFrame) -> dict[str, DataFrame]:
-    """Numeric keys, serial claim ids, checked codes, cut descriptions, table types."""
+def to_operational(
+    members: DataFrame, providers: DataFrame, claims: DataFrame, derived: Collection[str] = ()
+) -> dict[str, DataFrame]:
+    """Numeric keys, serial claim ids, checked codes, cut descriptions, table types.
+
+    ``derived`` names the roles that were made from the claims, whose keys need
+    no check against them. Codes are checked before any join is added, on a
+    scan of the code columns alone.
+    """
     members, providers, claims = (
         trim_to_schema(df, schema, extra=(ORD,))
         for df, schema in ((members, MEMBER), (providers, PROVIDER), (claims, CLAIM))
     )
-    providers, claims = map_surrogates(providers, claims, "provider_id")
-    members, claims = map_surrogates(members, claims, "member_id")
-    claims = serial_claim_ids(claims)
     for role, df in (("claims", claims), ("members", members), ("providers", providers)):
         require_code_widths(df, role, F.col(ORD))
+    providers, claims = map_surrogates(providers, claims, "provider_id", known="providers" in derived)
+    members, claims = map_surrogates(members, claims, "member_id", known="members" in derived)
+    claims = serial_claim_ids(claims)
     tables = {"members": members, "providers": providers, "claims": claims}
     return {ROLE_TABLE[role][0]: conform(df, ROLE_TABLE[role][1]) for role, df in tables.items()}
 
@@ -48,7 +56,7 @@ def check_operational(tables: dict[str, DataFrame]) -> None:
 def ingest(spark: SparkSession, config: FeedConfig, root: str, as_of: dt.date) -> dict[str, DataFrame]:
     """Load a feed as the new version of the operational tables under ``root``."""
     feed = load_feed(spark, config, as_of)
-    tables = to_operational(feed["members"], feed["providers"], feed["claims"])
-    check_operational(tables)
-    store.publish(spark, root, tables)
+    derived = [role for role in feed if role not in config.files]
+    tables = to_operational(feed["members"], feed["providers"], feed["claims"], derived)
+    store.publish(spark, root, tables, check=check_operational)
     return store.open_tables(spark, root)

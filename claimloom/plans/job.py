@@ -32,8 +32,13 @@ def build_warehouse(
     as_of: dt.date,
     calendar_start: dt.date = warehouse.CALENDAR_START,
 ) -> dict[str, DataFrame]:
-    """Full refresh of the star schema and summaries, then the gate; the JSON only if it passes."""
-    fact = warehouse.partitioned_fact(warehouse.fact_claims(tables["claim"]))
+    """Full refresh of the star schema and summaries; committed, and reported as JSON, if the gate passes."""
+    results: dict = {}
+
+    def gate(written: dict[str, DataFrame]) -> None:
+        star = (written[n] for n in ("dim_member", "dim_provider", "dim_date", "fact_claims"))
+        results.update(quality.enforce(quality.run_checks(*star)))
+
     store.publish(
         spark,
         root,
@@ -41,15 +46,14 @@ def build_warehouse(
             "dim_member": warehouse.dim_member(tables["member"], as_of),
             "dim_provider": warehouse.dim_provider(tables["provider"]),
             "dim_date": warehouse.dim_date(spark, as_of, calendar_start).coalesce(1),
-            "fact_claims": fact,
+            "fact_claims": warehouse.partitioned_fact(warehouse.fact_claims(tables["claim"])),
             **{name: report_frames[source].coalesce(1) for name, source in SUMMARY_TABLES.items()},
         },
         partition_by={"fact_claims": ["year", "month"]},
+        check=gate,
     )
-    stored = store.open_tables(spark, root)
-    checks = quality.run_checks(stored["dim_member"], stored["dim_provider"], stored["dim_date"], stored["fact_claims"])
-    quality.write_quality_report(spark, quality.enforce(checks), quality_path)
-    return stored
+    quality.write_quality_report(spark, results, quality_path)
+    return store.open_tables(spark, root)
 
 
 def run_feed(spark: SparkSession, config: FeedConfig, root: str, as_of: dt.date | None = None) -> dict[str, DataFrame]:

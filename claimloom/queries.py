@@ -252,10 +252,11 @@ CLIENT_MAP = {
 }
 
 
-def client_feed(t: SampleTables) -> DataFrame:
+def client_feed(t: SampleTables, codes: bool = True) -> DataFrame:
     """Every claim as a client would send it: own column names, text keys, ages with unreadable values."""
+    code = ["diagnosis_code"] if codes else []
     claims = t.claims(
-        ["claim_id", "member_id", "provider_id", "service_date", "diagnosis_code", "paid_amount", "place_of_service"],
+        ["claim_id", "member_id", "provider_id", "service_date", "paid_amount", "place_of_service", *code],
         keep=[*ORDER_KEYS, "l_linestatus", "l_quantity"],
     )
     return claims.select(
@@ -264,7 +265,7 @@ def client_feed(t: SampleTables) -> DataFrame:
         F.col("member_id").alias("patient_id"),
         F.concat(F.lit("P"), F.col("provider_id")).alias("physician_id"),
         F.col("service_date").cast("string").alias("service_dt"),
-        F.col("diagnosis_code").alias("icd_code"),
+        *[F.col(c).alias("icd_code") for c in code],
         F.col("paid_amount").alias("charge_amt"),
         F.when(F.col("l_linestatus") == "F", "F").otherwise("M").alias("sex"),
         F.col("place_of_service").alias("patient_state"),
@@ -274,7 +275,7 @@ def client_feed(t: SampleTables) -> DataFrame:
     )
 
 
-def _mapped_feed(t: SampleTables) -> DataFrame:
+def _mapped_feed(t: SampleTables, codes: bool = True) -> DataFrame:
     defaults = {
         "billed_amount": 0.0,
         "allowed_amount": 0.0,
@@ -283,7 +284,7 @@ def _mapped_feed(t: SampleTables) -> DataFrame:
         "service_date": "2023-01-01",
         "diagnosis_code": "Z00",
     }
-    return mapping.apply_mapping(client_feed(t), CLIENT_MAP, defaults)
+    return mapping.apply_mapping(client_feed(t, codes), CLIENT_MAP, defaults)
 
 
 @query
@@ -312,13 +313,13 @@ def map_feed(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def derive_members(spark: SparkSession, folder: str) -> DataFrame:
     """One member per id from its first claim; claims are ordered by their four key columns."""
-    feed = _mapped_feed(SampleTables(spark, folder))
+    feed = _mapped_feed(SampleTables(spark, folder), codes=False)
     return keys.derive_members(feed, AS_OF, F.struct(*ORDER_KEYS)).drop(ORD)
 
 
 @query
 def derive_providers(spark: SparkSession, folder: str) -> DataFrame:
-    feed = _mapped_feed(SampleTables(spark, folder))
+    feed = _mapped_feed(SampleTables(spark, folder), codes=False)
     return keys.derive_providers(feed, F.struct(*ORDER_KEYS)).drop(ORD)
 
 
@@ -334,7 +335,7 @@ def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
     """Text provider codes numbered by first appearance, and the claims rewritten to the numbers."""
     claims = _provider_claims_in_order(SampleTables(spark, folder))
     dim = keys.derive_providers(claims).withColumn("provider_code", F.col("provider_id"))
-    dim, claims = keys.map_surrogates(dim, claims, "provider_id")
+    dim, claims = keys.map_surrogates(dim, claims, "provider_id", known=True)
     totals = claims.groupBy("provider_id").agg(
         F.count("*").alias("claims"), F.sum("paid_amount").cast("double").alias("paid_total")
     )

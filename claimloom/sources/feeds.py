@@ -57,7 +57,11 @@ def load_roles(spark: SparkSession, config: FeedConfig) -> dict[str, DataFrame]:
 
 
 def load_feed(spark: SparkSession, config: FeedConfig, as_of: dt.date) -> dict[str, DataFrame]:
-    """Members, providers and claims of a feed, still in the feed's own key space."""
+    """Members, providers and claims of a feed, still in the feed's own key space.
+
+    Derived dimensions are stored: several later steps read them, and each would
+    otherwise aggregate all claims again.
+    """
     if "claims" not in config.files:
         raise ValueError("The config must include at least a 'claims' file. Check the 'files' section.")
     tables = load_roles(spark, config)
@@ -65,9 +69,9 @@ def load_feed(spark: SparkSession, config: FeedConfig, as_of: dt.date) -> dict[s
     if "members" in config.files:
         require_references(claims, tables["members"], "member_id", "members")
     else:
-        tables["members"] = derive_members(claims, as_of, ORD)
+        tables["members"] = stage(derive_members(claims, as_of, ORD), "derived_members")
     if "providers" in config.files:
         require_references(claims, tables["providers"], "provider_id", "providers")
     else:
-        tables["providers"] = derive_providers(claims, ORD)
+        tables["providers"] = stage(derive_providers(claims, ORD), "derived_providers")
     return tables

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -26,14 +26,21 @@ def publish(
     root: str,
     tables: Mapping[str, DataFrame],
     partition_by: Mapping[str, Sequence[str]] | None = None,
+    check: Callable[[dict[str, DataFrame]], None] | None = None,
 ) -> str:
-    """Write ``tables`` as the new version of ``root`` and commit it; returns the version."""
+    """Write ``tables`` as the new version of ``root`` and commit it; returns the version.
+
+    ``check`` sees the written tables (not the plans that made them, which would
+    run again) and may raise: then nothing is committed and the last version stays.
+    """
     versions, commits = _paths(root)
     version = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     for name, df in tables.items():
         keys = (partition_by or {}).get(name)
         writer = df.write.partitionBy(*keys) if keys else df.write
         writer.parquet(f"{versions}/{version}/{name}")
+    if check:
+        check({name: spark.read.parquet(f"{versions}/{version}/{name}") for name in tables})
     names = F.array(*[F.lit(n) for n in tables])
     commit = spark.range(1).select(F.lit(version).alias("version"), names.alias("tables"))
     commit.coalesce(1).write.mode("append").json(commits)
