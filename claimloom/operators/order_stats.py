@@ -95,6 +95,8 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float], s
         group_col.alias("_g"), (F.col(value).cast(f"decimal(38,{scale})") * unit).cast("bigint").alias("_v")
     )
     sizes = {r["_g"]: r["n"] for r in scaled.groupBy("_g").agg(F.count("_v").alias("n")).collect()}
+    if group is None:
+        sizes.setdefault("", 0)
     place = {g: [p * (n - 1) for p in probabilities] for g, n in sizes.items() if n}
     ranks = {
         g: sorted({r for x in xs for r in (math.floor(x), math.ceil(x))}) for g, xs in place.items()
