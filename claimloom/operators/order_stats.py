@@ -4,107 +4,138 @@ Spark's ``percentile`` keeps every distinct value of a group in one task. Here
 the k-th value is found by narrowing a value range: each pass counts rows per
 equal-width slice (a map-side combined count over at most ``SLICES`` slices per
 target) and keeps the slice that holds the wanted rank. A range of 2^63 needs
-four passes, a money column usually two.
+six passes, a money column usually two or three.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 1 << 16
+SLICES = 1 << 12
+
+
+@dataclass(frozen=True)
+class Span:
+    """Size and value range of a group."""
+
+    rows: int
+    low: int
+    high: int
 
 
 @dataclass(frozen=True)
 class Target:
-    """Find the value of 0-based rank ``rank`` among the rows of ``group``."""
+    """Find the value of 0-based ``rank`` among the group's values from ``low`` on."""
 
     group: str
     rank: int
-    low: int = 0
-    width: int = 0  # slice width of the next pass; 0 once found
+    low: int
+    width: int  # slice width of the next pass; 0 once found
+
+
+def _values(df: DataFrame, value: str, group: str | None) -> DataFrame:
+    """(_group, _value) rows without nulls."""
+    name = F.col(group).cast("string") if group else F.lit("")
+    return df.select(name.alias("_group"), F.col(value).cast("bigint").alias("_value")).filter("_value is not null")
 
-    @property
-    def found(self) -> bool:
-        return self.width == 0
+
+def in_units(amount: Column, scale: int) -> Column:
+    """A DECIMAL or whole number as BIGINT multiples of 10^-scale (fails if it does not fit)."""
+    return (amount * 10**scale).cast("bigint")
+
+
+def _spans(values: DataFrame) -> dict[str, Span]:
+    """One row per group; groups here are classes or columns, never data keys."""
+    found = values.groupBy("_group").agg(
+        F.count("*").alias("rows"), F.min("_value").alias("low"), F.max("_value").alias("high")
+    )
+    return {r["_group"]: Span(r["rows"], r["low"], r["high"]) for r in found.collect()}
 
 
 def _narrow(values: DataFrame, targets: list[Target], slices: int) -> list[Target]:
-    spark = values.sparkSession
-    rows = [(i, t.group, t.low, t.width) for i, t in enumerate(targets)]
-    wanted = spark.createDataFrame(rows, "_target int, _group string, _low bigint, _width bigint")
-    # One row per target: a handful of groups times a handful of quantiles.
-    hits = values.join(F.broadcast(wanted), "_group").withColumn(
-        "_slice", F.expr("(_value - _low) div _width")
+    """One pass: count rows per slice and step into the slice that holds each rank.
+
+    Targets that search the same range share one histogram.
+    """
+    ranges = sorted({(t.group, t.low, t.width) for t in targets})
+    number = {r: i for i, r in enumerate(ranges)}
+    table = values.sparkSession.createDataFrame(
+        [(number[r], *r) for r in ranges], "_range int, _group string, _low bigint, _width bigint"
     )
-    hits = hits.filter((F.col("_value") >= F.col("_low")) & (F.col("_slice") < slices))
-    counts = hits.groupBy("_target", "_slice").agg(F.count("*").alias("_n"))
+    # At most one row per target: a few groups times a few quantiles.
+    hits = values.join(F.broadcast(table), "_group").filter(F.col("_value") >= F.col("_low"))
+    hits = hits.withColumn("_slice", F.expr("(_value - _low) div _width")).filter(F.col("_slice") < slices)
+    counts = hits.groupBy("_range", "_slice").agg(F.count("*").alias("_n"))
     # At most `slices` rows per window partition.
-    upto = F.sum("_n").over(Window.partitionBy("_target").orderBy("_slice"))
-    ranked = counts.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_n"))
-    is_rank = F.lit(False)
-    for i, t in enumerate(targets):
-        is_rank = is_rank | ((F.col("_target") == i) & (F.col("_before") <= t.rank) & (F.col("_upto") > t.rank))
-    out = list(targets)
-    for row in ranked.filter(is_rank).select("_target", "_slice", "_before").collect():  # one row per target
-        t = targets[row["_target"]]
-        low = t.low + row["_slice"] * t.width
+    upto = F.sum("_n").over(Window.partitionBy("_range").orderBy("_slice"))
+    ranked = counts.select("_range", "_slice", upto.alias("_upto"), (upto - F.col("_n")).alias("_before"))
+    holds_rank = F.lit(False)
+    for t in targets:
+        at = number[t.group, t.low, t.width]
+        holds_rank |= (F.col("_range") == at) & (F.col("_before") <= t.rank) & (F.col("_upto") > t.rank)
+    slots = ranked.filter(holds_rank).collect()  # at most one row per target
+    out = []
+    for t in targets:
+        at = number[t.group, t.low, t.width]
+        slot = next(r for r in slots if r["_range"] == at and r["_before"] <= t.rank < r["_upto"])
         width = 0 if t.width == 1 else math.ceil(t.width / slices)
-        out[row["_target"]] = replace(t, low=low, rank=t.rank - row["_before"], width=width)
+        out.append(replace(t, low=t.low + slot["_slice"] * t.width, rank=t.rank - slot["_before"], width=width))
     return out
 
 
-def ranked_values(df: DataFrame, value: str, ranks: dict[str, Sequence[int]], group: str | None = None,
-                  slices: int = SLICES) -> dict[tuple[str, int], int]:
-    """Values at the given 0-based ranks of BIGINT column ``value``, per group.
-
-    ``df`` is read once per pass: pass a staged or cached frame. ``ranks`` maps a
-    group name (``""`` without ``group``) to ranks; nulls in ``value`` are skipped.
-    """
-    group_col = F.col(group).cast("string") if group else F.lit("")
-    values = df.select(group_col.alias("_group"), F.col(value).cast("bigint").alias("_value"))
-    values = values.filter(F.col("_value").isNotNull() & F.col("_group").isin(list(ranks)))
-    spans = values.groupBy("_group").agg(F.min("_value").alias("low"), F.max("_value").alias("high")).collect()
-    span = {r["_group"]: (r["low"], r["high"]) for r in spans}  # one row per asked group
-    keys = [(g, k) for g, ks in ranks.items() for k in ks]
+def _search(
+    values: DataFrame, spans: dict[str, Span], wanted: Iterable[tuple[str, int]], slices: int
+) -> dict[tuple[str, int], int]:
+    keys = list(wanted)
     targets = []
-    for g, k in keys:
-        low, high = span[g]
-        targets.append(Target(g, k, low, max(1, math.ceil((high - low + 1) / slices))))
-    while not all(t.found for t in targets):
-        open_at = [i for i, t in enumerate(targets) if not t.found]
+    for group, rank in keys:
+        span = spans[group]
+        targets.append(Target(group, rank, span.low, max(1, math.ceil((span.high - span.low + 1) / slices))))
+    while any(t.width for t in targets):
+        open_at = [i for i, t in enumerate(targets) if t.width]
         for i, t in zip(open_at, _narrow(values, [targets[i] for i in open_at], slices)):
             targets[i] = t
     return {key: t.low for key, t in zip(keys, targets)}
 
 
-def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float], scale: int = 0,
-                    group: str | None = None) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of a DECIMAL or integer column, per group.
+def ranked_values(
+    df: DataFrame, value: str, ranks: dict[str, Sequence[int]], group: str | None = None, slices: int = SLICES
+) -> dict[tuple[str, int], int]:
+    """Values at the given 0-based ranks of BIGINT column ``value``, per group.
+
+    ``df`` is read once per pass: pass a stored frame. ``ranks`` maps a group
+    name (``""`` without ``group``) to ranks; null values are skipped.
+    """
+    values = _values(df, value, group).filter(F.col("_group").isin(list(ranks)))
+    return _search(values, _spans(values), [(g, k) for g, ks in ranks.items() for k in ks], slices)
+
 
-    ``scale`` is the number of decimal places, so that values become exact
-    integers. Returns one list per group (``""`` without ``group``).
+def exact_quantiles(
+    df: DataFrame, value: str, probabilities: Sequence[float], scale: int = 0, group: str | None = None
+) -> dict[str, list[float | None]]:
+    """Linearly interpolated quantiles of a BIGINT column of ``in_units(amount, scale)``, per group.
+
+    Returns one list per group (``""`` without ``group``); a group without
+    values is absent, the ungrouped result then holds nulls.
     """
     unit = 10**scale
-    group_col = F.col(group).cast("string") if group else F.lit("")
-    scaled = df.select(
-        group_col.alias("_g"), (F.col(value).cast(f"decimal(38,{scale})") * unit).cast("bigint").alias("_v")
-    )
-    sizes = {r["_g"]: r["n"] for r in scaled.groupBy("_g").agg(F.count("_v").alias("n")).collect()}
+    values = _values(df, value, group)
+    spans = _spans(values)
+    places = {(g, p): p * (span.rows - 1) for g, span in spans.items() for p in probabilities}
+    wanted = sorted({(g, r) for (g, _), x in places.items() for r in (math.floor(x), math.ceil(x))})
+    found = _search(values, spans, wanted, SLICES)
+
+    def interpolate(g: str, p: float) -> float:
+        x = places[g, p]
+        below, above = found[g, math.floor(x)] / unit, found[g, math.ceil(x)] / unit
+        return below + (above - below) * (x - math.floor(x))
+
+    out: dict[str, list[float | None]] = {g: [interpolate(g, p) for p in probabilities] for g in spans}
     if group is None:
-        sizes.setdefault("", 0)
-    place = {g: [p * (n - 1) for p in probabilities] for g, n in sizes.items() if n}
-    ranks = {
-        g: sorted({r for x in xs for r in (math.floor(x), math.ceil(x))}) for g, xs in place.items()
-    }
-    found = ranked_values(scaled, "_v", ranks, group="_g") if ranks else {}
-    out: dict[str, list[float | None]] = {g: [None] * len(probabilities) for g in sizes}
-    for g, xs in place.items():
-        for i, x in enumerate(xs):
-            below, above = found[g, math.floor(x)] / unit, found[g, math.ceil(x)] / unit
-            out[g][i] = below + (above - below) * (x - math.floor(x))
+        out.setdefault("", [None] * len(probabilities))
     return out

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType, NumericType
 
 from claimloom.functions.exprs import as_double
-from claimloom.operators.order_stats import exact_quantiles
+from claimloom.operators.order_stats import exact_quantiles, in_units
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -27,55 +27,60 @@ def value_counts(df: DataFrame) -> DataFrame:
     return long.groupBy("column_name", "value").agg(F.count("*").alias("n"))
 
 
+def _quartiles(df: DataFrame) -> dict[str, list[float]]:
+    """Quartiles per numeric column: exact for integers and decimals, all columns in the same passes."""
+    exact, out = {}, {}
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (IntegralType, DecimalType)):
+            exact[field.name] = getattr(field.dataType, "scale", 0)
+        elif isinstance(field.dataType, NumericType):
+            out[field.name] = df.approxQuantile(field.name, QUARTILES, 0.0001)
+    if exact:
+        scale = max(exact.values())
+        cells = [F.struct(F.lit(c).alias("column_name"), in_units(F.col(c), scale).alias("value")) for c in exact]
+        out |= exact_quantiles(df.select(F.inline(F.array(*cells))), "value", QUARTILES, scale, "column_name")
+    return out
+
+
 def profile(df: DataFrame, quartiles: bool = True) -> DataFrame:
-    """One row per column: type, count, distinct, most frequent value, mean, std, min, max, quartiles.
+    """One row per column, as a describe-all would print it.
 
-    Text figures come from value counts, numeric ones from a single global
-    aggregate. Quartiles are exact for integer and decimal columns; they read
+    Every column has its type and number of non-null values; text-like columns
+    their distinct values and the most frequent one (from one value count over
+    all of them), numeric ones mean, std, min and max (from one aggregate) and
+    quartiles. Quartiles are exact for integer and decimal columns; they read
     the input several times, so pass a stored table.
     """
+    spark = df.sparkSession
     fields = {f.name: f.dataType for f in df.schema.fields}
     numeric = [c for c, t in fields.items() if isinstance(t, NumericType)]
-    # Ties for the most frequent value go to the smallest.
-    pairs = value_counts(df)
-    by_column = pairs.groupBy("column_name").agg(
-        F.sum("n").alias("non_null"),
-        F.count("*").alias("unique_values"),
-        F.max("n").alias("freq"),
-    )
-    best = pairs.join(by_column.select("column_name", "freq"), "column_name").filter(F.col("n") == F.col("freq"))
-    top = best.groupBy("column_name").agg(F.min("value").alias("top"))
+    texts = [c for c in fields if c not in numeric]
+    types = spark.createDataFrame([(c, t.simpleString()) for c, t in fields.items()], "column_name string, data_type string")
 
     stats = []
-    for c in numeric:
-        v = as_double(F.col(c))
-        stats.append(
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.avg(v).alias("mean"),
-                F.stddev_samp(v).alias("std"),
-                F.min(v).alias("min"),
-                F.max(v).alias("max"),
-            )
-        )
-    spark = df.sparkSession
-    types = spark.createDataFrame([(c, t.simpleString()) for c, t in fields.items()], "column_name string, data_type string")
-    out = types.join(by_column, "column_name", "left").join(top, "column_name", "left")
-    if stats:
-        out = out.join(df.agg(F.array(*stats).alias("s")).select(F.inline("s")), "column_name", "left")
-    if quartiles:
-        rows = []
-        for c in numeric:
-            if isinstance(fields[c], (IntegralType, DecimalType)):
-                scale = fields[c].scale if isinstance(fields[c], DecimalType) else 0
-                rows.append((c, *exact_quantiles(df, c, QUARTILES, scale).get("", [None] * 3)))
-            else:
-                rows.append((c, *df.approxQuantile(c, QUARTILES, 0.0001)))
-        quarters = spark.createDataFrame(rows, "column_name string, p25 double, p50 double, p75 double")
-        out = out.join(quarters, "column_name", "left")
-    return out.withColumns(
-        {n: F.coalesce(F.col(n), F.lit(0)).cast("bigint") for n in ("non_null", "unique_values", "freq")}
+    for c in fields:
+        v = as_double(F.col(c) if c in numeric else F.lit(None))
+        named = {"mean": F.avg(v), "std": F.stddev_samp(v), "min": F.min(v), "max": F.max(v)}
+        named = {"non_null": F.count(c), **named}
+        stats.append(F.struct(F.lit(c).alias("column_name"), *[x.alias(n) for n, x in named.items()]))
+    out = types.join(df.agg(F.array(*stats).alias("s")).select(F.inline("s")), "column_name", "left")
+
+    # Ties for the most frequent value go to the smallest.
+    first = F.min(F.struct((-F.col("n")).alias("minus_n"), "value")).alias("first")
+    common = value_counts(df.select(*texts)) if texts else spark.createDataFrame([], "column_name string, value string, n bigint")
+    common = common.groupBy("column_name").agg(F.count("*").alias("unique_values"), first)
+    out = out.join(
+        common.select(
+            "column_name", "unique_values", F.col("first.value").alias("top"), (-F.col("first.minus_n")).alias("freq")
+        ),
+        "column_name",
+        "left",
     )
+    if quartiles:
+        rows = [(c, *values) for c, values in _quartiles(df).items() if values]
+        names = ", ".join(f"p{round(q * 100)} double" for q in QUARTILES)
+        out = out.join(spark.createDataFrame(rows, f"column_name string, {names}"), "column_name", "left")
+    return out
 
 
 def group_mean(df: DataFrame, by: str, value: str, out: str = "mean") -> DataFrame:

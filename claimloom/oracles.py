@@ -393,10 +393,10 @@ ORACLES: dict[str, str] = {
     "profile": _with(
         ["claim"],
         "\n        UNION ALL ".join(
-            f"""SELECT '{c}' AS column_name, count({c}) AS non_null, count(DISTINCT {c}) AS unique_values,
-                   (SELECT CAST(v AS VARCHAR) FROM (SELECT {c} AS v, count(*) AS n FROM claim WHERE {c} IS NOT NULL
-                    GROUP BY 1) ORDER BY n DESC, CAST(v AS VARCHAR) LIMIT 1) AS top,
-                   (SELECT max(n) FROM (SELECT count(*) AS n FROM claim WHERE {c} IS NOT NULL GROUP BY {c})) AS freq,
+            f"""SELECT '{c}' AS column_name, count({c}) AS non_null,
+                   {"CAST(NULL AS BIGINT)" if numeric else f"count(DISTINCT {c})"} AS unique_values,
+                   {"NULL" if numeric else f"(SELECT v FROM (SELECT {c} AS v, count(*) AS n FROM claim WHERE {c} IS NOT NULL GROUP BY 1) ORDER BY n DESC, v LIMIT 1)"} AS top,
+                   {"CAST(NULL AS BIGINT)" if numeric else f"(SELECT max(n) FROM (SELECT count(*) AS n FROM claim WHERE {c} IS NOT NULL GROUP BY {c}))"} AS freq,
                    {f"round(avg(CAST({c} AS DOUBLE)), 4)" if numeric else "CAST(NULL AS DOUBLE)"} AS mean,
                    {f"round(stddev_samp(CAST({c} AS DOUBLE)), 4)" if numeric else "NULL"} AS std,
                    {f"min(CAST({c} AS DOUBLE))" if numeric else "CAST(NULL AS DOUBLE)"} AS min,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions.exprs import age_years, over_threshold
 from claimloom.operators.joins import join_dimension
-from claimloom.operators.order_stats import exact_quantiles, ranked_values
+from claimloom.operators.order_stats import exact_quantiles, in_units, ranked_values
 from claimloom.session import stage
 
 COST_QUANTILE = 0.9
@@ -61,7 +61,8 @@ def member_cost(claims: DataFrame, members: DataFrame, providers: DataFrame) ->
 
 def cost_threshold(costs: DataFrame, q: float = COST_QUANTILE) -> float | None:
     """Exact interpolated quantile of the paid totals. ``costs`` is read several times."""
-    return exact_quantiles(costs, "paid_total", [q], scale=2).get("", [None])[0]
+    cents = costs.select(in_units(F.col("paid_total"), 2).alias("cents"))
+    return exact_quantiles(cents, "cents", [q], scale=2)[""][0]
 
 
 def label_costs(costs: DataFrame, threshold: float | None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from claimloom.model import SUMMARY_TABLES
 from claimloom.plans import classifier, export, ingest, quality, reports, warehouse
-from claimloom.session import stage
+from claimloom.session import stage, staging_scope
 from claimloom.sources import store
 from claimloom.sources.config import FeedConfig
 
@@ -60,10 +60,11 @@ def run_feed(spark: SparkSession, config: FeedConfig, root: str, as_of: dt.date
     """Everything for one feed, under a folder of its own (feeds never share output)."""
     as_of = as_of or dt.date.today()
     home = f"{root.rstrip('/')}/{config.feed_id}"
-    tables = ingest.ingest(spark, config, f"{home}/operational", as_of)
-    frames = run_reports(tables, f"{home}/reports", as_of)
-    score = classifier.high_cost_score(tables["claim"], tables["member"], tables["provider"], as_of)
-    classifier.write_metrics(spark, score, f"{home}/reports/model_metrics.txt")
-    stored = build_warehouse(spark, tables, frames, f"{home}/warehouse", f"{home}/quality", as_of)
-    export.export_reports(spark, f"{home}/reports", f"{home}/export")
+    with staging_scope(spark):
+        tables = ingest.ingest(spark, config, f"{home}/operational", as_of)
+        frames = run_reports(tables, f"{home}/reports", as_of)
+        score = classifier.high_cost_score(tables["claim"], tables["member"], tables["provider"], as_of)
+        classifier.write_metrics(spark, score, f"{home}/reports/model_metrics.txt")
+        stored = build_warehouse(spark, tables, frames, f"{home}/warehouse", f"{home}/quality", as_of)
+        export.export_reports(spark, f"{home}/reports", f"{home}/export")
     return stored

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +46,22 @@ def work_folder(spark: SparkSession) -> str:
     return shared.rstrip("/")
 
 
+_run_folder: ContextVar[str | None] = ContextVar("claimloom_run_folder", default=None)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Drop what ``stage`` wrote inside the scope when it ends (a batch would leave a copy of its feed)."""
+    folder = f"{work_folder(spark)}/claimloom/{uuid.uuid4().hex}"
+    token = _run_folder.set(folder)
+    try:
+        yield
+    finally:
+        _run_folder.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -51,6 +70,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     ``checkpoint()``, so that later readers prune columns.
     """
     spark = df.sparkSession
-    path = f"{work_folder(spark)}/claimloom/{uuid.uuid4().hex}/{name}"
+    folder = _run_folder.get() or f"{work_folder(spark)}/claimloom"
+    path = f"{folder}/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -8,13 +8,16 @@ a refresh, and a job that dies leaves only an uncommitted folder behind.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+logger = logging.getLogger(__name__)
+
 
 def _paths(root: str) -> tuple[str, str]:
     root = root.rstrip("/")
@@ -30,33 +33,41 @@ def publish(
 ) -> str:
     """Write ``tables`` as the new version of ``root`` and commit it; returns the version.
 
+    Rows are counted while they are written.
+
     ``check`` sees the written tables (not the plans that made them, which would
     run again) and may raise: then nothing is committed and the last version stays.
     """
     versions, commits = _paths(root)
     version = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    counts = {}
     for name, df in tables.items():
         keys = (partition_by or {}).get(name)
-        writer = df.write.partitionBy(*keys) if keys else df.write
+        counted = Observation()
+        counted_df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+        writer = counted_df.write.partitionBy(*keys) if keys else counted_df.write
         writer.parquet(f"{versions}/{version}/{name}")
+        counts[name] = counted.get["rows"]
+        logger.info("%s: wrote %d rows", name, counts[name])
     if check:
         check({name: spark.read.parquet(f"{versions}/{version}/{name}") for name in tables})
-    names = F.array(*[F.lit(n) for n in tables])
-    commit = spark.range(1).select(F.lit(version).alias("version"), names.alias("tables"))
+    entries = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(c).cast("bigint").alias("rows")) for n, c in counts.items()])
+    commit = spark.range(1).select(F.lit(version).alias("version"), entries.alias("tables"))
     commit.coalesce(1).write.mode("append").json(commits)
     return version
 
 
-def current_version(spark: SparkSession, root: str) -> tuple[str, list[str]] | None:
+def current_version(spark: SparkSession, root: str) -> tuple[str, dict[str, int]] | None:
+    """The newest committed version and the rows of each of its tables."""
     _, commits = _paths(root)
     try:
-        log = spark.read.schema("version string, tables array<string>").json(commits)
+        log = spark.read.schema("version string, tables array<struct<name: string, rows: bigint>>").json(commits)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
     newest = log.agg(F.max_by(F.struct("version", "tables"), "version").alias("c")).first()["c"]
-    return (newest["version"], newest["tables"]) if newest else None
+    return (newest["version"], {t["name"]: t["rows"] for t in newest["tables"]}) if newest else None
 
 
 def open_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
