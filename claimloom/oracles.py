@@ -346,6 +346,34 @@ ORACLES: dict[str, str] = {
         SELECT 'P' || provider_id AS provider_id, min(ord) AS first_id, max(ord) AS last_id,
                CAST(sum(ord) AS BIGINT) AS id_sum, count(DISTINCT ord) AS ids FROM feed GROUP BY 1""",
     ),
+    "ingest_feed": _with(
+        ["first_claim"],
+        f"""
+        , numbered AS (
+          SELECT code, row_number() OVER (ORDER BY first_ord) AS provider_id
+          FROM (SELECT provider_id AS code, min(ord) AS first_ord FROM feed GROUP BY 1)),
+        derived AS (
+          SELECT member_id, CASE WHEN l_linestatus = 'F' THEN 'F' ELSE 'M' END AS gender,
+                 {AS_OF} - CAST(ceil((CASE WHEN l_quantity < 3 THEN 0 ELSE l_quantity + 17 END) * 365.25) AS INTEGER) AS dob
+          FROM first_claim)
+        SELECT n.provider_id, true AS in_network, m.gender, count(*) AS claims,
+               CAST(sum(paid_amount) AS DOUBLE) AS paid_total, min(ord) AS first_claim, max(ord) AS last_claim,
+               min(dob) AS oldest, max(service_date) AS last_service, '99213' AS procedure_code,
+               CAST(0 AS DOUBLE) AS billed
+        FROM feed f JOIN numbered n ON f.provider_id = n.code JOIN derived m USING (member_id) GROUP BY ALL""",
+    ),
+    "missing_texts": """
+        SELECT l_returnflag, count(*) AS rows, count(CASE WHEN l_returnflag <> 'N' THEN 1 END) AS codes
+        FROM lineitem GROUP BY 1""",
+    "numeric_keys": """
+        SELECT l_returnflag, count(CASE WHEN l_returnflag IN ('A', 'N') THEN 1 END) AS numbers,
+               CAST(sum(CASE WHEN l_returnflag IN ('A', 'N') THEN l_suppkey END) AS BIGINT) AS total
+        FROM lineitem GROUP BY 1""",
+    "network_labels": """
+        SELECT CASE l_suppkey % 5 WHEN 0 THEN ' TRUE ' WHEN 1 THEN '1' WHEN 2 THEN 'yes' WHEN 3 THEN '0'
+               ELSE 'n/a' END AS spelling,
+               CASE WHEN l_suppkey % 5 < 3 THEN 'In-Network' ELSE 'Out-of-Network' END AS network, count(*) AS rows
+        FROM lineitem GROUP BY ALL""",
     "fk_orphans": """
         SELECT l_suppkey AS provider_id, count(*) AS claims FROM lineitem
         WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0) GROUP BY 1""",

@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from claimloom.model import SUMMARY_TABLES
 from claimloom.plans import classifier, export, ingest, quality, reports, warehouse
-from claimloom.session import stage, staging_scope
+from claimloom.session import input_bytes, sized_for, stage, staging_scope
 from claimloom.sources import store
 from claimloom.sources.config import FeedConfig
 
@@ -56,11 +57,19 @@ def build_warehouse(
     return store.open_tables(spark, root)
 
 
+def feed_bytes(spark: SparkSession, config: FeedConfig) -> int:
+    """Size of the configured files; a missing one is left for the reader to report."""
+    try:
+        return input_bytes(spark, config.files.values())
+    except Py4JJavaError:
+        return 0
+
+
 def run_feed(spark: SparkSession, config: FeedConfig, root: str, as_of: dt.date | None = None) -> dict[str, DataFrame]:
     """Everything for one feed, under a folder of its own (feeds never share output)."""
     as_of = as_of or dt.date.today()
     home = f"{root.rstrip('/')}/{config.feed_id}"
-    with staging_scope(spark):
+    with staging_scope(spark), sized_for(spark, feed_bytes(spark, config)):
         tables = ingest.ingest(spark, config, f"{home}/operational", as_of)
         frames = run_reports(tables, f"{home}/reports", as_of)
         score = classifier.high_cost_score(tables["claim"], tables["member"], tables["provider"], as_of)

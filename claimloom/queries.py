@@ -19,15 +19,18 @@ from claimloom.functions.exprs import (
     either,
     long_date,
     month_start,
+    network_label,
     redact_password,
     round_even,
+    to_key,
 )
 from claimloom.operators import keys, lookup, mapping, summaries, validate
 from claimloom.operators.joins import orphan_rows
 from claimloom.operators.ordinals import ORD, stage_in_order
 from claimloom.plans import adhoc, classifier, ingest, marts, quality, reports, warehouse
-from claimloom.session import stage
+from claimloom.session import new_path, stage
 from claimloom.sources import synthetic
+from claimloom.sources.config import FeedConfig
 from claimloom.sources.sample_tables import AS_OF, CALENDAR_START, ORDER_KEYS, SampleTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -379,6 +382,60 @@ def overlong_codes(spark: SparkSession, folder: str) -> DataFrame:
     return validate.overlong_codes(codes)
 
 
+@query
+def ingest_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """The client's CSV loaded from end to end; the stored tables joined and grouped.
+
+    The feed is written in key order, so file order, serial ids and first
+    appearances are known.
+    """
+    path = new_path(spark, "claims_csv")
+    feed = client_feed(SampleTables(spark, folder)).orderBy(*ORDER_KEYS).drop(*ORDER_KEYS)
+    feed.write.option("header", True).csv(path)
+    config = FeedConfig("sample", "Sample client", {"claims": path}, {"claims": CLIENT_MAP})
+    tables = ingest.ingest(spark, config, new_path(spark, "operational"), AS_OF)
+    joined = tables["claim"].join(tables["provider"].select("provider_id", "in_network"), "provider_id")
+    joined = joined.join(tables["member"].select("member_id", "gender", "dob"), "member_id")
+    return joined.groupBy("provider_id", "in_network", "gender").agg(
+        F.count("*").alias("claims"),
+        F.sum("paid_amount").cast("double").alias("paid_total"),
+        F.min("claim_id").alias("first_claim"),
+        F.max("claim_id").alias("last_claim"),
+        F.min("dob").alias("oldest"),
+        F.max("service_date").alias("last_service"),
+        F.min("procedure_code").alias("procedure_code"),
+        F.max(F.col("billed_amount").cast("double")).alias("billed"),
+    )
+
+
+@query
+def missing_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts made from a flag, one of which (NA) reads as missing."""
+    lines = SampleTables(spark, folder).table("lineitem").select("l_returnflag", F.concat("l_returnflag", F.lit("A")).alias("code"))
+    clean = lines.select(*mapping.missing_to_null(lines.columns))
+    return clean.groupBy("l_returnflag").agg(F.count("*").alias("rows"), F.count("code").alias("codes"))
+
+
+@query
+def numeric_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Key texts in three spellings (7, 7.0, 7x) as numbers; the last one is none."""
+    ending = F.when(F.col("l_returnflag") == "A", "").when(F.col("l_returnflag") == "N", ".0").otherwise("x")
+    lines = SampleTables(spark, folder).table("lineitem")
+    number = lines.select("l_returnflag", to_key(F.concat("l_suppkey", ending)).alias("number"))
+    return number.groupBy("l_returnflag").agg(F.count("number").alias("numbers"), F.sum("number").alias("total"))
+
+
+@query
+def network_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels of five spellings of the network flag."""
+    spellings = F.array(*map(F.lit, [" TRUE ", "1", "yes", "0", "n/a"]))
+    lines = SampleTables(spark, folder).table("lineitem")
+    text = F.element_at(spellings, (F.col("l_suppkey") % 5 + 1).cast("int")).alias("spelling")
+    return lines.select(text).groupBy("spelling", network_label(F.col("spelling")).alias("network")).agg(
+        F.count("*").alias("rows")
+    )
+
+
 # ---- classifier ----------------------------------------------------------------
 def _costs(spark: SparkSession, folder: str) -> DataFrame:
     t = SampleTables(spark, folder)

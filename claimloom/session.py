@@ -5,13 +5,18 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+SHUFFLED_SHARE = 0.2  # of a feed's bytes; keys, dates and amounts move, texts mostly do not
+PARTITION_BYTES = 256 << 20
+MAX_PARTITIONS = 50_000
+
+
 def local_session(cores: int | str = 8, app: str = "claimloom", **conf) -> SparkSession:
     """Single-JVM session for tests and bench; clusters bring their own session."""
     settings = {
@@ -62,6 +67,36 @@ def staging_scope(spark: SparkSession) -> Iterator[None]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def input_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
+    """Stored size of files or folders."""
+    conf = spark._jsc.hadoopConfiguration()
+    jpaths = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return sum(p.getFileSystem(conf).getContentSummary(p).getLength() for p in jpaths)
+
+
+@contextmanager
+def sized_for(spark: SparkSession, size: int) -> Iterator[int]:
+    """Raise the shuffle partitions to fit an input of ``size`` bytes, for the time of a batch.
+
+    A session default of 200 would make partitions of 100 GB out of a 100 TB
+    feed. Too many do no harm on small data: adaptive execution merges them.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = int(spark.conf.get(key))
+    wanted = max(before, min(MAX_PARTITIONS, int(size * SHUFFLED_SHARE / PARTITION_BYTES)))
+    spark.conf.set(key, wanted)
+    try:
+        yield wanted
+    finally:
+        spark.conf.set(key, before)
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """An unused path in the shared folder, inside the current staging scope if there is one."""
+    folder = _run_folder.get() or f"{work_folder(spark)}/claimloom"
+    return f"{folder}/{uuid.uuid4().hex}/{name}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -69,8 +104,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     text scan) or where a result is read many times. Parquet rather than
     ``checkpoint()``, so that later readers prune columns.
     """
-    spark = df.sparkSession
-    folder = _run_folder.get() or f"{work_folder(spark)}/claimloom"
-    path = f"{folder}/{uuid.uuid4().hex}/{name}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
