@@ -103,7 +103,7 @@ def map_surrogates(
     if unknown:
         shown = ", ".join(repr(r[0]) for r in unknown[:5])
         more = f" (and {len(unknown) - 5} more)" if len(unknown) > 5 else ""
-        raise ValueError(f"Found unmapped non-null values for foreign key '{key}': {shown}{more}")
+        raise ValueError(f"{key} values of the claims without a dimension row: {shown}{more}")
 
     def rewrite(df: DataFrame) -> DataFrame:
         columns = [F.col("_number").alias(key) if c == key else F.col(c) for c in df.columns]

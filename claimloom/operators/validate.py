@@ -14,8 +14,8 @@ def require_references(claims: DataFrame, dim: DataFrame, key: str, role: str) -
     """Every non-null claim key must exist in a dimension that came as a file."""
     if key not in dim.columns:
         raise ValueError(
-            f"Configured '{role}' file must include a '{key}' column matching 'claims.{key}'. "
-            f"Add the column or leave the {role} file out of the config to derive it from claims."
+            f"the {role} file has no '{key}' column, so claims cannot refer to it; "
+            f"add the column, or drop the file to have {role} made from the claims"
         )
     missing = missing_keys(
         claims.select(F.col(key).cast("string")), dim.select(F.col(key).cast("string")), key
@@ -24,8 +24,7 @@ def require_references(claims: DataFrame, dim: DataFrame, key: str, role: str) -
     if total:
         first = missing.orderBy(to_key(F.col(key)).asc_nulls_last(), key).limit(10).collect()
         raise ValueError(
-            f"The '{role}' table is missing {key} values that are referenced in the 'claims' table. "
-            f"Total missing: {total}. Example missing {key} values: {', '.join(r[0] for r in first)}"
+            f"{total} {key} value(s) of the claims are not among the {role}: {', '.join(r[0] for r in first)}"
         )
 
 
@@ -51,9 +50,8 @@ def require_code_widths(df: DataFrame, role: str, order=None) -> None:
     for row in overlong_codes(df, order).filter("too_long > 0").orderBy("column_name").collect():
         name = row["column_name"]
         raise ValueError(
-            f"Column '{name}' in {role} contains values longer than {CODE_WIDTHS[name]} characters. "
-            f"Refusing to truncate code-bearing data; correct the source mapping. "
-            f"Example value: {row['example']!r}"
+            f"{role}: a {name} has at most {CODE_WIDTHS[name]} characters and is never cut, "
+            f"but the feed holds {row['example']!r}"
         )
 
 
@@ -78,4 +76,4 @@ def require_unique(df: DataFrame, key: str, table: str) -> None:
 def require_report_columns(name: str, df: DataFrame) -> None:
     missing = sorted(set(REPORT_COLUMNS[name]) - set(df.columns))
     if missing:
-        raise ValueError(f"{REPORT_TITLES[name]} output is missing required columns: {missing}")
+        raise ValueError(f"{REPORT_TITLES[name]} report lacks columns: {missing}")

@@ -11,6 +11,11 @@ from urllib.parse import unquote
 import yaml
 
 
+# --- Fixed values: defaults of the config files ---------------------------------
+DATASET_FOLDER = "data/kaggle/{name}"
+DB_DEFAULTS = {"host": "localhost", "port": 5432, "user": "postgres", "password": "postgres", "database": "insurdb"}
+
+
 @dataclass(frozen=True)
 class FeedConfig:
     """What to read and how to map it. Paths in ``files`` are ready to open."""
@@ -33,12 +38,12 @@ def read_client_config(path: str) -> FeedConfig:
     raw = _read_yaml(path)
     if not isinstance(raw, dict):
         found = "empty file" if raw is None else type(raw).__name__
-        raise ValueError(f"Client config '{path}' is not a valid YAML mapping (got {found}).")
+        raise ValueError(f"{path}: expected a mapping of settings, found {found}")
     client = raw.get("client_id")
     if not client:
-        raise ValueError(f"Client config '{path}' is missing required field 'client_id'.")
+        raise ValueError(f"{path}: no client_id")
     if not raw.get("files"):
-        raise ValueError(f"Client config '{path}' has no 'files' section; a 'claims' file is required.")
+        raise ValueError(f"{path}: no files; at least the claims file must be named")
     return FeedConfig(
         feed_id=str(client),
         name=raw.get("client_name", client),
@@ -54,12 +59,12 @@ def read_dataset_config(path: str, active: str | None = None) -> FeedConfig:
     raw = _read_yaml(path) or {}
     name = active or raw.get("active_dataset")
     if not name:
-        raise ValueError("'active_dataset' is not set in the dataset config.")
+        raise ValueError(f"{path}: no dataset chosen (active_dataset)")
     datasets = raw.get("datasets") or {}
     if name not in datasets:
-        raise KeyError(f"Dataset '{name}' not found in config. Available datasets: {list(datasets)}")
+        raise KeyError(f"{path}: no dataset {name!r}, only {sorted(datasets)}")
     chosen = datasets[name]
-    folder = chosen.get("dest_dir", f"data/kaggle/{name}").rstrip("/")
+    folder = chosen.get("dest_dir", DATASET_FOLDER.format(name=name)).rstrip("/")
     files = {role: f"{folder}/{file}" for role, file in (chosen.get("files") or {}).items()}
     return FeedConfig(
         feed_id=name,
@@ -92,14 +97,13 @@ def jdbc_options(config: Mapping[str, object], env: Mapping[str, str] | None = N
     if url:
         return _from_url(str(url))
 
-    def part(variable: str, key: str, default):
-        return str(env.get(variable, config.get(key, default)))
+    def part(variable: str, key: str) -> str:
+        return str(env.get(variable, config.get(key, DB_DEFAULTS[key])))
 
-    host, port = part("DB_HOST", "host", "localhost"), part("DB_PORT", "port", 5432)
     return {
-        "url": f"jdbc:postgresql://{host}:{port}/{part('DB_NAME', 'database', 'insurdb')}",
-        "user": part("DB_USER", "user", "postgres"),
-        "password": part("DB_PASS", "password", "postgres"),
+        "url": f"jdbc:postgresql://{part('DB_HOST', 'host')}:{part('DB_PORT', 'port')}/{part('DB_NAME', 'database')}",
+        "user": part("DB_USER", "user"),
+        "password": part("DB_PASS", "password"),
         "driver": "org.postgresql.Driver",
     }
 

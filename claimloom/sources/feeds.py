@@ -28,7 +28,7 @@ def scan_csv(spark: SparkSession, path: str, **options) -> DataFrame:
         return reader.options(**options).csv(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"Expected feed file '{path}' not found. Check the 'files' section.") from error
+            raise FileNotFoundError(f"no file or folder at '{path}'") from error
         raise
 
 
@@ -63,7 +63,7 @@ def load_feed(spark: SparkSession, config: FeedConfig, as_of: dt.date) -> dict[s
     otherwise aggregate all claims again.
     """
     if "claims" not in config.files:
-        raise ValueError("The config must include at least a 'claims' file. Check the 'files' section.")
+        raise ValueError("a feed needs a file for the 'claims' role")
     tables = load_roles(spark, config)
     claims = tables["claims"] = ensure_claim_keys(tables["claims"])
     if "members" in config.files:

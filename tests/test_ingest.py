@@ -107,27 +107,27 @@ CLAIMS = "member_id,provider_id,paid_amount\n1,10,5\n2,20,6\n,10,7\n"
 
 def test_unknown_members_are_reported(spark, client):
     config = client(claims=CLAIMS, members="member_id\n1\n")
-    with pytest.raises(ValueError, match=r"Total missing: 1\. Example missing member_id values: 2"):
+    with pytest.raises(ValueError, match="1 member_id.*not among the members: 2$"):
         feeds.load_feed(spark, config, AS_OF)
 
 
 def test_unknown_providers_are_reported(spark, client):
     config = client(claims=CLAIMS, providers="provider_id\n10\n")
-    with pytest.raises(ValueError, match=r"missing provider_id values.*Example missing provider_id values: 20"):
+    with pytest.raises(ValueError, match="1 provider_id.*not among the providers: 20$"):
         feeds.load_feed(spark, config, AS_OF)
 
 
 @pytest.mark.parametrize("role, key", [("members", "member_id"), ("providers", "provider_id")])
 def test_dimension_file_needs_its_key(spark, client, role, key):
     config = client(claims=CLAIMS, **{role: "other\n1\n"})
-    with pytest.raises(ValueError, match=f"must include a '{key}' column"):
+    with pytest.raises(ValueError, match=f"no '{key}' column"):
         feeds.load_feed(spark, config, AS_OF)
 
 
 def test_missing_ids_sort_as_numbers(spark):
     claims = spark.createDataFrame([(str(i),) for i in range(20, 0, -1)], "member_id string")
     members = spark.createDataFrame([("1",)], "member_id string")
-    with pytest.raises(ValueError, match="Total missing: 19.*: 2, 3, 4, 5, 6, 7, 8, 9, 10, 11$"):
+    with pytest.raises(ValueError, match="^19 member_id.*: 2, 3, 4, 5, 6, 7, 8, 9, 10, 11$"):
         validate.require_references(claims, members, "member_id", "members")
 
 
@@ -197,7 +197,7 @@ def test_text_keys_are_numbered_by_first_appearance(spark, rows):
 
 
 def test_unmapped_text_keys_raise(spark):
-    with pytest.raises(ValueError, match="foreign key 'k'.*and 2 more"):
+    with pytest.raises(ValueError, match="^k values.*and 2 more"):
         keys.map_surrogates(*dim_and_fact(spark, ["P1"], [f"Q{i}" for i in range(7)]), "k")
 
 
@@ -209,7 +209,7 @@ def test_fractional_keys_raise(spark):
 # ---- width and uniqueness ------------------------------------------------------
 def test_long_codes_stop_the_load(spark):
     df = spark.createDataFrame([("A1", 0), ("too-long-1", 2), ("too-long-0", 3), (None, 4)], f"diagnosis_code string, {ORD} bigint")
-    with pytest.raises(ValueError, match="'diagnosis_code' in claims.*'too-long-1'"):
+    with pytest.raises(ValueError, match="^claims: a diagnosis_code.*'too-long-1'"):
         validate.require_code_widths(df, "claims", F.col(ORD))
     validate.require_code_widths(df.filter("length(diagnosis_code) < 9"), "claims", F.col(ORD))
     assert validate.overlong_codes(df).first() == ("diagnosis_code", 2, "too-long-0")
@@ -245,7 +245,7 @@ def write_yaml(tmp_path, content):
 def test_client_config(tmp_path):
     config = read_client_config(write_yaml(tmp_path, {"client_id": "c", "files": {"claims": "a.csv"}}))
     assert (config.feed_id, config.name, config.files["claims"]) == ("c", "c", "a.csv")
-    for content, message in [("", "empty file"), ("- 1", "list"), ({"files": {"claims": "a"}}, "client_id"), ({"client_id": "c"}, "files")]:
+    for content, message in [("", "found empty file"), ("- 1", "found list"), ({"files": {"claims": "a"}}, "client_id"), ({"client_id": "c"}, "no files")]:
         with pytest.raises(ValueError, match=message):
             read_client_config(write_yaml(tmp_path, content))
 
