@@ -66,7 +66,7 @@ def derive_providers(claims: DataFrame, order=ORD) -> DataFrame:
 def number_by_first_appearance(dim: DataFrame, key: str, out: str, order: str = ORD) -> DataFrame:
     """Distinct non-null keys with 1..k in order of first appearance."""
     firsts = dim.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(order).alias(ORD))
-    return number_by_ordinal(firsts, ORD, out).select(key, out)
+    return number_by_ordinal(stage(firsts, f"{key}_firsts"), ORD, out).select(key, out)
 
 
 def map_surrogates(

@@ -87,9 +87,13 @@ def add_file_ordinal(staged: DataFrame) -> DataFrame:
 def number_by_ordinal(df: DataFrame, ordinal: str, out: str, bucket: int = BUCKET) -> DataFrame:
     """Number rows 1..n in the order of a distinct non-negative BIGINT column with gaps.
 
-    Distinct ordinals mean that no bucket can hold more than ``bucket`` rows, so
-    the windows below stay bounded however the ordinals are spread.
+    Up to ``bucket`` rows fit one window. Beyond that rows are numbered per bucket
+    of ordinals: distinct ordinals mean that no bucket can hold more than
+    ``bucket`` rows, so every window stays bounded however they are spread.
+    ``df`` is counted first: pass a stored frame.
     """
+    if df.limit(bucket + 1).count() <= bucket:
+        return df.withColumn(out, F.row_number().over(Window.orderBy(ordinal)).cast("bigint"))
     rows = df.withColumn("_bucket", F.expr(f"`{ordinal}` div {bucket}"))
     counts = (
         rows.groupBy("_bucket")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +37,11 @@ def local_session(cores: int | str = 8, app: str = "claimloom", **conf) -> Spark
     return spark
 
 
+@cache
+def _local_work_folder() -> str:
+    return tempfile.mkdtemp(prefix="claimloom-")
+
+
 def work_folder(spark: SparkSession) -> str:
     """The cluster's shared folder for intermediate tables (``spark.checkpoint.dir``).
 
@@ -47,7 +52,7 @@ def work_folder(spark: SparkSession) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = os.environ.setdefault("CLAIMLOOM_LOCAL_WORK", tempfile.mkdtemp(prefix="claimloom-"))
+        shared = _local_work_folder()
     return shared.rstrip("/")
 
 
