@@ -34,7 +34,7 @@ def age_band(age: Column) -> Column:
 
 def dob_from_age(age: Column, as_of: AsOf) -> Column:
     """Birth date from an age text; an unreadable age counts as 0 years."""
-    years = F.coalesce(age.try_cast("double"), F.lit(0.0))
+    years = F.coalesce(to_number(age), F.lit(0.0))
     return F.date_sub(_date(as_of), F.ceil(years * 365.25).cast("int"))
 
 
@@ -104,17 +104,28 @@ def money_text(value: Column, digits: int) -> Column:
 
 
 # ---- coercion ----------------------------------------------------------------
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def is_number(value: Column) -> Column:
+    return value.rlike(NUMBER)
+
+
+def to_number(value: Column) -> Column:
+    """Text to DOUBLE, null if it is no number.
+
+    The pattern goes first because a failing cast costs an exception per row.
+    """
+    return F.when(is_number(value), value.try_cast("double"))
+
+
 def to_key(value: Column) -> Column:
     """Text to BIGINT; ``12`` and ``12.0`` are keys, anything else is null."""
-    as_float = value.try_cast("double")
+    as_float = to_number(value)
     whole = F.when(as_float == F.floor(as_float), as_float.try_cast("bigint"))
     return F.coalesce(value.try_cast("bigint"), whole)
 
 
-def is_number(value: Column) -> Column:
-    return value.try_cast("double").isNotNull()
-
-
 def strict_cast(value: Column, dtype, name: str) -> Column:
     """Cast, but fail the job on a value that does not fit, whatever the ANSI setting."""
     out = value.try_cast(dtype)

@@ -95,7 +95,7 @@ def test_texts(spark):
 
 
 def test_keys_and_strict_casts(spark):
-    for text, key in [("12", 12), ("12.0", 12), ("1.5", None), ("P01", None), (None, None), ("9007199254740993", 9007199254740993)]:
+    for text, key in [("12", 12), ("12.0", 12), ("1.5", None), ("P01", None), (None, None), (" 8 ", 8), ("1e3", 1000), ("-4", -4), (".", None), ("", None), ("9007199254740993", 9007199254740993)]:
         assert one(spark, exprs.to_key(F.lit(text).cast("string"))) == key
     assert one(spark, exprs.strict_cast(F.lit("2023-01-10"), "date", "d")) == dt.date(2023, 1, 10)
     assert one(spark, exprs.strict_cast(F.lit(None).cast("string"), "date", "d")) is None
