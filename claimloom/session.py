@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,23 +35,13 @@ def local_session(cores: int | str = 8, app: str = "claimloom", **conf) -> Spark
     return spark
 
 
-@cache
-def _local_work_folder() -> str:
-    return tempfile.mkdtemp(prefix="claimloom-")
-
-
 def work_folder(spark: SparkSession) -> str:
     """The cluster's shared folder for intermediate tables (``spark.checkpoint.dir``).
 
-    Only a local session may fall back to a folder of its own: on a cluster a
-    machine-local path would be lost with its machine.
+    Where that is unset, a folder in the warehouse, which every executor can reach as well.
     """
     shared = spark.conf.get("spark.checkpoint.dir", "")
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = _local_work_folder()
-    return shared.rstrip("/")
+    return (shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
 
 
 _run_folder: ContextVar[str | None] = ContextVar("claimloom_run_folder", default=None)
