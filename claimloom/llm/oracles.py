@@ -43,6 +43,46 @@ def near_duplicates(percent: int) -> str:
     """
 
 
+#: Counts of every text, repeated 3-word windows, and lines in more than 30 documents of a source.
+_LINE_RULES = r"""
+    WITH rows AS (
+        SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text,
+            list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+        FROM documents
+    ),
+    lines AS (
+        SELECT doc_id, host, line, regexp_split_to_array(line, '[\x20\x09-\x0D]+') AS raw
+        FROM (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS line FROM rows)
+        WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+    ),
+    keyed AS (
+        SELECT doc_id, host, line, lower(array_to_string(list_filter(raw, lambda x: x <> ''), ' ')) AS k,
+            len(list_filter(raw, lambda x: x <> '')) AS n
+        FROM lines
+    ),
+    hot AS (SELECT host, k FROM keyed GROUP BY host, k HAVING count(DISTINCT doc_id) > 30),
+    removed AS (SELECT doc_id, sum(n) AS n FROM keyed SEMI JOIN hot USING (host, k) GROUP BY doc_id),
+    dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM keyed GROUP BY doc_id),
+    grams AS (
+        SELECT doc_id, i, array_to_string(ws[i : i + 2], ' ') AS g
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM rows WHERE len(ws) >= 3)
+    ),
+    twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM grams) WHERE c > 1),
+    covered AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM twice, (VALUES (0), (1), (2)) t(o) GROUP BY doc_id),
+    counts AS (
+        SELECT rows.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+            (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+            coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+            coalesce(removed.n, 0)::BIGINT AS removed_words
+        FROM rows LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN removed USING (doc_id)
+    )
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * removed_words <= 50 * n_words AS kept
+    FROM counts
+"""
+
+
 ORACLES: dict[str, str] = {
     "op9_near_dedup": near_duplicates(85),
+    "op8_line_rules": _LINE_RULES,
 }

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from claimloom.llm.line_rules import line_rules
 from claimloom.llm.near_dedup import near_duplicates
+from claimloom.llm.sharding import histogram_shards
 from claimloom.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +24,26 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate components of all documents at a similarity of 0.85."""
     return near_duplicates(table(spark, folder, "documents"), percent=85)
+
+
+@query
+def op8_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Text statistics and the verdict of the line rules for all documents."""
+    return line_rules(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words"
+    )
+
+
+@query
+def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 40 shards of near-equal bytes."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return histogram_shards(docs).select(
+        "doc_id",
+        "size",
+        F.crc32(F.encode(F.coalesce("text", F.lit("")), "utf-8")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
