@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimloom.llm.html_text import extract
 from claimloom.llm.line_rules import line_rules
 from claimloom.llm.near_dedup import near_duplicates
 from claimloom.llm.sharding import histogram_shards
@@ -47,3 +48,10 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of all pages."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return extract(pages).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
