@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimloom.llm.chat import chat_windows, window_digests
 from claimloom.llm.html_text import extract
 from claimloom.llm.line_rules import line_rules
 from claimloom.llm.near_dedup import near_duplicates
+from claimloom.llm.secrets import find_secrets
 from claimloom.llm.sharding import histogram_shards
 from claimloom.llm.text import table
 
@@ -55,3 +57,26 @@ def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of all pages."""
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     return extract(pages).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+@query
+def op2_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one made of control strings, as windows; what they say is read back."""
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], given.schema)
+    return window_digests(chat_windows(given.unionByName(extra)))
+
+
+@query
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in all documents."""
+    found = find_secrets(table(spark, folder, "documents").select("doc_id", "text"))
+    written = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    of = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    base = F.filter("secrets", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id", of("assign"), of("access"), of("hex"), F.sha2(written(base), 256).alias("base_sha256"), written(F.col("secrets")).alias("spans")
+    )
