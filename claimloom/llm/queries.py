@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimloom.llm.bpe import decode_documents, encode_documents
 from claimloom.llm.chat import chat_windows, window_digests
 from claimloom.llm.html_text import extract
 from claimloom.llm.line_rules import line_rules
@@ -80,3 +82,11 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", of("assign"), of("access"), of("hex"), F.sha2(written(base), 256).alias("base_sha256"), written(F.col("secrets")).alias("spans")
     )
+
+
+@query
+def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded with a public vocabulary, and decoded again."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoded = encode_documents(table(spark, folder, "documents"), path)
+    return decode_documents(encoded, path).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
