@@ -13,6 +13,7 @@ from claimloom.llm.chat import chat_windows, window_digests
 from claimloom.llm.html_text import extract
 from claimloom.llm.line_rules import line_rules
 from claimloom.llm.near_dedup import near_duplicates
+from claimloom.llm.quality_gam import id_remainder, score_quality
 from claimloom.llm.secrets import find_secrets
 from claimloom.llm.sharding import histogram_shards
 from claimloom.llm.text import table
@@ -90,3 +91,11 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     encoded = encode_documents(table(spark, folder, "documents"), path)
     return decode_documents(encoded, path).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality scores of all documents; a fifth of the ids never teaches."""
+    held_out = id_remainder(F.col("doc_id"), 5) == 0
+    scored = score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"), held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
