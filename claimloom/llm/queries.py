@@ -17,6 +17,7 @@ from claimloom.llm.quality_gam import id_remainder, score_quality
 from claimloom.llm.secrets import find_secrets
 from claimloom.llm.sharding import histogram_shards
 from claimloom.llm.text import table
+from claimloom.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -99,3 +100,11 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     held_out = id_remainder(F.col("doc_id"), 5) == 0
     scored = score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"), held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity scores of all documents; a quarter of the ids never teaches."""
+    held_out = id_remainder(F.col("doc_id"), 4) == 2
+    scored = score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"), held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
