@@ -82,7 +82,27 @@ _LINE_RULES = r"""
 """
 
 
+#: Items and documents by shared 5-word shingles.
+_CONTAINED = f"""
+    WITH {_SHINGLES},
+    item_words AS (
+        SELECT item_id, list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+        FROM benchmark
+    ),
+    items AS (
+        SELECT DISTINCT item_id, array_to_string(ws[i : i + 4], ' ') AS s
+        FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM item_words WHERE len(ws) > 0)
+    ),
+    item_sizes AS (SELECT item_id, count(*) AS n FROM items GROUP BY item_id),
+    shared AS (SELECT doc_id, item_id, count(*) AS k FROM shingles JOIN items USING (s) GROUP BY ALL)
+    SELECT doc_id, item_id, k::BIGINT AS shared, n::BIGINT AS item_shingles
+    FROM shared JOIN item_sizes USING (item_id) WHERE 100 * k >= 80 * n
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op3_decontaminate": _CONTAINED,
     "op9_near_dedup": near_duplicates(85),
     "op8_line_rules": _LINE_RULES,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from claimloom.llm.bpe import decode_documents, encode_documents
 from claimloom.llm.chat import chat_windows, window_digests
+from claimloom.llm.decontaminate import contained_items
 from claimloom.llm.html_text import extract
 from claimloom.llm.line_rules import line_rules
 from claimloom.llm.near_dedup import near_duplicates
@@ -108,3 +109,9 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     held_out = id_remainder(F.col("doc_id"), 4) == 2
     scored = score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"), held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items that documents have to 80 % or more."""
+    return contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
