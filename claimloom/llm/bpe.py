@@ -207,13 +207,13 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
                 ids_sha = [hashlib.sha256(i.values.to_numpy().astype("<u4").tobytes()).hexdigest() for i in column]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0), part.column(1), pa.array([t.decode() for t in texts], pa.string()),
+                        part.column(0), part.column(1), column, pa.array([t.decode() for t in texts], pa.string()),
                         pa.array(ids_sha, pa.string()), pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
                     ],
-                    names=["doc_id", "n_tokens", "decoded", "ids_sha256", "decoded_sha256"],
+                    names=["doc_id", "n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256"],
                 )
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(
-        run, f"doc_id {kind}, n_tokens bigint, decoded string, ids_sha256 string, decoded_sha256 string"
+        run, f"doc_id {kind}, n_tokens bigint, ids array<int>, decoded string, ids_sha256 string, decoded_sha256 string"
     )

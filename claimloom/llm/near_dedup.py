@@ -203,3 +203,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, id_col:
     return result.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
+
+
+def one_of_each(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates, the one with the smallest doc_id.
+
+    All columns are kept. Of rows that repeat a doc_id one stays; rows without a doc_id all stay.
+    """
+    gone = near_duplicates(docs, percent, words).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    known = docs.where("doc_id is not null")
+    stays = known.join(stage(gone, "gone"), known["doc_id"] == F.col("_gone"), "leftanti").dropDuplicates(["doc_id"])
+    return stays.unionByName(docs.where("doc_id is null"))
