@@ -40,8 +40,8 @@ class Codec:
     def __init__(self, raw: bytes) -> None:
         spec = json.loads(raw)
         model, suffix = spec["model"], spec["model"].get("end_of_word_suffix")
-        steps = [n["type"] for n in spec["normalizer"]["normalizers"]]
-        cuts = [p["type"] for p in spec["pre_tokenizer"]["pretokenizers"]]
+        steps = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", ())]
+        cuts = [p["type"] for p in (spec["pre_tokenizer"] or {}).get("pretokenizers", ())]
         if model["type"] != "BPE" or not suffix or steps != _NORMALIZERS or cuts != _PRETOKENIZERS or spec["decoder"] is not None:
             raise ValueError("the vocabulary file has parts that this encoder does not follow")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 from claimloom.llm.quality_gam import training_rows
 from claimloom.llm.text import utf8
+from claimloom.session import stage
 
 #: The lexicon is learned from at most so many labelled rows, the first by a hash of their id.
 MAX_TRAINING_ROWS = 40_000
 MAX_LEXICON = 2_000  # words, those with the strongest evidence
-MIN_CONTEXTS = 5  # different neighbours in toxic documents; copies of one document do not count as evidence
+MIN_TEXTS = 3  # toxic texts with a word, told apart by its neighbours there, so that copies count once
 ACCEPT = 0.3
 
 #: Characters that stand for letters, and the letters that they may stand for (fixed values).
@@ -103,7 +104,7 @@ def lattice(token: str, spaced: bool = False) -> list[list[tuple[str, float]]]:
     at = 0
     while at < len(token):
         c, end = token[at], at + 1
-        while end < len(token) and token[end] == c:
+        while end < len(token) and token[end] == c and not spaced:
             end += 1
         n, at = end - at, end
         if c in _CODE:
@@ -296,64 +297,71 @@ def _half(text: bytes | None) -> int:
     return xxhash.xxh3_64_intdigest(text or b"") & 1
 
 
+def _best(counted: DataFrame) -> dict[str, float]:
+    """Weights of the units with the surest evidence: a lower bound of their share of toxic uses, as log odds."""
+    uses = F.col("toxic") + F.col("harmless") + 1.0
+    share = (F.col("toxic") + 0.5) / uses
+    found = counted.withColumn("sure", share - F.sqrt(share * (1 - share) / uses))
+    found = found.where((F.col("texts") >= MIN_TEXTS) & (F.col("sure") > 0.6))
+    rows = found.orderBy(F.desc("sure"), F.desc("toxic"), "unit").limit(MAX_LEXICON).collect()
+    return {r.unit: float(np.log(r.sure / (1 - min(r.sure, 0.999)))) for r in rows}
+
+
 def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, max_rows: int = MAX_TRAINING_ROWS) -> Scorer:
     """Lexicon and curve from ``labels`` (doc_id, toxic).
 
-    The evidence of a word or a beginning of words is the number of different neighbourhoods that it has in
-    toxic texts against those in harmless texts, text by text. The lexicon comes
-    from one half of the labelled texts, the curve from the other; copies of a
-    text fall into one half. Word counts are summed in tasks; at most
-    ``MAX_LEXICON`` words and ``max_rows`` rows of five numbers reach the driver.
+    The evidence of a word or a beginning of words is the number of different
+    neighbourhoods that it has in toxic texts against those in harmless texts,
+    text by text. The curve is fitted on evidence by words learned from the other
+    half of the texts (copies of a text fall into one half); the lexicon is then
+    learned from all. Counts are summed in tasks; at most ``MAX_LEXICON`` words
+    and ``max_rows`` rows of five numbers reach the driver.
     """
     rows = training_rows(docs, labels, "toxic", max_rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model)
         for batch in batches:
-            words, near, texts = [], [], []
-            harmless: dict[str, int] = {}
+            toxic: list[tuple[int, str, int, bool]] = []  # half, unit, place, whether it stands for the text
+            harmless: dict[tuple[int, str], int] = {}
             for label, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-                if _half(text):
-                    continue
-                said = restorer.words((text or b"").decode())
-                around = {(w, xxhash.xxh3_64_intdigest(" ".join(said[max(0, i - 1) : i + 2])) >> 1) for i, w in enumerate(said)}
-                for word, place in sorted(around):
-                    for unit in units(word):
-                        if label:
-                            words.append(unit)
-                            near.append(place)
-                            texts.append(0)
-                        else:
-                            harmless[unit] = harmless.get(unit, 0) + 1
-            words += harmless
-            near += [None] * len(harmless)
-            texts += harmless.values()
+                half, said = _half(text), restorer.words((text or b"").decode())
+                near = {(w, xxhash.xxh3_64_intdigest(" ".join(said[max(0, i - 1) : i + 2])) >> 1) for i, w in enumerate(said)}
+                uses = sorted((unit, place) for word, place in near for unit in units(word))
+                for i, (unit, place) in enumerate(uses):
+                    if label:
+                        toxic.append((half, unit, place, i == 0 or uses[i - 1][0] != unit))
+                    else:
+                        harmless[half, unit] = harmless.get((half, unit), 0) + 1
+            halves, unit, place, first = zip(*toxic) if toxic else ((), (), (), ())
+            none = [None] * len(harmless)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.string()), pa.array(near, pa.int64()), pa.array(texts, pa.int64())], names=["word", "near", "harmless"]
-            )
-
-    counted = rows.mapInArrow(count, "word string, near bigint, harmless bigint").groupBy("word")
-    found = counted.agg(F.count_distinct("near").alias("toxic"), F.sum("harmless").alias("harmless")).where(F.col("toxic") >= MIN_CONTEXTS)
-    share = (F.col("toxic") + 0.5) / (F.col("toxic") + F.col("harmless") + 1.0)
-    sure = share - 1.64 * F.sqrt(share * (1 - share) / (F.col("toxic") + F.col("harmless") + 1.0))  # a lower bound
-    found = found.withColumn("sure", sure).where(F.col("sure") > 0.6)
-    best = found.orderBy(F.desc("sure"), "word").limit(MAX_LEXICON).collect()
-    scorer = Scorer(model, {r.word: float(np.log(r.sure / (1 - min(r.sure, 0.999)))) for r in best}, np.zeros(N_EVIDENCE))
+                [
+                    pa.array([*halves, *(h for h, _ in harmless)], pa.int32()), pa.array([*unit, *(u for _, u in harmless)], pa.string()),
+                    pa.array([*place, *none], pa.int64()), pa.array([p if f else None for p, f in zip(place, first)] + none, pa.int64()),
+                    pa.array([0] * len(unit) + [*harmless.values()], pa.int64()),
+                ],
+                names=["half", "unit", "place", "text", "harmless"],
+            )
+
+    counted = rows.mapInArrow(count, "half int, unit string, place bigint, text bigint, harmless bigint").groupBy("half", "unit")
+    counted = counted.agg(F.count_distinct("place").alias("toxic"), F.count_distinct("text").alias("texts"), F.sum("harmless").alias("harmless"))
+    counted = stage(counted, "toxic_units")
+    judges = [Scorer(model, _best(counted.where(F.col("half") != h)), np.zeros(N_EVIDENCE)) for h in (0, 1)]
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, weights = Restorer(model), {}
+        restorer, weights = Restorer(model), ({}, {})
         for batch in batches:
-            kept = [(y, scorer.evidence(restorer, (t or b"").decode(), weights)) for y, t in zip(batch.column(0).to_pylist(), utf8(batch.column(1))) if _half(t)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([y for y, _ in kept], pa.int32()), pa.array([x for _, x in kept], pa.list_(pa.float64()))], names=["label", "x"]
-            )
+            halves = [(_half(t), (t or b"").decode()) for t in utf8(batch.column(1))]
+            x = [judges[h].evidence(restorer, t, weights[h]) for h, t in halves]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["label", "x"])
 
     other = rows.mapInArrow(weigh, "label int, x array<double>").toArrow()
     y = other.column("label").to_numpy().astype(np.float64)
     x = np.array(other.column("x").to_pylist(), dtype=np.float64).reshape(len(y), N_EVIDENCE)
     order = np.lexsort((*x.T, y))
-    scorer.curve = _fit_curve(x[order], y[order])
-    return scorer
+    whole = counted.groupBy("unit").agg(*(F.sum(c).alias(c) for c in ("toxic", "texts", "harmless")))
+    return Scorer(model, _best(whole), _fit_curve(x[order], y[order]))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
