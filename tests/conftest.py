@@ -10,8 +10,11 @@ from claimloom.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, "claimloom-tests", **{"spark.driver.memory": "6g"})
+def spark(tmp_path_factory):
+    work = str(tmp_path_factory.mktemp("work"))
+    session = local_session(
+        8, "claimloom-tests", **{"spark.driver.memory": "6g", "spark.checkpoint.dir": work, "spark.sql.warehouse.dir": f"{work}/warehouse"}
+    )
     yield session
     session.stop()
 
