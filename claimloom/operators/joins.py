@@ -5,16 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001  # a key with more than this share of the rows is split; at most 1/HOT_SHARE such keys exist
-SALTS = 64
-
-
-def _skew_join_is_on(df: DataFrame) -> bool:
-    conf = df.sparkSession.conf
-    return all(
-        conf.get(key, "true").lower() == "true"
-        for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
-    )
+#: Null keys of a left join match nothing, so they may go anywhere; they are dealt to so many buckets.
+NULL_BUCKETS = 4096
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -22,43 +14,19 @@ def join_dimension(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner"
 
     No broadcast hint: Spark broadcasts the dimension when its measured size is
     under the session's threshold and shuffles both sides otherwise. A hot key
-    then lands in one reduce partition, which adaptive execution splits. Where
-    a session has switched that off, the hot keys are salted instead.
+    then lands in one reduce partition, which adaptive execution splits. In a
+    left join the null keys, which match nothing, are spread by a hash of their
+    row in any session.
     """
-    if _skew_join_is_on(fact):
+    if how != "left":
         return fact.join(dim, key, how)
-    return salted_join(fact, dim, key, how)
-
-
-def hot_keys(fact: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys with more than ``share`` of all rows: at most ``1/share`` rows, whatever the data."""
-    counts = fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = fact.count()
-    return counts.filter(F.col("_n") > F.lit(total * share)).select(key)
-
-
-def salted_join(
-    fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", share: float = HOT_SHARE, salts: int = SALTS
-) -> DataFrame:
-    """Spread the rows of hot keys over ``salts`` partitions; exact, all rows kept.
-
-    The salt is a hash of the row, so a re-run task assigns it again unchanged.
-    """
-    hot = F.broadcast(hot_keys(fact, key, share).withColumn("_hot", F.lit(True)))  # <= 1/share rows
-    row_hash = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts)).cast("int")
-    left = fact.join(hot, key, "left").withColumn("_salt", F.when(F.col("_hot"), row_hash).otherwise(0)).drop("_hot")
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
-    right = (
-        dim.join(hot, key, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
-    return left.join(right, [key, "_salt"], how).drop("_salt")
-
-
-def broadcast_up_to(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` if a count proves it small; otherwise leave the join to shuffle."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    row = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(NULL_BUCKETS)).cast("int")
+    left = fact.withColumn("_null_bucket", F.when(F.col(key).isNull(), row + 1).otherwise(0))
+    right = dim.withColumnRenamed(key, "_dim_key")
+    # always 0, but no literal: the optimizer would take a literal out of the keys that rows are dealt by
+    right = right.withColumn("_dim_bucket", F.pmod(F.xxhash64("_dim_key"), F.lit(1)).cast("int"))
+    same = (F.col(key) == F.col("_dim_key")) & (F.col("_null_bucket") == F.col("_dim_bucket"))
+    return left.join(right, same, "left").drop("_null_bucket", "_dim_key", "_dim_bucket")
 
 
 def orphan_rows(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:

@@ -99,11 +99,13 @@ def map_surrogates(
 
     dim, fact = dim.withColumn(key, text), fact.withColumn(key, text)
     numbers = stage(number_by_first_appearance(dim, key, "_number", order), f"{key}_numbers")
-    unknown = [] if known else missing_keys(fact, numbers, key).limit(100).collect()  # bounded sample for the message
-    if unknown:
-        shown = ", ".join(repr(r[0]) for r in unknown[:5])
-        more = f" (and {len(unknown) - 5} more)" if len(unknown) > 5 else ""
-        raise ValueError(f"{key} values of the claims without a dimension row: {shown}{more}")
+    if not known:
+        unknown = stage(missing_keys(fact, numbers, key), f"{key}_unknown")
+        count = unknown.count()
+        if count:
+            shown = ", ".join(repr(r[0]) for r in unknown.orderBy(key).limit(5).collect())  # all are counted, five shown
+            more = f" (and {count - 5} more)" if count > 5 else ""
+            raise ValueError(f"{key} values of the claims without a dimension row: {shown}{more}")
 
     def rewrite(df: DataFrame) -> DataFrame:
         columns = [F.col("_number").alias(key) if c == key else F.col(c) for c in df.columns]

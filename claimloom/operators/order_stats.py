@@ -1,10 +1,10 @@
 """Exact order statistics and quantiles with bounded memory.
 
 Spark's ``percentile`` keeps every distinct value of a group in one task. Here
-the k-th value is found by narrowing a value range: each pass counts rows per
-equal-width slice (a map-side combined count over at most ``SLICES`` slices per
-target) and keeps the slice that holds the wanted rank. A range of 2^63 needs
-six passes, a money column usually two or three.
+the k-th value is found by narrowing a value range: each pass counts the rows
+per slice of the range that holds the wanted rank (a map-side combined count
+over at most ``SLICES`` slices per range) and steps into one slice. No pass
+joins anything: slices and open ranges are expressions of a row.
 """
 
 from __future__ import annotations
@@ -24,24 +24,24 @@ class Span:
     """Size and value range of a group."""
 
     rows: int
-    low: int
-    high: int
+    low: float
+    high: float
 
 
 @dataclass(frozen=True)
 class Target:
-    """Find the value of 0-based ``rank`` among the group's values from ``low`` on."""
+    """Find the value of 0-based ``rank`` among the group's values from ``low`` to ``high``."""
 
     group: str
     rank: int
-    low: int
-    width: int  # slice width of the next pass; 0 once found
+    low: float
+    high: float
 
 
-def _values(df: DataFrame, value: str, group: str | None) -> DataFrame:
+def _values(df: DataFrame, value: str, group: str | None, kind: str = "bigint") -> DataFrame:
     """(_group, _value) rows without nulls."""
     name = F.col(group).cast("string") if group else F.lit("")
-    return df.select(name.alias("_group"), F.col(value).cast("bigint").alias("_value")).filter("_value is not null")
+    return df.select(name.alias("_group"), F.col(value).cast(kind).alias("_value")).filter("_value is not null")
 
 
 def in_units(amount: Column, scale: int) -> Column:
@@ -57,48 +57,62 @@ def _spans(values: DataFrame) -> dict[str, Span]:
     return {r["_group"]: Span(r["rows"], r["low"], r["high"]) for r in found.collect()}
 
 
-def _narrow(values: DataFrame, targets: list[Target], slices: int) -> list[Target]:
+def _slice(low: float, high: float, slices: int, whole: bool) -> Column:
+    """Slice of a value: grows with it, and the ends of the range are never in the same slice.
+
+    Whole numbers are cut by an arithmetic shift, which cannot overflow however
+    far apart the ends are; doubles by their share of the range.
+    """
+    value = F.col("_value")
+    if whole:
+        shift = next(s for s in range(64) if (high >> s) - (low >> s) < slices)
+        return F.shiftright(value, shift)
+    # halves, as the width of a range may exceed the largest double
+    share = (value / 2 - F.lit(low / 2)) / F.lit(high / 2 - low / 2)
+    return F.least(F.floor(share * slices), F.lit(slices - 1)).cast("bigint")
+
+
+def _narrow(values: DataFrame, targets: list[Target], slices: int, whole: bool) -> list[Target]:
     """One pass: count rows per slice and step into the slice that holds each rank.
 
     Targets that search the same range share one histogram.
     """
-    ranges = sorted({(t.group, t.low, t.width) for t in targets})
+    ranges = sorted({(t.group, t.low, t.high) for t in targets})
     number = {r: i for i, r in enumerate(ranges)}
-    table = values.sparkSession.createDataFrame(
-        [(number[r], *r) for r in ranges], "_range int, _group string, _low bigint, _width bigint"
+    cells = [
+        F.when(
+            (F.col("_group") == group) & F.col("_value").between(low, high),
+            F.struct(F.lit(i).alias("_range"), _slice(low, high, slices, whole).alias("_slice")),
+        )
+        for (group, low, high), i in number.items()
+    ]
+    hits = values.select("_value", F.explode(F.array_compact(F.array(*cells))).alias("_at")).select("_value", "_at.*")
+    counts = hits.groupBy("_range", "_slice").agg(
+        F.count("*").alias("_n"), F.min("_value").alias("_least"), F.max("_value").alias("_most")
     )
-    # At most one row per target: a few groups times a few quantiles.
-    hits = values.join(F.broadcast(table), "_group").filter(F.col("_value") >= F.col("_low"))
-    hits = hits.withColumn("_slice", F.expr("(_value - _low) div _width")).filter(F.col("_slice") < slices)
-    counts = hits.groupBy("_range", "_slice").agg(F.count("*").alias("_n"))
     # At most `slices` rows per window partition.
     upto = F.sum("_n").over(Window.partitionBy("_range").orderBy("_slice"))
-    ranked = counts.select("_range", "_slice", upto.alias("_upto"), (upto - F.col("_n")).alias("_before"))
+    ranked = counts.select("_range", "_least", "_most", upto.alias("_upto"), (upto - F.col("_n")).alias("_before"))
     holds_rank = F.lit(False)
     for t in targets:
-        at = number[t.group, t.low, t.width]
+        at = number[t.group, t.low, t.high]
         holds_rank |= (F.col("_range") == at) & (F.col("_before") <= t.rank) & (F.col("_upto") > t.rank)
     slots = ranked.filter(holds_rank).collect()  # at most one row per target
     out = []
     for t in targets:
-        at = number[t.group, t.low, t.width]
+        at = number[t.group, t.low, t.high]
         slot = next(r for r in slots if r["_range"] == at and r["_before"] <= t.rank < r["_upto"])
-        width = 0 if t.width == 1 else math.ceil(t.width / slices)
-        out.append(replace(t, low=t.low + slot["_slice"] * t.width, rank=t.rank - slot["_before"], width=width))
+        out.append(replace(t, low=slot["_least"], high=slot["_most"], rank=t.rank - slot["_before"]))
     return out
 
 
 def _search(
-    values: DataFrame, spans: dict[str, Span], wanted: Iterable[tuple[str, int]], slices: int
-) -> dict[tuple[str, int], int]:
+    values: DataFrame, spans: dict[str, Span], wanted: Iterable[tuple[str, int]], slices: int, whole: bool = True
+) -> dict[tuple[str, int], float]:
     keys = list(wanted)
-    targets = []
-    for group, rank in keys:
-        span = spans[group]
-        targets.append(Target(group, rank, span.low, max(1, math.ceil((span.high - span.low + 1) / slices))))
-    while any(t.width for t in targets):
-        open_at = [i for i, t in enumerate(targets) if t.width]
-        for i, t in zip(open_at, _narrow(values, [targets[i] for i in open_at], slices)):
+    targets = [Target(group, rank, spans[group].low, spans[group].high) for group, rank in keys]
+    while open_at := [i for i, t in enumerate(targets) if t.low < t.high]:
+        for i, t in zip(open_at, _narrow(values, [targets[i] for i in open_at], slices, whole)):
             targets[i] = t
     return {key: t.low for key, t in zip(keys, targets)}
 
@@ -116,19 +130,22 @@ def ranked_values(
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probabilities: Sequence[float], scale: int = 0, group: str | None = None
+    df: DataFrame, value: str, probabilities: Sequence[float], scale: int = 0, group: str | None = None, kind: str = "bigint"
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of a BIGINT column of ``in_units(amount, scale)``, per group.
 
+    With ``kind="double"`` the column is DOUBLE (no units; NaN is left out).
     Returns one list per group (``""`` without ``group``); a group without
     values is absent, the ungrouped result then holds nulls.
     """
     unit = 10**scale
-    values = _values(df, value, group)
+    values = _values(df, value, group, kind)
+    if kind == "double":
+        values = values.filter(~F.isnan("_value"))
     spans = _spans(values)
     places = {(g, p): p * (span.rows - 1) for g, span in spans.items() for p in probabilities}
     wanted = sorted({(g, r) for (g, _), x in places.items() for r in (math.floor(x), math.ceil(x))})
-    found = _search(values, spans, wanted, SLICES)
+    found = _search(values, spans, wanted, SLICES, kind == "bigint")
 
     def interpolate(g: str, p: float) -> float:
         x = places[g, p]

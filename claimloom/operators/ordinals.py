@@ -10,13 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.operators.joins import broadcast_up_to
 from claimloom.session import stage
 
 SRC_FILE, SRC_BLOCK, SRC_SEQ = "_src_file", "_src_block", "_src_seq"
 ORD = "_ord"
 
-MAX_BROADCAST_BLOCKS = 1_000_000  # one row per scanned block of about 128 MB
 BUCKET = 1 << 20  # ordinals per window partition
 BUCKETS_PER_GROUP = 1 << 12
 
@@ -60,7 +58,8 @@ def add_file_ordinal(staged: DataFrame) -> DataFrame:
 
     Positions within a block are consecutive, so a row's ordinal is its position
     plus a shift known per block. Only the block table goes through windows: one
-    row per block, and the file list the driver holds anyway.
+    row per block, and the file list the driver holds anyway. It is stored, so
+    that readers of the result do not count the rows again.
     """
     blocks = staged.groupBy(SRC_FILE, SRC_BLOCK).agg(
         F.count("*").alias("_rows"), F.min(SRC_SEQ).alias("_first")
@@ -78,7 +77,7 @@ def add_file_ordinal(staged: DataFrame) -> DataFrame:
         )
     )
     return (
-        staged.join(broadcast_up_to(shifts, MAX_BROADCAST_BLOCKS), [SRC_FILE, SRC_BLOCK])
+        staged.join(stage(shifts, "block_shifts"), [SRC_FILE, SRC_BLOCK])
         .withColumn(ORD, F.col(SRC_SEQ) + F.col("_shift"))
         .drop(SRC_FILE, SRC_BLOCK, SRC_SEQ, "_shift")
     )
@@ -87,13 +86,10 @@ def add_file_ordinal(staged: DataFrame) -> DataFrame:
 def number_by_ordinal(df: DataFrame, ordinal: str, out: str, bucket: int = BUCKET) -> DataFrame:
     """Number rows 1..n in the order of a distinct non-negative BIGINT column with gaps.
 
-    Up to ``bucket`` rows fit one window. Beyond that rows are numbered per bucket
-    of ordinals: distinct ordinals mean that no bucket can hold more than
-    ``bucket`` rows, so every window stays bounded however they are spread.
-    ``df`` is counted first: pass a stored frame.
+    Rows are numbered per bucket of ordinals: distinct ordinals mean that no
+    bucket can hold more than ``bucket`` rows, so every window stays bounded
+    however they are spread. ``df`` is read twice: pass a stored frame.
     """
-    if df.limit(bucket + 1).count() <= bucket:
-        return df.withColumn(out, F.row_number().over(Window.orderBy(ordinal)).cast("bigint"))
     rows = df.withColumn("_bucket", F.expr(f"`{ordinal}` div {bucket}"))
     counts = (
         rows.groupBy("_bucket")

@@ -28,13 +28,16 @@ def value_counts(df: DataFrame) -> DataFrame:
 
 
 def _quartiles(df: DataFrame) -> dict[str, list[float]]:
-    """Quartiles per numeric column: exact for integers and decimals, all columns in the same passes."""
-    exact, out = {}, {}
+    """Exact quartiles per numeric column; all whole and decimal columns share their passes, all doubles theirs."""
+    exact, doubles, out = {}, [], {}
     for field in df.schema.fields:
         if isinstance(field.dataType, (IntegralType, DecimalType)):
             exact[field.name] = getattr(field.dataType, "scale", 0)
         elif isinstance(field.dataType, NumericType):
-            out[field.name] = df.approxQuantile(field.name, QUARTILES, 0.0001)
+            doubles.append(field.name)
+    if doubles:
+        cells = [F.struct(F.lit(c).alias("column_name"), as_double(F.col(c)).alias("value")) for c in doubles]
+        out |= exact_quantiles(df.select(F.inline(F.array(*cells))), "value", QUARTILES, 0, "column_name", "double")
     if exact:
         scale = max(exact.values())
         cells = [F.struct(F.lit(c).alias("column_name"), in_units(F.col(c), scale).alias("value")) for c in exact]
@@ -48,8 +51,8 @@ def profile(df: DataFrame, quartiles: bool = True) -> DataFrame:
     Every column has its type and number of non-null values; text-like columns
     their distinct values and the most frequent one (from one value count over
     all of them), numeric ones mean, std, min and max (from one aggregate) and
-    quartiles. Quartiles are exact for integer and decimal columns; they read
-    the input several times, so pass a stored table.
+    quartiles. Quartiles are exact; they read the input several times, so pass a
+    stored table.
     """
     spark = df.sparkSession
     fields = {f.name: f.dataType for f in df.schema.fields}

@@ -87,8 +87,8 @@ def features(labelled: DataFrame, as_of: dt.date) -> DataFrame:
 
 # ---- split ---------------------------------------------------------------------
 def with_split_hash(rows: DataFrame, keys: list[str], seed: int = SEED) -> DataFrame:
-    """A 32-bit row hash that orders rows at random but repeatably."""
-    return rows.withColumn("_hash", F.xxhash64(F.lit(seed), *keys).bitwiseAND(F.lit((1 << 32) - 1)))
+    """Two 64-bit hashes of a row's keys that order rows at random but repeatably; the second settles ties of the first."""
+    return rows.withColumns({"_hash": F.xxhash64(F.lit(seed), *keys), "_tie": F.xxhash64(F.lit(~seed), *keys)})
 
 
 def test_sizes(counts: dict[float, int], share: float = TEST_SHARE) -> dict[float, int]:
@@ -108,15 +108,23 @@ def stratified_split(
     """(train, test): per class the rows with the smallest hashes are the test rows.
 
     Instead of a global sort the cut hash of each class is found as an order
-    statistic; the split itself is a filter.
+    statistic, and so is the cut of the second hash among the rows that share the
+    first; the split itself is a filter. ``keys`` identify a row.
     """
     hashed = with_split_hash(rows, keys, seed)
-    sizes = {c: k for c, k in test_sizes(counts, share).items() if k > 0}
-    cuts = ranked_values(hashed, "_hash", {str(c): [k - 1] for c, k in sizes.items()}, group=label)
-    is_test = F.lit(False)
-    for (c, _), cut in cuts.items():
-        is_test = is_test | ((F.col(label).cast("string") == c) & (F.col("_hash") <= cut))
-    return hashed.filter(~is_test).drop("_hash"), hashed.filter(is_test).drop("_hash")
+    sizes = {str(c): k for c, k in test_sizes(counts, share).items() if k > 0}
+    name, first, second = F.col(label).cast("string"), F.col("_hash"), F.col("_tie")
+    cuts = {c: cut for (c, _), cut in ranked_values(hashed, "_hash", {c: [k - 1] for c, k in sizes.items()}, group=label).items()}
+    below, at_cut = F.lit(False), F.lit(False)
+    for c, cut in cuts.items():
+        below, at_cut = below | ((name == c) & (first < cut)), at_cut | ((name == c) & (first == cut))
+    taken = {r[0]: r[1] for r in hashed.filter(below).groupBy(name).agg(F.count("*")).collect()}
+    tied = hashed.filter(at_cut)
+    last = ranked_values(tied, "_tie", {c: [sizes[c] - 1 - taken.get(c, 0)] for c in cuts}, group=label)
+    is_test = below
+    for (c, _), tie in last.items():
+        is_test = is_test | ((name == c) & (first == cuts[c]) & (second <= tie))
+    return hashed.filter(~is_test).drop("_hash", "_tie"), hashed.filter(is_test).drop("_hash", "_tie")
 
 
 # ---- model ---------------------------------------------------------------------
@@ -183,8 +191,8 @@ def evaluate(rows: DataFrame, keys: list[str], stratify: bool = True, numeric: s
 def plain_split(rows: DataFrame, keys: list[str], share: float = TEST_SHARE, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """Unstratified: a row is a test row if its hash falls in the lowest ``share``."""
     hashed = with_split_hash(rows, keys, seed)
-    is_test = F.col("_hash") < int((1 << 32) * share)
-    return hashed.filter(~is_test).drop("_hash"), hashed.filter(is_test).drop("_hash")
+    is_test = F.col("_hash") < int((1 << 64) * share) - (1 << 63)
+    return hashed.filter(~is_test).drop("_hash", "_tie"), hashed.filter(is_test).drop("_hash", "_tie")
 
 
 def high_cost_score(claims: DataFrame, members: DataFrame, providers: DataFrame, as_of: dt.date) -> Score:

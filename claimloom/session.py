@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 SHUFFLED_SHARE = 0.2  # of a feed's bytes; keys, dates and amounts move, texts mostly do not
 PARTITION_BYTES = 256 << 20
-MAX_PARTITIONS = 50_000
 
 
 def local_session(cores: int | str = 8, app: str = "claimloom", **conf) -> SparkSession:
@@ -76,7 +75,7 @@ def sized_for(spark: SparkSession, size: int) -> Iterator[int]:
     """
     key = "spark.sql.shuffle.partitions"
     before = int(spark.conf.get(key))
-    wanted = max(before, min(MAX_PARTITIONS, int(size * SHUFFLED_SHARE / PARTITION_BYTES)))
+    wanted = max(before, int(size * SHUFFLED_SHARE / PARTITION_BYTES))
     spark.conf.set(key, wanted)
     try:
         yield wanted

@@ -92,10 +92,14 @@ def test_texts(spark):
     assert one(spark, exprs.cut_text(F.lit(None).cast("string"), 4)) is None
     assert one(spark, exprs.redact_password(F.lit("db://me:pw@host/x"))) == "db://me:***@host/x"
     assert one(spark, exprs.redact_password(F.lit("db://host/x"))) == "db://host/x"
+    assert one(spark, exprs.redact_password(F.lit("db://u:p@ss:w@host:1/x?m=a@b:c"))) == "db://u:***@host:1/x?m=a@b:c"
+    assert one(spark, exprs.redact_password(F.lit("db://u@host/x"))) == "db://u@host/x"
+    assert one(spark, exprs.redact_password(F.lit("no url: a@b"))) == "no url: a@b"
+    assert one(spark, exprs.redact_password(F.lit(None).cast("string"))) is None
 
 
 def test_keys_and_strict_casts(spark):
-    for text, key in [("12", 12), ("12.0", 12), ("1.5", None), ("P01", None), (None, None), (" 8 ", 8), ("1e3", 1000), ("-4", -4), (".", None), ("", None), ("9007199254740993", 9007199254740993)]:
+    for text, key in [("12", 12), ("12.0", 12), ("1.5", None), ("P01", None), (None, None), (" 8 ", 8), ("1e3", 1000), ("-4", -4), (".", None), ("", None), ("9007199254740993", 9007199254740993), ("12345678901234567.0", 12345678901234567), ("12345678901234568.00", 12345678901234568), ("99999999999999999999", None), ("1.", 1), ("+7", 7), (".0", None)]:
         assert one(spark, exprs.to_key(F.lit(text).cast("string"))) == key
     assert one(spark, exprs.strict_cast(F.lit("2023-01-10"), "date", "d")) == dt.date(2023, 1, 10)
     assert one(spark, exprs.strict_cast(F.lit(None).cast("string"), "date", "d")) is None

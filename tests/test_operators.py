@@ -21,33 +21,25 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_equals_plain_join(skewed, rows, how):
+def test_join_dimension_equals_plain_join(skewed, rows, how):
     fact, dim, _ = skewed
-    plain = rows(fact.join(dim, "k", how), "id", "k", "name")
-    assert rows(joins.salted_join(fact, dim, "k", how, share=0.05, salts=8), "id", "k", "name") == plain
+    assert rows(joins.join_dimension(fact, dim, "k", how), "id", "k", "name") == rows(fact.join(dim, "k", how), "id", "k", "name")
 
 
-def test_hot_keys_are_bounded(skewed):
-    fact, _, _ = skewed
-    assert [r["k"] for r in joins.hot_keys(fact, "k", 0.1).collect()] == [1]
-
-
-def test_join_dimension_salts_only_without_adaptive_skew_join(spark, skewed, rows):
-    fact, dim, _ = skewed
-    expected = rows(joins.join_dimension(fact, dim, "k"), "id", "name")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+def test_null_keys_are_spread_in_any_session(spark):
+    """A third of the rows without a key, no adaptive execution, no broadcast."""
+    fact = spark.range(30_000).selectExpr("id", "if(id % 3 = 0, null, id % 50) as k")
+    dim = spark.range(50).selectExpr("id as k", "concat('n', id) as name")
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
     try:
-        salted = joins.join_dimension(fact, dim, "k")
-        assert "xxhash64" in salted._jdf.queryExecution().toString()
-        assert rows(salted, "id", "name") == expected
+        joined = joins.join_dimension(fact, dim, "k", "left")
+        sizes = [r["count"] for r in joined.filter("k is null").groupBy(F.spark_partition_id()).count().collect()]
     finally:
-        spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
-
-
-def test_broadcast_only_up_to_the_bound(spark):
-    df = spark.range(10)
-    assert "broadcast" in joins.broadcast_up_to(df, 10)._jdf.queryExecution().toString()
-    assert "broadcast" not in joins.broadcast_up_to(df, 9)._jdf.queryExecution().toString()
+        for key in changed:
+            spark.conf.unset(key)
+    assert sum(sizes) == 10_000 and max(sizes) < 2_000 and joined.count() == 30_000
 
 
 def test_orphans_count_null_keys(skewed, rows):
@@ -102,7 +94,7 @@ def test_number_by_ordinal_closes_gaps(spark, bucket):
 @pytest.mark.parametrize("slices", [2, 7, 1 << 12])
 def test_ranked_values_equal_a_sort(spark, slices):
     rng = random.Random(11)
-    data = [("a", rng.randint(-(2**61), 2**61)) for _ in range(200)]
+    data = [("a", rng.randint(-(2**63), 2**63 - 1)) for _ in range(198)] + [("a", -(2**63)), ("a", 2**63 - 1)]
     data += [("b", 5)] * 120 + [("b", rng.randint(0, 9)) for _ in range(80)] + [("b", None)]
     df = spark.createDataFrame(data, "g string, v bigint").cache()
     ranks = {"a": [0, 7, 100, 199], "b": [0, 60, 199]}
@@ -121,6 +113,17 @@ def test_exact_quantiles_interpolate(spark):
     assert exact_quantiles(df.filter("v < 0"), "v", [0.9], scale=2)[""] == [None]
 
 
+def test_exact_quantiles_of_doubles(spark):
+    rng = random.Random(2)
+    data = [rng.gauss(0, 1) * 10 ** rng.randint(-300, 300) for _ in range(500)] + [1.7e308, -1.7e308, 0.0, 5e-324] + [0.25] * 50
+    df = spark.createDataFrame([(v,) for v in [*data, None, float("nan")]], "v double")
+    got = exact_quantiles(df, "v", [0.0, 0.5, 1.0], kind="double")[""]
+    ordered = sorted(data)
+    assert got[0] == ordered[0] and got[2] == ordered[-1]
+    n = len(ordered) - 1
+    assert got[1] == ordered[n // 2] + (ordered[-(-n // 2)] - ordered[n // 2]) * (n * 0.5 - n // 2)
+
+
 def test_lookup_keeps_rows_and_fills_default(spark, rows):
     cars = spark.createDataFrame([("Honda", 1), ("Kia", 2), ("Unseen", 3), (None, 4)], "make string, id int")
     out = lookup.lookup_fill(cars, "make", "country", {"Honda": "Japan", "Kia": "South Korea"})

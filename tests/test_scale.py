@@ -129,7 +129,7 @@ def test_partitions_grow_with_the_input(spark):
     with session.sized_for(spark, 10 * 1000**4) as wanted:
         assert wanted == 7450
     with session.sized_for(spark, 100 * 1000**4) as wanted:
-        assert wanted == session.MAX_PARTITIONS
+        assert wanted == 74_505
     with session.sized_for(spark, 1000) as wanted:
         assert wanted == int(before)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
