@@ -102,6 +102,31 @@ def class_means(df: DataFrame, by: str, value: str) -> DataFrame:
     )
 
 
+def moments(df: DataFrame, by: str, value: str) -> DataFrame:
+    """Additive statistics of a money column per key: rows, sum, sum of squares (exact decimals), smallest, largest."""
+    v = F.col(value)
+    return df.groupBy(by).agg(
+        F.count(v).alias("n"),
+        F.sum(v).alias("total"),
+        F.sum((v * v).cast("decimal(28,4)")).alias("squares"),
+        F.min(v).alias("minimum"),
+        F.max(v).alias("maximum"),
+    )
+
+
+def means_of_moments(sums: DataFrame, by: str) -> DataFrame:
+    """``class_means`` from ``moments``, for classes that only a join of the keys tells."""
+    n, total, squares = F.sum("n"), as_double(F.sum("total")), as_double(F.sum("squares"))
+    spread = F.greatest(squares - total * total / F.nullif(n, F.lit(0)), F.lit(0.0))
+    return sums.groupBy(by).agg(
+        n.alias("n"),
+        (total / F.nullif(n, F.lit(0))).alias("mean"),
+        F.when(n > 1, F.sqrt(spread / F.nullif(n - 1, F.lit(0)))).alias("std"),
+        as_double(F.min("minimum")).alias("minimum"),
+        as_double(F.max("maximum")).alias("maximum"),
+    )
+
+
 def frequency(df: DataFrame, column: str) -> DataFrame:
     """Rows per non-null value, most frequent first."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("rows"))

@@ -160,6 +160,11 @@ ORACLES: dict[str, str] = {
                monthname(d) AS month_name, CAST(quarter(d) AS INTEGER) AS quarter, dayname(d) AS day_of_week
         FROM (SELECT unnest(generate_series(min(CAST(l_shipdate AS DATE)),
                      max(CAST(l_shipdate AS DATE)) + INTERVAL 12 MONTH, INTERVAL 1 DAY)) AS d FROM lineitem)""",
+    "service_days": """
+        SELECT DISTINCT CAST(l_shipdate AS DATE) AS date_key, CAST(year(l_shipdate) AS INTEGER) AS year,
+               CAST(month(l_shipdate) AS INTEGER) AS month_num, monthname(l_shipdate) AS month_name,
+               CAST(quarter(l_shipdate) AS INTEGER) AS quarter, dayname(l_shipdate) AS day_of_week
+        FROM lineitem""",
     "fact_claims": _with(
         ["claim"],
         """
@@ -423,7 +428,7 @@ ORACLES: dict[str, str] = {
         "\n        UNION ALL ".join(
             f"""SELECT '{c}' AS column_name, count({c}) AS non_null,
                    {"CAST(NULL AS BIGINT)" if numeric else f"count(DISTINCT {c})"} AS unique_values,
-                   {"NULL" if numeric else f"(SELECT v FROM (SELECT {c} AS v, count(*) AS n FROM claim WHERE {c} IS NOT NULL GROUP BY 1) ORDER BY n DESC, v LIMIT 1)"} AS top,
+                   {"NULL" if numeric else f"(SELECT v FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM claim WHERE {c} IS NOT NULL GROUP BY 1) ORDER BY n DESC, v LIMIT 1)"} AS top,
                    {"CAST(NULL AS BIGINT)" if numeric else f"(SELECT max(n) FROM (SELECT count(*) AS n FROM claim WHERE {c} IS NOT NULL GROUP BY {c}))"} AS freq,
                    {f"round(avg(CAST({c} AS DOUBLE)), 4)" if numeric else "CAST(NULL AS DOUBLE)"} AS mean,
                    {f"round(stddev_samp(CAST({c} AS DOUBLE)), 4)" if numeric else "NULL"} AS std,
@@ -434,12 +439,16 @@ ORACLES: dict[str, str] = {
                        + f" AS p{int(q * 100)}" for q in (0.25, 0.5, 0.75))}
             FROM claim"""
             for c, numeric in {
+                "claim_id": False,
                 "member_id": True,
                 "provider_id": True,
+                "service_date": False,
                 "diagnosis_code": False,
-                "place_of_service": False,
+                "procedure_code": False,
                 "billed_amount": True,
+                "allowed_amount": True,
                 "paid_amount": True,
+                "place_of_service": False,
             }.items()
         ),
     ),

@@ -9,6 +9,7 @@ thousand groups) and rolls that up five times.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,15 +37,36 @@ def joined_claims(claims: DataFrame, members: DataFrame, providers: DataFrame, a
     return join_dimension(join_dimension(claims, provider, "provider_id"), member, "member_id")
 
 
+def member_measures(claims: DataFrame, members: DataFrame, providers: DataFrame, as_of: dt.date) -> DataFrame:
+    """The measures of ``joined_claims``, summed per member before they meet the member table.
+
+    Measures are additive, so the claims of a member, however many, are a row
+    per network status, month and diagnosis (where the claims have these) and task.
+    """
+    provider = providers.select("provider_id", "in_network")
+    keys = ["member_id", "in_network"]
+    measured = claim_measures(join_dimension(claims, provider, "provider_id"), ["member_id"])
+    keys += [k for k, c in (("month", "service_date"), ("diagnosis_code", "diagnosis_code")) if c in claims.columns]
+    missing = [c for c in ("month", "diagnosis_code") if c not in keys]
+    sums = measured.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in MEASURES])
+    member = members.select(
+        "member_id",
+        age_band(age_years(F.col("dob"), as_of)).alias("age_band"),
+        F.col("region").alias("member_region"),
+    )
+    kinds = dict(measured.dtypes)
+    joined = join_dimension(sums, member, "member_id").withColumns({c: F.lit(None).cast(kinds[c]) for c in missing})
+    return joined.select(*CUBE_KEYS, *MEASURES)
+
+
 def _or_missing(df: DataFrame, name: str, dtype: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(dtype)
 
 
-def claim_measures(joined: DataFrame) -> DataFrame:
+def claim_measures(joined: DataFrame, keys: Sequence[str] = ("age_band", "member_region")) -> DataFrame:
     """Additive measures per claim. ``paid_claims`` counts the claims an average divides by."""
     return joined.select(
-        "age_band",
-        "member_region",
+        *keys,
         "in_network",
         month_start(_or_missing(joined, "service_date", "date")).alias("month"),
         _or_missing(joined, "diagnosis_code", "string").alias("diagnosis_code"),
