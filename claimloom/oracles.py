@@ -503,3 +503,130 @@ ORACLES: dict[str, str] = {
                CAST(0 AS BIGINT) AS bad_providers, CAST(0 AS BIGINT) AS bad_amounts, CAST(0 AS BIGINT) AS bad_dates,
                CAST(15 AS BIGINT) AS diagnoses FROM lineitem""",
 }
+
+_STAR_COUNTS = """
+    SELECT (SELECT count(*) FROM member) AS dim_member_count,
+           (SELECT count(*) FROM provider) AS dim_provider_count,
+           (SELECT count(*) FROM calendar) AS dim_date_count,
+           (SELECT count(*) FROM claim) AS fact_claims_count"""
+
+_FAULTY = [
+    ("dim_member_count", "(SELECT count(*) + 1 FROM listed)"),
+    ("dim_provider_count", "(SELECT count(*) FROM provider)"),
+    ("dim_date_count", "(SELECT count(*) FROM calendar WHERE year(date_key) < 2001)"),
+    ("fact_claims_count", "(SELECT count(*) FROM doubled)"),
+    ("fact_claims_dup_claim_id", "(SELECT count(*) - count(DISTINCT claim_id) FROM doubled)"),
+    ("missing_member_refs", "(SELECT count(*) FROM doubled WHERE member_id NOT IN (SELECT c_custkey FROM listed))"),
+    ("missing_provider_refs", "(SELECT count(*) FROM doubled ANTI JOIN provider USING (provider_id))"),
+    ("missing_date_refs", "(SELECT count(*) FROM doubled WHERE service_date NOT IN (SELECT date_key FROM calendar WHERE year(date_key) < 2001))"),
+    ("null_member_pk", "CAST(1 AS BIGINT)"),
+    ("null_provider_pk", "CAST(0 AS BIGINT)"),
+    ("null_date_pk", "CAST(0 AS BIGINT)"),
+]
+
+_FAULTS = (
+    "duplicate claim_id in fact_claims; NULL primary keys found in dimensions; "
+    "fact_claims contains member_id values not present in dim_member; "
+    "fact_claims contains date_key values not present in dim_date"
+)
+
+_UNLISTED = "SELECT l_suppkey AS k FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0)"
+
+ORACLES |= {
+    "ingest_files": _with(
+        ["claim", "member", "provider"],
+        """
+        SELECT p.specialty, p.in_network, m.gender, m.region AS member_region, count(*) AS claims, count(*) AS ids,
+               CAST(sum(paid_amount) AS DOUBLE) AS paid_total, max(service_date) AS last_service, min(dob) AS oldest
+        FROM claim JOIN provider p USING (provider_id) JOIN member m USING (member_id) GROUP BY ALL""",
+    ),
+    "ingest_without_ids": _with(
+        ["claim"],
+        """
+        SELECT count(*) AS claims, CAST(1 AS BIGINT) AS first_member, count(*) AS last_member, count(*) AS claim_members,
+               CAST(1 AS BIGINT) AS provider, CAST(0 AS BIGINT) AS moved, CAST(sum(paid_amount) AS DOUBLE) AS paid_total,
+               count(*) AS members, count(*) AS with_dob FROM claim""",
+    ),
+    "reference_errors": f"""
+        SELECT CAST(0 AS INTEGER) AS file, CASE WHEN count(*) = 0 THEN '' ELSE count(DISTINCT k) || ' provider_id value(s) of the claims are not among the providers: '
+               || (SELECT string_agg(k, ', ' ORDER BY k) FROM (SELECT DISTINCT k FROM ({_UNLISTED}) ORDER BY k LIMIT 10)) END AS error
+        FROM ({_UNLISTED})
+        UNION ALL SELECT 1, 'the providers file has no ''provider_id'' column, so claims cannot refer to it; '
+               || 'add the column, or drop the file to have providers made from the claims'
+        UNION ALL SELECT 2, ''""",
+    "cut_texts": _with(
+        ["provider"],
+        "SELECT provider_id, left(repeat(specialty, 15), 80) AS specialty, in_network, left(repeat(region, 9), 50) AS region FROM provider",
+    ),
+    "csv_with_column": "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, s_name || '/' || s_suppkey AS label FROM supplier",
+    "warehouse_tables": _with(
+        ["claim", "member", "provider", "calendar", "kpis", "monthly", "loss_ratio", "network_summary"],
+        "\n        UNION ALL ".join(
+            [
+                """SELECT 'fact_claims' AS table_name, CAST(year(service_date) AS INTEGER) AS year,
+                   CAST(month(service_date) AS INTEGER) AS month, count(*) AS rows, CAST(sum(paid_amount) AS DOUBLE) AS paid_total
+            FROM claim GROUP BY ALL""",
+                *(
+                    f"SELECT '{name}', NULL, NULL, count(*), NULL FROM {source}"
+                    for name, source in {
+                        "dim_member": "member", "dim_provider": "provider", "dim_date": "calendar", "summary_kpis": "kpis",
+                        "summary_monthly": "monthly", "summary_loss_ratio": "loss_ratio", "summary_network": "network_summary",
+                    }.items()
+                ),
+            ]
+        ),
+    ),
+    "q1_stored": ORACLES["q1_age_region"],
+    "q3_stored": ORACLES["q3_loss_rank"],
+    "cube_reports": ORACLES["kpis"],
+    "gate_failures": _with(
+        ["claim", "provider", "calendar"],
+        f"""
+        , listed AS (SELECT c_custkey FROM customer WHERE c_acctbal >= 0),
+        doubled AS (SELECT * FROM claim UNION ALL SELECT * FROM claim WHERE split_part(claim_id, '-', 2) = '1')
+        SELECT {", ".join(f"{sql} AS {name}" for name, sql in _FAULTY)}, '{_FAULTS}' AS failures, 'failed' AS status,
+               'DW quality checks failed: {_FAULTS}' AS stopped""",
+    ),
+    "quality_report": _with(
+        ["claim", "member", "provider", "calendar"],
+        f"""
+        , v AS ({_STAR_COUNTS})
+        SELECT "check", CAST(value AS VARCHAR) AS value FROM (UNPIVOT v ON COLUMNS(*) INTO NAME "check" VALUE value)
+        UNION ALL SELECT unnest(['fact_claims_dup_claim_id', 'missing_member_refs', 'missing_provider_refs', 'missing_date_refs',
+                                 'null_member_pk', 'null_provider_pk', 'null_date_pk']), '0'
+        UNION ALL SELECT 'status', 'ok'""",
+    ),
+    "report_files": _with(
+        ["kpis", "monthly", "loss_ratio", "network_summary", "claim", "joined"],
+        """
+        SELECT 'KPIs' AS sheet, count(*) AS rows, CAST(sum(claims) AS BIGINT) AS claims FROM kpis
+        UNION ALL SELECT 'Monthly', count(*), CAST(sum(claims) AS BIGINT) FROM monthly
+        UNION ALL SELECT 'LossRatio', count(*), CAST(sum(claims) AS BIGINT) FROM loss_ratio
+        UNION ALL SELECT 'NetworkUtilization', count(*), CAST(sum(claims) AS BIGINT) FROM network_summary
+        UNION ALL SELECT 'DiagnosisSummary', count(DISTINCT diagnosis_code), count(claim_id) FROM joined
+        UNION ALL SELECT 'Model_Metrics', 1, NULL
+        UNION ALL SELECT 'Summary', 1, NULL""",
+    ),
+    "classifier_fit": _with(
+        ["cost", "threshold"],
+        """
+        , n AS (SELECT CAST(CAST(paid_total AS DOUBLE) > t AS INTEGER) AS high_cost, count(dob) AS n, count(*) - count(dob) AS lost
+                FROM cost, threshold GROUP BY 1),
+        share AS (SELECT *, n * ceil(sum(n) OVER () * 0.2) / sum(n) OVER () AS exact, ceil(sum(n) OVER () * 0.2) AS wanted FROM n),
+        sized AS (SELECT *, floor(exact) + CASE WHEN row_number() OVER (ORDER BY exact - floor(exact) DESC, high_cost)
+                                                     <= wanted - sum(floor(exact)) OVER () THEN 1 ELSE 0 END AS tests FROM share)
+        SELECT CAST(sum(n - tests) FILTER (high_cost = 0) AS BIGINT) AS train_0, CAST(sum(n - tests) FILTER (high_cost = 1) AS BIGINT) AS train_1,
+               CAST(sum(tests) FILTER (high_cost = 0) AS BIGINT) AS test_0, CAST(sum(tests) FILTER (high_cost = 1) AS BIGINT) AS test_1,
+               CAST(sum(lost) AS BIGINT) AS without_age, true AS optimal FROM sized""",
+    ),
+    "classifier_fallbacks": _with(
+        ["cost", "threshold"],
+        """
+        , n AS (SELECT CAST(paid_total AS DOUBLE) > t AS costly, dob FROM cost, threshold)
+        SELECT 'one class' AS case_name, 'LogisticRegression skipped (single target class), baseline accuracy' AS label,
+               count(*) FILTER (NOT costly AND dob IS NULL) AS without_age, true AS in_range FROM n
+        UNION ALL SELECT 'one row', 'LogisticRegression train accuracy (fallback, no stratified split)',
+               count(*) FILTER (NOT costly AND dob IS NULL), true FROM n
+        UNION ALL SELECT 'unstratified', 'LogisticRegression accuracy', count(*) FILTER (dob IS NULL), true FROM n""",
+    ),
+}

@@ -602,3 +602,6 @@ def synthetic_claims(spark: SparkSession, folder: str) -> DataFrame:
         F.count_if(~F.year("service_date").between(2020, 2024)).alias("bad_dates"),
         F.count_distinct("diagnosis_code").alias("diagnoses"),
     )
+
+
+from claimloom import stored_queries  # noqa: E402, F401  (registers its queries)

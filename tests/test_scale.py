@@ -92,7 +92,9 @@ LAZY = [
     if n
     not in {
         "surrogate_keys", "serial_claim_ids", "ingest_feed", "high_cost_threshold", "high_cost_labels", "class_balance",
-        "split_balance", "classifier_accuracy", "profile", "synthetic_claims",
+        "split_balance", "classifier_accuracy", "profile", "synthetic_claims", "ingest_files", "ingest_without_ids",
+        "reference_errors", "csv_with_column", "warehouse_tables", "q1_stored", "q3_stored", "gate_failures", "quality_report",
+        "report_files", "classifier_fit", "classifier_fallbacks", "cube_reports",
     }
 ]
 
