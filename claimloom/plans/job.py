@@ -15,11 +15,15 @@ from claimloom.sources import store
 from claimloom.sources.config import FeedConfig
 
 
-def run_reports(tables: Mapping[str, DataFrame], folder: str, as_of: dt.date) -> dict[str, DataFrame]:
-    """Write the five reports; the fact is joined and scanned once for all of them."""
+def report_frames(tables: Mapping[str, DataFrame], as_of: dt.date) -> dict[str, DataFrame]:
+    """The five reports; the fact is joined and scanned once for all of them."""
     measures = reports.member_measures(tables["claim"], tables["member"], tables["provider"], as_of)
     cube = stage(reports.claim_cube(measures), "cube")
-    out = reports.all_reports(cube)
+    return reports.all_reports(cube)
+
+
+def run_reports(tables: Mapping[str, DataFrame], folder: str, as_of: dt.date) -> dict[str, DataFrame]:
+    out = report_frames(tables, as_of)
     export.write_reports(out, folder)
     return out
 
@@ -66,14 +70,21 @@ def feed_bytes(spark: SparkSession, config: FeedConfig) -> int:
 
 
 def run_feed(spark: SparkSession, config: FeedConfig, root: str, as_of: dt.date | None = None) -> dict[str, DataFrame]:
-    """Everything for one feed, under a folder of its own (feeds never share output)."""
+    """Everything for one feed, under a folder of its own (feeds never share output).
+
+    Report files are written after the warehouse has passed its gate, so a
+    failed load leaves the reports beside the warehouse that they were made with.
+    """
     as_of = as_of or dt.date.today()
     home = f"{root.rstrip('/')}/{config.feed_id}"
     with staging_scope(spark), sized_for(spark, feed_bytes(spark, config)):
         tables = ingest.ingest(spark, config, f"{home}/operational", as_of)
-        frames = run_reports(tables, f"{home}/reports", as_of)
+        frames = report_frames(tables, as_of)
         score = classifier.high_cost_score(tables["claim"], tables["member"], tables["provider"], as_of)
-        classifier.write_metrics(spark, score, f"{home}/reports/model_metrics.txt")
         stored = build_warehouse(spark, tables, frames, f"{home}/warehouse", f"{home}/quality", as_of)
+        export.write_reports(frames, f"{home}/reports")
+        classifier.write_metrics(spark, score, f"{home}/reports/model_metrics.txt")
         export.export_reports(spark, f"{home}/reports", f"{home}/export")
+        for kept in ("operational", "warehouse"):
+            store.vacuum(spark, f"{home}/{kept}")
     return stored

@@ -7,8 +7,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.operators.joins import orphan_rows
-
 # The checks in report order
 CHECKS = [
     "dim_member_count",
@@ -44,17 +42,37 @@ def _metrics(df: DataFrame, **named: Column) -> DataFrame:
     return df.agg(F.array(*pairs).alias("m")).select(F.inline("m"))
 
 
+def _number(df: DataFrame, name: str) -> Column | None:
+    """A whole number or a date as BIGINT; None for other types."""
+    kind = dict(df.dtypes)[name]
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return F.col(name).cast("bigint")
+    return F.unix_date(name).cast("bigint") if kind == "date" else None
+
+
 def missing_refs(fact: DataFrame, dims: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
     """Fact rows without a dimension row, per dimension; null fact keys count.
 
-    ``dims`` maps a metric name to (dimension, dimension key, fact key).
+    ``dims`` maps a metric name to (dimension, dimension key, fact key). The fact
+    is scanned once: its rows are counted per kind and key before the shuffle,
+    and all kinds are joined together. Number and date keys are compared as
+    numbers, others as texts.
     """
-    out = None
-    for name, (dim, dim_key, fact_key) in dims.items():
-        orphans = orphan_rows(fact.select(F.col(fact_key).alias("key")), dim.select(F.col(dim_key).alias("key")), "key")
-        part = _metrics(orphans, **{name: F.coalesce(F.sum("rows"), F.lit(0))})
-        out = part if out is None else out.unionByName(part)
-    return out
+    names = list(dims)
+    numbers = all(_number(df, key) is not None for dim, dim_key, fact_key in dims.values() for df, key in ((dim, dim_key), (fact, fact_key)))
+
+    def key_of(df: DataFrame, name: str) -> Column:
+        return _number(df, name) if numbers else F.col(name).cast("string")
+
+    cells = [F.struct(F.lit(i).alias("kind"), key_of(fact, dims[n][2]).alias("key")) for i, n in enumerate(names)]
+    per_key = fact.select(F.inline(F.array(*cells))).groupBy("kind", "key").agg(F.count("*").alias("rows"))
+    listed = None
+    for i, n in enumerate(names):
+        dim, dim_key, _ = dims[n]
+        part = dim.select(F.lit(i).alias("kind"), key_of(dim, dim_key).alias("key"))
+        listed = part if listed is None else listed.unionByName(part)
+    orphans = per_key.join(listed, ["kind", "key"], "left_anti")
+    return _metrics(orphans, **{n: F.coalesce(F.sum(F.when(F.col("kind") == i, F.col("rows"))), F.lit(0)) for i, n in enumerate(names)})
 
 
 def duplicate_surplus(fact: DataFrame) -> Column:

@@ -13,7 +13,7 @@ import yaml
 
 # --- Fixed values: defaults of the config files ---------------------------------
 DATASET_FOLDER = "data/kaggle/{name}"
-DB_DEFAULTS = {"host": "localhost", "port": 5432, "user": "postgres", "password": "postgres", "database": "insurdb"}
+DB_DEFAULTS = {"host": "localhost", "port": 5432, "database": "insurdb"}
 
 
 @dataclass(frozen=True)
@@ -98,7 +98,10 @@ def jdbc_options(config: Mapping[str, object], env: Mapping[str, str] | None = N
         return _from_url(str(url))
 
     def part(variable: str, key: str) -> str:
-        return str(env.get(variable, config.get(key, DB_DEFAULTS[key])))
+        value = env.get(variable, config.get(key, DB_DEFAULTS.get(key)))
+        if value is None:
+            raise ValueError(f"database {key} is not set: {variable} in the environment or '{key}' in the config")
+        return str(value)
 
     return {
         "url": f"jdbc:postgresql://{part('DB_HOST', 'host')}:{part('DB_PORT', 'port')}/{part('DB_NAME', 'database')}",

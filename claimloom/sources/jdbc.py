@@ -31,5 +31,15 @@ def read_table(
     return reader.load()
 
 
-def read_operational(spark: SparkSession, connection: Mapping[str, str], schema: str = "insurance") -> dict[str, DataFrame]:
-    return {name: read_table(spark, connection, name, schema) for name, _ in ROLE_TABLE.values()}
+def read_operational(
+    spark: SparkSession, connection: Mapping[str, str], schema: str = "insurance", partitions: int = 32
+) -> dict[str, DataFrame]:
+    """The operational tables, each read in ranges of its key: one small query per table asks for the key's bounds."""
+    out = {}
+    for name, fields in ROLE_TABLE.values():
+        key = fields.fieldNames()[0]
+        ask = f"(SELECT min({key}) AS low, max({key}) AS high FROM {schema}.{name}) bounds"
+        low, high = spark.read.format("jdbc").options(**connection).option("dbtable", ask).load().first()
+        bounds = (low, high + 1) if low is not None else None
+        out[name] = read_table(spark, connection, name, schema, key, bounds, partitions)
+    return out

@@ -8,6 +8,7 @@ a refresh, and a job that dies leaves only an uncommitted folder behind.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import logging
 import uuid
 from collections.abc import Callable, Mapping, Sequence
@@ -15,9 +16,12 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 logger = logging.getLogger(__name__)
 
+COMMIT = "version string, tables array<struct<name: string, rows: bigint, fields: string>>"
+
 
 def _paths(root: str) -> tuple[str, str]:
     root = root.rstrip("/")
@@ -47,26 +51,53 @@ def publish(
     if check:
         check(written)
     # Parquet footers hold the row counts; no table is read again for them.
-    counts = {name: df.count() for name, df in written.items()}
-    for name, rows in counts.items():
+    entries = [(name, df.count(), df.schema.json()) for name, df in written.items()]
+    for name, rows, _ in entries:
         logger.info("%s: %d rows", name, rows)
-    entries = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(c).cast("bigint").alias("rows")) for n, c in counts.items()])
-    commit = spark.range(1).select(F.lit(version).alias("version"), entries.alias("tables"))
+    commit = spark.createDataFrame([(version, entries)], COMMIT)
     commit.coalesce(1).write.mode("append").json(commits)
     return version
 
 
-def current_version(spark: SparkSession, root: str) -> tuple[str, dict[str, int]] | None:
-    """The newest committed version and the rows of each of its tables."""
+def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete all versions but the last ``keep`` committed ones; returns their names.
+
+    An uncommitted version older than the newest commit belongs to a job that
+    failed and goes too; one that is newer may still be written and stays.
+    """
+    versions, commits = _paths(root)
+    committed = sorted(r[0] for r in _commits(spark, commits).select("version").collect()) if _exists(spark, commits) else []
+    if not committed:
+        return []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(versions)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = sorted(s.getPath().getName() for s in files.listStatus(folder))
+    gone = [v for v in found if v < committed[-1] and v not in committed[-keep:]]
+    for version in gone:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{versions}/{version}"), True)
+    return gone
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def _commits(spark: SparkSession, commits: str) -> DataFrame:
+    return spark.read.schema(COMMIT).json(commits)
+
+
+def current_version(spark: SparkSession, root: str) -> tuple[str, dict[str, StructType]] | None:
+    """The newest committed version and the schema of each of its tables."""
     _, commits = _paths(root)
     try:
-        log = spark.read.schema("version string, tables array<struct<name: string, rows: bigint>>").json(commits)
+        log = _commits(spark, commits)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
     newest = log.agg(F.max_by(F.struct("version", "tables"), "version").alias("c")).first()["c"]
-    return (newest["version"], {t["name"]: t["rows"] for t in newest["tables"]}) if newest else None
+    return (newest["version"], {t["name"]: StructType.fromJson(json.loads(t["fields"])) for t in newest["tables"]}) if newest else None
 
 
 def open_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -74,8 +105,8 @@ def open_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     current = current_version(spark, root)
     if current is None:
         return {}
-    version, names = current
-    return {n: spark.read.parquet(f"{_paths(root)[0]}/{version}/{n}") for n in names}
+    version, schemas = current
+    return {n: spark.read.schema(fields).parquet(f"{_paths(root)[0]}/{version}/{n}") for n, fields in schemas.items()}
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:

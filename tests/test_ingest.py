@@ -269,7 +269,9 @@ def test_jdbc_options(tmp_path):
     assert url == {"url": "jdbc:postgresql://db:5433/claims", "user": "me", "password": "p@ss", "driver": "org.postgresql.Driver"}
     path = write_yaml(tmp_path, {"engine_url": "${DATABASE_URL}", "host": "h", "port": 1})
     assert read_db_config(path, {}) == {"engine_url": None, "host": "h", "port": 1}
-    parts = jdbc_options(read_db_config(path, {}), {"DB_NAME": "d"})
-    assert (parts["url"], parts["user"]) == ("jdbc:postgresql://h:1/d", "postgres")
+    parts = jdbc_options(read_db_config(path, {}), {"DB_NAME": "d", "DB_USER": "me", "DB_PASS": "x"})
+    assert (parts["url"], parts["user"]) == ("jdbc:postgresql://h:1/d", "me")
+    with pytest.raises(ValueError, match="password"):  # nothing is guessed
+        jdbc_options({"user": "me"}, {})
     assert jdbc_options({"engine_url": "postgres://x@y/z"}, {})["url"] == "jdbc:postgresql://y/z"
     assert read_db_config(str(tmp_path / "absent.yaml")) == {}

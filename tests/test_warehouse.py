@@ -89,6 +89,10 @@ def test_publish_is_all_or_nothing(spark, tmp_path):
     assert {n: t.count() for n, t in tables.items()} == {"a": 3, "b": 2}
     store.publish(spark, root, {"a": spark.range(5)})
     assert store.open_tables(spark, root)["a"].count() == 5
+    assert store.vacuum(spark, str(tmp_path / "none")) == []
+    store.publish(spark, root, {"a": spark.range(6)})
+    assert len(store.vacuum(spark, root)) == 2  # the first commit and the failed one
+    assert store.open_tables(spark, root)["a"].count() == 6 and store.vacuum(spark, root) == []
 
 
 @pytest.fixture(scope="module")
