@@ -21,7 +21,8 @@ BLOCK_ITEMS, BLOCK_SHINGLES = 20_000, 2_000_000
 #: A window that holds an item has at most twice its shingles, so one hash finds 80 % of an
 #: item with a chance above 0.36, and all of them miss with a chance under 4e-6.
 HASHES = 28
-_MULTIPLIERS = odd_multipliers(HASHES, 23)
+#: Minima are taken over 32 bits of the shingle hashes, which is quick and enough to name candidates.
+_MULTIPLIERS = (odd_multipliers(HASHES, 23) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _TOGETHER = 50_000  # shingles of documents that are searched at once
 
 
@@ -35,18 +36,29 @@ def strides() -> Iterator[int]:
 
 @dataclass
 class Table:
-    """The minima of one class of items, and a bitmap over them that answers most questions."""
+    """The minima of one class of items; a bitmap and the sorted minima answer almost all questions at once."""
 
     items: list[dict[int, list[int]]] = field(default_factory=lambda: [defaultdict(list) for _ in range(HASHES)])
     bitmap: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=bool))
+    minima: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.uint32))
 
     def close(self) -> None:
-        keys = np.array([v for t in self.items for v in t], dtype=np.uint64)
-        self.bitmap = np.zeros(1 << max(10, (16 * len(keys)).bit_length()), dtype=bool)
-        self.bitmap[self.places(keys)] = True
+        self.minima = np.unique(np.array([v for t in self.items for v in t], dtype=np.uint32))
+        self.bitmap = np.zeros(1 << max(10, (64 * len(self.minima)).bit_length()), dtype=bool)
+        self.bitmap[self._places(self.minima)] = True
 
-    def places(self, minima: np.ndarray) -> np.ndarray:
-        return ((minima >> np.uint64(20)) & np.uint64(len(self.bitmap) - 1)).astype(np.int64)
+    def _places(self, minima: np.ndarray) -> np.ndarray:
+        return minima & np.uint32(len(self.bitmap) - 1)
+
+    def hits(self, windows: np.ndarray) -> Iterator[tuple[int, list[int]]]:
+        """(window, items) where a window has the minimum of items under the same hash."""
+        w, j = np.nonzero(self.bitmap[self._places(windows)])
+        values = windows[w, j]
+        same = self.minima[np.minimum(np.searchsorted(self.minima, values), len(self.minima) - 1)] == values
+        for w, j, value in zip(w[same].tolist(), j[same].tolist(), values[same].tolist()):
+            items = self.items[j].get(value)
+            if items:
+                yield w, items
 
 
 @dataclass
@@ -64,7 +76,7 @@ class Index:
         shingles = shingle_set(hashes, WORDS)
         stride = next(s for s in strides() if 4 * s >= len(shingles))
         table = self.classes.setdefault((size, stride), Table())
-        for items, minimum in zip(table.items, (shingles[:, None] * _MULTIPLIERS[None, :]).min(axis=0).tolist()):
+        for items, minimum in zip(table.items, _products(shingles).min(axis=0).tolist()):
             items[minimum].append(len(self.sets))
         self.sets.append((item_id, size, shingles))
 
@@ -74,13 +86,19 @@ class Index:
         return self
 
 
+def _products(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(32)).astype(np.uint32)[:, None] * _MULTIPLIERS[None, :]
+
+
 def _windows(shingles: np.ndarray, stride: int) -> np.ndarray:
     """Minima under every hash of the windows of five strides that start at every stride."""
-    runs = np.empty(((len(shingles) + stride - 1) // stride, HASHES), dtype=np.uint64)
-    step = max(1, 4096 // stride)
-    for at in range(0, len(runs), step):
-        part = shingles[at * stride : (at + step) * stride, None] * _MULTIPLIERS[None, :]
-        runs[at : at + step] = np.minimum.reduceat(part, np.arange(0, len(part), stride), axis=0)
+    runs = np.empty(((len(shingles) + stride - 1) // stride, HASHES), dtype=np.uint32)
+    full, step = len(shingles) // stride, max(1, 4096 // stride)
+    for at in range(0, full, step):
+        part = _products(shingles[at * stride : min(at + step, full) * stride])
+        part.reshape(-1, stride, HASHES).min(axis=1, out=runs[at : min(at + step, full)])
+    if full < len(runs):
+        runs[full] = _products(shingles[full * stride :]).min(axis=0)
     if len(runs) <= 5:
         return runs.min(axis=0, keepdims=True)
     two = np.minimum(runs[:-1], runs[1:])
@@ -104,12 +122,9 @@ def matches(index: Index, documents: list[np.ndarray], percent: int = CONTAINED_
         for (other, stride), table in index.classes.items():
             if other != size or not len(line):
                 continue
-            minima = _windows(line, stride)
-            for w, j in zip(*np.nonzero(table.bitmap[table.places(minima)])):
-                items = table.items[j].get(int(minima[w, j]))
-                if items:
-                    first, last = np.searchsorted(starts, [w * stride, min((w + 5) * stride, len(line)) - 1], side="right") - 1
-                    found.update((d, i) for d in range(first, last + 1) for i in items)
+            for w, items in table.hits(_windows(line, stride)):
+                first, last = np.searchsorted(starts, [w * stride, min((w + 5) * stride, len(line)) - 1], side="right") - 1
+                found.update((d, i) for d in range(first, last + 1) for i in items)
     out, sets = [], {}
     for d, i in sorted(found):
         item, size, shingles = index.sets[i]
