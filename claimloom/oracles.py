@@ -629,4 +629,18 @@ ORACLES |= {
                count(*) FILTER (NOT costly AND dob IS NULL), true FROM n
         UNION ALL SELECT 'unstratified', 'LogisticRegression accuracy', count(*) FILTER (dob IS NULL), true FROM n""",
     ),
+    "nation_top10": _with(
+        ["claim", "provider"],
+        """
+        , k AS (SELECT n_name AS member_region, in_network, sum(paid_amount) AS paid
+                FROM claim JOIN customer ON c_custkey = member_id JOIN nation ON n_nationkey = c_nationkey
+                JOIN provider USING (provider_id) GROUP BY ALL),
+        top AS (SELECT member_region FROM k GROUP BY 1 ORDER BY CAST(sum(paid) AS DOUBLE) DESC, member_region LIMIT 10)
+        SELECT CASE WHEN in_network THEN 'In-Network' ELSE 'Out-of-Network' END AS network, member_region,
+               CAST(sum(paid) AS DOUBLE) AS paid_total
+        FROM k SEMI JOIN top USING (member_region) GROUP BY ALL""",
+    ),
+    "kept_numbers": """
+        SELECT CASE WHEN l_linenumber <> 7 THEN l_suppkey END AS provider_id, count(*) AS claims,
+               CASE WHEN provider_id IS NOT NULL THEN true END AS listed FROM lineitem GROUP BY ALL""",
 }

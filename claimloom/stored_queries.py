@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.model import PROVIDER
-from claimloom.operators import mapping, validate
+from claimloom.operators import keys, mapping, validate
 from claimloom.operators.ordinals import ORD
-from claimloom.plans import adhoc, classifier, export, ingest, job, quality, reports, warehouse
+from claimloom.plans import adhoc, classifier, export, ingest, job, marts, quality, reports, warehouse
 from claimloom.queries import CLIENT_MAP, _labelled, client_feed, query
 from claimloom.session import new_path, stage
 from claimloom.sources.config import FeedConfig
@@ -253,3 +253,28 @@ def cube_reports(spark: SparkSession, folder: str) -> DataFrame:
     t = SampleTables(spark, folder)
     measures = reports.member_measures(t.claims(), t.members(), t.providers(), AS_OF)
     return reports.kpis(stage(reports.claim_cube(measures), "cube"))
+
+
+# ---- variants that the plain sample does not reach --------------------------------
+@query
+def nation_top10(spark: SparkSession, folder: str) -> DataFrame:
+    """Paid totals by network for the ten nations with the largest, of the 25 that there are."""
+    t = SampleTables(spark, folder)
+    nation = t.table("nation").select("n_nationkey", F.col("n_name").alias("region"))
+    members = t.table("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    members = members.select(F.col("c_custkey").alias("member_id"), F.lit(None).cast("date").alias("dob"), "region")
+    claims = t.claims(["claim_id", "member_id", "provider_id", "paid_amount"])
+    measures = reports.member_measures(claims, members, t.providers(), AS_OF)
+    return marts.region_network_paid(stage(reports.kpis(measures), "kpis"))
+
+
+@query
+def kept_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Provider keys that are numbers in the dimension stay so; a claim key that is none becomes null."""
+    t = SampleTables(spark, folder)
+    dim = t.table("supplier").select(F.concat("s_suppkey", F.lit(".0")).alias("provider_id"), F.col("s_suppkey").alias(ORD))
+    key = F.when(F.col("l_linenumber") != 7, F.col("l_suppkey").cast("string")).otherwise("none")
+    fact = t.table("lineitem").select(key.alias("provider_id"))
+    dim, fact = keys.map_surrogates(dim, fact, "provider_id")
+    rows = fact.groupBy("provider_id").agg(F.count("*").alias("claims"))
+    return rows.join(dim.select("provider_id", F.lit(True).alias("listed")), "provider_id", "left")
