@@ -110,7 +110,17 @@ def test_report_reads_only_its_columns(spark):
     plan = QUERIES["network_summary"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "part.parquet" not in plan
     assert "l_shipdate" not in plan and "l_linestatus" not in plan
-    assert plan.count("Exchange hashpartitioning") == 1
+    # one for the sums per member, one for the report; claim rows themselves are not shuffled
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+@pytest.mark.parametrize("name", ["kpis", "monthly", "loss_ratio", "network_summary", "diagnosis_summary", "q1_age_region", "class_means"])
+def test_reports_sum_before_they_meet_the_members(spark, settings, name):
+    settings(**NO_BROADCAST)
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    joins = [i for i, line in enumerate(plan) if "Join Inner" in line]
+    sums = [i for i, line in enumerate(plan) if "Aggregate [" in line]
+    assert sums[0] < joins[0] < sums[1]  # as the tree is printed: the report, the member join, the sums per member
 
 
 def test_fact_is_written_in_balanced_partitions(spark):
