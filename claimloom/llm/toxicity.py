@@ -19,7 +19,7 @@ from claimloom.llm.text import utf8
 from claimloom.session import stage
 
 #: The lexicon is learned from at most so many labelled rows, the first by a hash of their id.
-MAX_TRAINING_ROWS = 40_000
+MAX_TRAINING_ROWS = 20_000
 MAX_LEXICON = 2_000  # words, those with the strongest evidence
 MIN_TEXTS = 3  # toxic texts with a word, told apart by its neighbours there, so that copies count once
 ACCEPT = 0.3
@@ -46,7 +46,9 @@ _PLAIN = re.compile(r"[a-z]+")
 _LONG_RUN = re.compile(r"([a-z])\1\1")
 _HEAD = re.compile(r"""^(?:["'`.,;:?¿¡~_=^&\-/\\)\]}>]+|([^\w\s])\1+)+""")
 _TAIL = re.compile(r"""(?:["'`.,;:!?~_=^&\-/\\)\]}>]+|([^\w\s])\1+)+$""")
-_CACHED = 300_000
+_CACHED = 100_000  # tokens, and words, that a task remembers
+_STEP = 1 << 19  # letters counted at a time
+_TEXTS = 64  # labelled texts whose words are counted before they leave a task
 
 
 def fold(text: str) -> str:
@@ -64,10 +66,13 @@ def letter_counts(texts: list[bytes | None]) -> np.ndarray:
     border = codes == 26
     keep = np.ones(len(codes), dtype=bool)
     keep[3:] = ~(border[3:] & border[2:-1] & border[1:-2] & border[:-3])
-    c = codes[keep].astype(np.int32)
-    if len(c) < 4:
-        return np.zeros(_K**4, dtype=np.int64)
-    return np.bincount(((c[:-3] * _K + c[1:-2]) * _K + c[2:-1]) * _K + c[3:], minlength=_K**4)
+    codes = codes[keep]
+    total = np.zeros(_K**4, dtype=np.int64)
+    for at in range(0, len(codes) - 3, _STEP):  # a step's numbers take a few MB
+        c = codes[at : at + _STEP + 3].astype(np.int32)
+        grams, n = np.unique(((c[:-3] * _K + c[1:-2]) * _K + c[2:-1]) * _K + c[3:], return_counts=True)
+        total[grams] += n
+    return total
 
 
 def character_model(docs: DataFrame) -> np.ndarray:
@@ -317,35 +322,39 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, max_rows: int =
     learned from all. Counts are summed in tasks; at most ``MAX_LEXICON`` words
     and ``max_rows`` rows of five numbers reach the driver.
     """
-    rows = training_rows(docs, labels, "toxic", max_rows)
+    rows = stage(training_rows(docs, labels, "toxic", max_rows), "toxic_texts")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model)
-        for batch in batches:
-            toxic: list[tuple[int, str, int, bool]] = []  # half, unit, place, whether it stands for the text
+        for batch in (b.slice(at, _TEXTS) for b in batches for at in range(0, len(b), _TEXTS)):
+            toxic: list[tuple[int, str, int, int]] = []  # half, unit, least place (it stands for the text), places
             harmless: dict[tuple[int, str], int] = {}
             for label, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
                 half, said = _half(text), restorer.words((text or b"").decode())
                 near = {(w, xxhash.xxh3_64_intdigest(" ".join(said[max(0, i - 1) : i + 2])) >> 1) for i, w in enumerate(said)}
-                uses = sorted((unit, place) for word, place in near for unit in units(word))
-                for i, (unit, place) in enumerate(uses):
+                uses: dict[str, list[int]] = {}
+                for word, place in near:
+                    for unit in units(word):
+                        uses.setdefault(unit, []).append(place)
+                for unit, places in uses.items():
                     if label:
-                        toxic.append((half, unit, place, i == 0 or uses[i - 1][0] != unit))
+                        toxic.append((half, unit, min(places), len(places)))
                     else:
-                        harmless[half, unit] = harmless.get((half, unit), 0) + 1
-            halves, unit, place, first = zip(*toxic) if toxic else ((), (), (), ())
-            none = [None] * len(harmless)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([*halves, *(h for h, _ in harmless)], pa.int32()), pa.array([*unit, *(u for _, u in harmless)], pa.string()),
-                    pa.array([*place, *none], pa.int64()), pa.array([p if f else None for p, f in zip(place, first)] + none, pa.int64()),
-                    pa.array([0] * len(unit) + [*harmless.values()], pa.int64()),
-                ],
-                names=["half", "unit", "place", "text", "harmless"],
-            )
-
-    counted = rows.mapInArrow(count, "half int, unit string, place bigint, text bigint, harmless bigint").groupBy("half", "unit")
-    counted = counted.agg(F.count_distinct("place").alias("toxic"), F.count_distinct("text").alias("texts"), F.sum("harmless").alias("harmless"))
+                        harmless[half, unit] = harmless.get((half, unit), 0) + len(places)
+            rows = toxic + [(half, unit, None, n) for (half, unit), n in harmless.items()]
+            columns = zip(*rows) if rows else ((), (), (), ())
+            kinds = (pa.int32(), pa.string(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["half", "unit", "text", "uses"])
+
+    counted = rows.mapInArrow(count, "half int, unit string, text bigint, uses bigint")
+    # copies of a text have one least place, and count once
+    counted = counted.groupBy("half", "unit", "text").agg(F.max("uses").alias("most"), F.sum("uses").alias("sum"))
+    harmless, toxic = F.col("text").isNull(), F.col("text").isNotNull()
+    counted = counted.groupBy("half", "unit").agg(
+        F.coalesce(F.sum(F.when(toxic, F.col("most"))), F.lit(0)).alias("toxic"),
+        F.count("text").alias("texts"),
+        F.coalesce(F.sum(F.when(harmless, F.col("sum"))), F.lit(0)).alias("harmless"),
+    )
     counted = stage(counted, "toxic_units")
     judges = [Scorer(model, _best(counted.where(F.col("half") != h)), np.zeros(N_EVIDENCE)) for h in (0, 1)]
 
