@@ -32,7 +32,8 @@ _CHROME_WORDS = frozenset(
     """ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments cookie cookies consent
     disqus footer gdpr header masthead menu menubar modal nav navbar navigation newsletter notice notices notification pager
     pagination popup promo promoted promotion related reply replies respond search share sharing sidebar sidebars signup skip
-    social sponsor sponsored subscribe subscription toolbar widget widgets contentinfo complementary login alert""".split()
+    social sponsor sponsored subscribe subscription toolbar widget widgets contentinfo complementary login alert
+    commentlist commentform cookiebar cookiebanner topnav sidenav navlinks sitenav adbox adslot adunit adbanner""".split()
 )
 #: Elements around everything; their class says nothing about what is inside.
 _OUTER = frozenset({"html", "body", "main"})
