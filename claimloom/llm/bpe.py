@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 _WORD_END = "\0"  # stands for the end-of-word suffix; no byte is written as this character
 _CACHED = 200_000  # words and pairs that a worker remembers
-#: White space as the vocabulary's own pattern means it.
-_WHITE = regex.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
+#: White space as the vocabulary's own pattern means it. It parts words and is in none, so it need not be made one space first.
+_WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The parts of a tokenizer file that this encoder follows; others are refused.
 _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 _PRETOKENIZERS = ["Split", "ByteLevel"]
@@ -46,12 +46,22 @@ class Codec:
             raise ValueError("the vocabulary file has parts that this encoder does not follow")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self._special = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
-        self._words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        self._words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", _WHITE))
+        # the decoder's table: all tokens in one buffer, token i from offsets[i] to offsets[i + 1]
         vocab = model["vocab"]
+        names = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
+        pieces = [names.get(i, "").encode() for i in range(max(names) + 1)]
+        self.buffer, self.offsets = b"".join(pieces), np.concatenate([[0], np.cumsum([len(p) for p in pieces])]).tolist()
+        self._parts = (vocab, model["merges"], suffix)
+        self._matches = None
+
+    def _prepare(self) -> None:
+        """The encoder's tables, made when a first text is encoded."""
+        vocab, merges, suffix = self._parts
         ids = {t.removesuffix(suffix) + _WORD_END if t.endswith(suffix) else t: i for t, i in vocab.items()}
         self._merges: dict[tuple[int, int], tuple[int, int]] = {}  # pair -> (rank, merged)
         self._halves: dict[int, tuple[int, int, int]] = {}  # token -> (rank, left, right)
-        for rank, (left, right) in enumerate(model["merges"]):
+        for rank, (left, right) in enumerate(merges):
             pair, merged = (vocab[left], vocab[right]), vocab[left + right]
             self._merges[pair] = (rank, merged)
             self._halves.setdefault(merged, (rank, *pair))
@@ -62,10 +72,6 @@ class Codec:
         self._size = {i: len(text) for text, i in ids.items()}
         self._joins: dict[tuple[int, int], bool] = {}
         self._known: dict[str, tuple[int, ...]] = {}
-        # the decoder's table: all tokens in one buffer, token i from offsets[i] to offsets[i + 1]
-        names = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
-        pieces = [names.get(i, "").encode() for i in range(max(names) + 1)]
-        self.buffer, self.offsets = b"".join(pieces), np.concatenate([[0], np.cumsum([len(p) for p in pieces])]).tolist()
 
     def _edge(self, token: int, right: bool) -> list[tuple[int, int]]:
         """Tokens that stood at one edge while ``token`` was merged, each with the rank of the merge that took it in."""
@@ -99,6 +105,15 @@ class Codec:
     def _encode_word(self, word: str) -> tuple[int, ...]:
         text = "".join([_LETTERS[b] for b in word.encode()]) + _WORD_END
         n = len(text)
+        # the longest matches one after the other, if their borders hold, are the answer
+        greedy, place = [], 0
+        for end, (token, size) in self._matches.iter_long(text):
+            if end + 1 - size != place or (greedy and not self.compatible(greedy[-1], token)):
+                break
+            greedy.append(token)
+            place = end + 1
+        if place == n:
+            return tuple(greedy)
         at: list[list[int]] = [[] for _ in range(n)]  # tokens from each place, longest last
         for end, (token, size) in self._matches.iter(text):
             at[end + 1 - size].append(token)
@@ -126,7 +141,7 @@ class Codec:
         return tuple(tokens)
 
     def _normal(self, text: str) -> str:
-        text = _WHITE.sub(" ", unicodedata.normalize("NFC", text))
+        text = unicodedata.normalize("NFC", text)
         return text.replace("Σ", "σ").lower()  # letter by letter: no final sigma
 
     def _plain(self, text: str, out: list[int]) -> None:
@@ -141,6 +156,8 @@ class Codec:
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text; strings of special tokens in it are those tokens."""
+        if self._matches is None:
+            self._prepare()
         out: list[int] = []
         at = 0
         for m in self._special.finditer(text):
@@ -156,8 +173,9 @@ class Codec:
         return b" ".join([buffer[offsets[i] : offsets[i + 1]] for i in ids])
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def codec(raw: bytes) -> Codec:
+    """One codec a worker process: its tasks share the words that it remembers."""
     return Codec(raw)
 
 
