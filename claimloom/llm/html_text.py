@@ -21,8 +21,13 @@ _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 
 #: Elements whose content is no text of the page.
 _RAW = frozenset({"script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "math", "canvas", "title"})
-#: Elements that hold navigation, notices, forms and the like.
-_CHROME = frozenset({"head", "nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "label", "fieldset"})
+#: Elements that hold navigation, notices and the like.
+_CHROME = frozenset({"head", "nav", "header", "footer", "aside", "menu", "dialog", "button", "select", "label"})
+#: Elements that may hold a whole page as well.
+_FORM = frozenset({"form", "fieldset"})
+_STYLE = re.compile(r"""\bstyle\s*=\s*(?:"[^"]*?display\s*:\s*none|'[^']*?display\s*:\s*none)""", re.IGNORECASE)
+_QUOTED = re.compile(r"""=\s*(?:"[^"]*"|'[^']*')""")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)", re.IGNORECASE)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
     "a abbr b bdi bdo big br cite code data dfn em font i img ins del kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
@@ -35,6 +40,8 @@ _CHROME_WORDS = frozenset(
     social sponsor sponsored subscribe subscription toolbar widget widgets contentinfo complementary login alert
     commentlist commentform cookiebar cookiebanner topnav sidenav navlinks sitenav adbox adslot adunit adbanner""".split()
 )
+#: "has-sidebar" and the like say what is elsewhere on the page.
+_FLAG = frozenset({"has", "no", "with", "without"})
 #: Elements around everything; their class says nothing about what is inside.
 _OUTER = frozenset({"html", "body", "main"})
 
@@ -47,48 +54,114 @@ class _Line:
     __slots__ = ("linked", "parts", "scope", "text")
 
     def __init__(self, scope: int) -> None:
-        self.parts: list[str] = []
+        self.parts: list[tuple[str, int, bool]] = []  # (text, suspect around it, in a link)
         self.linked = 0
         self.scope = scope
         self.text = ""
 
 
-def _is_chrome(name: str, attributes: str, inside_article: bool) -> bool:
+class _Suspect:
+    """An element that its name calls chrome; what is in it decides at the end of the page. The first stands for the page."""
+
+    __slots__ = ("around", "articles", "direct", "linked", "marked", "own", "sure", "within")
+
+    def __init__(self, around: int, sure: bool, marked: bool, within: int) -> None:
+        self.around = around  # the suspect around it
+        self.sure = sure  # its name has no other words
+        self.marked = marked  # is or holds an article or main
+        self.within = within  # the free article around it
+        self.own = self.linked = self.direct = 0  # characters: its text, that in links, that in no inner suspect
+
+
+TAG, NAME, MIXED = 1, 2, 3
+
+
+def _chrome(name: str, attributes: str, inside_article: bool) -> int:
+    """0, or TAG: chrome; NAME: chrome by a name of no other words; MIXED: by a name with others, a form, hidden."""
     if name == "header":
-        return not inside_article  # an article's own header has its title
+        return 0 if inside_article else TAG  # an article's own header has its title
     if name in _CHROME:
-        return True
+        return TAG
+    if name in _FORM:
+        return MIXED
     if name in _OUTER or not attributes:
-        return False
+        return 0
+    kind = 0
     for found in _NAMED.finditer(attributes):
         for value in (found[1] or found[2] or found[3] or "").split():
             words = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
+            words = [w for i, w in enumerate(words) if w and not (i and words[i - 1] in _FLAG)]
             if name == "article":
                 words = words[:1]  # "comment" marks one, "has-comments" does not
             if inside_article:
                 words = [w for w in words if w != "header"]
             if not _CHROME_WORDS.isdisjoint(words):
-                return True
-    return bool(re.search(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none""", attributes))
+                if _CHROME_WORDS.issuperset(words):
+                    return NAME
+                kind = MIXED
+    return kind or (MIXED if _HIDDEN.search(_QUOTED.sub("=", attributes)) or _STYLE.search(attributes) else 0)
+
+
+def _judge(suspects: list[_Suspect], free: list[list[int]]) -> list[bool]:
+    """Which suspects are chrome: all but those around an article, or most of the text, of a page with no other article.
+
+    ``free`` has the articles outside all suspects as [article around it, whether it has text].
+    """
+    for f in reversed(free[1:]):
+        free[f[0]][1] |= f[1]
+    with_text = [0] * len(free)  # articles with text from each one outwards
+    for i, f in enumerate(free[1:], 1):
+        with_text[i] = with_text[f[0]] + f[1]
+    total = sum(f[1] for f in free[1:])
+    outside = [0] * len(suspects)  # text around each one that is in no other suspect
+    for i, s in enumerate(suspects[1:], 1):
+        outside[i] = outside[s.around] + suspects[s.around].direct
+    chrome = [False] * len(suspects)
+    for i in range(len(suspects) - 1, 0, -1):
+        s = suspects[i]
+        most = s.own > outside[i]
+        if s.sure:
+            holds = s.marked and most
+        else:
+            holds = s.marked or (most and s.own >= s.linked)
+        chrome[i] = not (holds and s.own + s.linked and total == with_text[s.within])
+        if not chrome[i]:
+            around = suspects[s.around]
+            around.own += s.own
+            around.linked += s.linked
+            around.marked |= s.marked
+    for i, s in enumerate(suspects[1:], 1):
+        chrome[i] |= chrome[s.around]
+    return chrome
 
 
 def strip_markup(page: str) -> list[_Line]:
     """One line per block, in page order; chrome gives lines without text. scope: article or main elements around it."""
     lines = [_Line(0)]
-    stack: list[tuple[str, bool]] = []  # (name, chrome)
+    stack: list[tuple[str, bool, int, int]] = []  # (name, chrome, suspect around it, free article around it)
+    suspects = [_Suspect(0, False, False, 0)]
+    free = [[0, 0]]
     never_closed: set[str] = set()
-    chrome = links = scope = at = 0
+    chrome = links = scope = at = suspect = article = 0
 
     def add(text: str) -> None:
         if text and not chrome:
             text = entities.unescape(text)
-            lines[-1].parts.append(text)
+            lines[-1].parts.append((text, suspect, links > 0))
+            n = sum(map(len, text.split()))
             if links:
-                lines[-1].linked += len(text)
+                suspects[suspect].linked += n
+            else:
+                suspects[suspect].own += n
+                suspects[suspect].direct += n
+                if n and not suspect:
+                    free[article][1] = 1
 
     def end(depth: int) -> None:
-        nonlocal chrome, links, scope
-        for name, hidden in stack[depth:]:
+        nonlocal chrome, links, scope, suspect, article
+        if depth < len(stack):
+            _, _, suspect, article = stack[depth]
+        for name, hidden, _, _ in stack[depth:]:
             chrome -= hidden
             links -= name == "a"
             scope -= name in ("article", "main")
@@ -117,10 +190,10 @@ def strip_markup(page: str) -> list[_Line]:
                 at = len(page)
             else:
                 never_closed.add(name)
-        elif name == "body" or (stack and stack[-1] == ("head", True) and name not in _VOID):
+        elif name == "body" or (stack and stack[-1][0] == "head" and name not in _VOID):
             end(0)  # the head ended without a tag
         if name not in _INLINE:
-            if lines[-1].parts or chrome:
+            if lines[-1].parts or chrome or suspect:
                 lines.append(_Line(scope))
             else:
                 lines[-1].scope = scope
@@ -128,15 +201,26 @@ def strip_markup(page: str) -> list[_Line]:
             continue
         if name not in _INLINE and stack and stack[-1][0] == "p":
             end(len(stack) - 1)  # a block ends an open paragraph
-        hidden = _is_chrome(name, attributes, scope > 0)
-        stack.append((name, hidden))
-        chrome += hidden
+        kind, marked = _chrome(name, attributes, scope > 0), name in ("article", "main")
+        stack.append((name, kind == TAG, suspect, article))
+        chrome += kind == TAG
         links += name == "a"
-        scope += name in ("article", "main")
+        scope += marked
+        if kind > TAG and not chrome:
+            suspects.append(_Suspect(suspect, kind == NAME, marked, article))
+            suspect = len(suspects) - 1
+        elif marked and suspect:
+            suspects[suspect].marked = True
+        elif marked and not chrome:
+            free.append([article, 0])
+            article = len(free) - 1
         lines[-1].scope = scope
     add(page[at:])
+    blank = _judge(suspects, free)
     for line in lines:
-        line.text = " ".join("".join(line.parts).split())
+        line.parts = [p for p in line.parts if not blank[p[1]]]
+        line.linked = sum(len(text) for text, _, linked in line.parts if linked)
+        line.text = " ".join("".join(text for text, _, _ in line.parts).split())
     return lines
 
 
@@ -176,7 +260,7 @@ def main_text(page: str | None) -> str:
         lengths[~scoped] = 0
         runs = text_span(lengths, 1)
     else:
-        linked = [x.linked > LINK_SHARE * sum(map(len, x.parts)) for x in lines]
+        linked = [x.linked > LINK_SHARE * sum(len(text) for text, _, _ in x.parts) for x in lines]
         lengths[linked] = 0
         runs = text_span(lengths)
     return "\n\n".join(lines[i].text for a, b in runs for i in range(a, b) if lengths[i])

@@ -1,6 +1,8 @@
 import html
 import re
 
+import pytest
+
 from claimloom.llm.html_text import extract, main_text
 
 PAGE = """<!doctype html><html><head><title>T</title><style>p{x:1}</style></head><body class="has-sidebar">
@@ -31,6 +33,30 @@ def test_broken_markup():
     assert main_text("<article>") == main_text(None) == main_text("") == main_text("<nav>x</nav>") == ""
 
 
+@pytest.mark.parametrize(
+    ("before", "after"),
+    [
+        ('<div class="page has-sidebar">', "</div>"), ('<div class="no-sidebar">', "</div>"), ('<div id="content-sidebar-wrap">', "</div>"),
+        ('<section class="search-result-page">', "</section>"), ("<form id=aspnetForm>", "</form>"), ("<form><fieldset>", "</fieldset></form>"),
+        ('<main><div class="content-sidebar-wrap">', "</div></main>"), ('<div class="page hidden wide">', "</div>"), ("<div hidden>", "</div>"),
+    ],
+)
+def test_names_around_the_article(before, after):
+    side = '<div class="sidebar"><p>Side text, longer than the whole article is, and then some more of it.</p></div>'
+    inner = f'<article class="post"><h1>Title</h1><p>One text.</p></article>{side}'
+    comments = '<div class="comments"><article class="comment">Not this.</article></div>'
+    assert main_text(f"<body>{before}{inner}{comments}{after}<footer>end</footer>") == "Title\n\nOne text."
+    plain = inner.replace("article", "div").replace("One text.", "One text of some length, with more words than there are beside it, as pages have it.")
+    assert main_text(f"<body>{before}{plain}{after}<footer>end</footer>").startswith("Title\n\nOne text of")
+
+
+def test_articles_with_names_of_chrome():
+    assert main_text('<body><article class="related-12 post"><p>The text.</p></article>') == "The text."
+    two = '<article class="related-12 post"><p>Other.</p></article>'
+    assert main_text(f"<body><article><p>The text.</p></article>{two}") == "The text."
+    assert main_text('<div class="cookie-notice">We use cookies on this site.</div>') == ""
+
+
 def test_sample_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     for r in extract(pages).collect():
