@@ -48,6 +48,8 @@ _OUTER = frozenset({"html", "body", "main"})
 WINDOW = 3  # lines
 SURGE = 12  # characters in a window that may open a text
 LINK_SHARE = 0.6  # a line with more of its characters in links holds no text of its own
+PRIOR = 4  # a character in an article or main counts as so many
+_HEADING = frozenset({"h1", "h2", "h3", "h4", "h5", "h6"})
 
 
 class _Line:
@@ -142,14 +144,15 @@ def strip_markup(page: str) -> list[_Line]:
     suspects = [_Suspect(0, False, False, 0)]
     free = [[0, 0]]
     never_closed: set[str] = set()
-    chrome = links = scope = at = suspect = article = 0
+    chrome = links = headings = scope = at = suspect = article = 0
 
     def add(text: str) -> None:
         if text and not chrome:
             text = entities.unescape(text)
-            lines[-1].parts.append((text, suspect, links > 0))
+            linked = links > 0 and not headings  # a linked title is a title
+            lines[-1].parts.append((text, suspect, linked))
             n = sum(map(len, text.split()))
-            if links:
+            if linked:
                 suspects[suspect].linked += n
             else:
                 suspects[suspect].own += n
@@ -158,12 +161,13 @@ def strip_markup(page: str) -> list[_Line]:
                     free[article][1] = 1
 
     def end(depth: int) -> None:
-        nonlocal chrome, links, scope, suspect, article
+        nonlocal chrome, links, headings, scope, suspect, article
         if depth < len(stack):
             _, _, suspect, article = stack[depth]
         for name, hidden, _, _ in stack[depth:]:
             chrome -= hidden
             links -= name == "a"
+            headings -= name in _HEADING
             scope -= name in ("article", "main")
         del stack[depth:]
 
@@ -205,6 +209,7 @@ def strip_markup(page: str) -> list[_Line]:
         stack.append((name, kind == TAG, suspect, article))
         chrome += kind == TAG
         links += name == "a"
+        headings += name in _HEADING
         scope += marked
         if kind > TAG and not chrome:
             suspects.append(_Suspect(suspect, kind == NAME, marked, article))
@@ -251,19 +256,24 @@ def text_span(lengths: np.ndarray, surge: int = SURGE) -> list[tuple[int, int]]:
 def main_text(page: str | None) -> str:
     """The page's main text: blocks joined by an empty line; empty if there is none.
 
-    Where the page marks an article or main element, its lines alone count, and any text in them opens a run.
+    Lines of links count nothing, lines in an article or main element ``PRIOR``
+    times their length; where those outweigh the rest, the rest counts nothing.
+    The surges and dives of what counts choose the text. Lines of links inside
+    a run of an article belong to it. A page without a run gives what its
+    article or main elements hold, if that is anything.
     """
     lines = strip_markup(page or "")
     lengths = np.array([len(x.text) for x in lines], dtype=np.int64)
     scoped = np.array([x.scope > 0 for x in lines])
-    if lengths[scoped].any():
-        lengths[~scoped] = 0
-        runs = text_span(lengths, 1)
-    else:
-        linked = [x.linked > LINK_SHARE * sum(len(text) for text, _, _ in x.parts) for x in lines]
-        lengths[linked] = 0
-        runs = text_span(lengths)
-    return "\n\n".join(lines[i].text for a, b in runs for i in range(a, b) if lengths[i])
+    linked = np.array([x.linked > LINK_SHARE * sum(len(text) for text, _, _ in x.parts) for x in lines])
+    weights = np.where(linked, 0, lengths) * np.where(scoped, PRIOR, 1)
+    if weights[scoped].sum() and weights[scoped].sum() >= weights[~scoped].sum():
+        weights[~scoped] = 0
+    runs = text_span(weights)
+    if not runs and lengths[scoped].any():
+        return "\n\n".join(x.text for x, s in zip(lines, scoped) if s and x.text)
+    taken = (weights > 0) | (scoped & linked & (lengths > 0))
+    return "\n\n".join(lines[i].text for a, b in runs for i in range(a, b) if taken[i])
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

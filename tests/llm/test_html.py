@@ -57,6 +57,23 @@ def test_articles_with_names_of_chrome():
     assert main_text('<div class="cookie-notice">We use cookies on this site.</div>') == ""
 
 
+def test_windows_choose_inside_an_article():
+    links = "".join(f'<li><a href="/{i}">Another story of this site, number {i}</a></li>' for i in range(5))
+    body = '<h1><a href="/x">Linked title</a></h1><p>First text.</p><p><a href="/y">A line in a link.</a></p><p>Last text, of more words.</p>'
+    want = "Linked title\n\nFirst text.\n\nA line in a link.\n\nLast text, of more words."
+    assert main_text(f"<article>{body}<div class=tail><ul>{links}</ul></div></article>") == want
+    assert main_text(f"<main><ul class=latest>{links}</ul>{body}</main>") == want
+    between = main_text(f"<article>{body}<ul>{links}</ul><p>After the list.</p></article>")
+    assert between == f"{want}\n\nAfter the list."
+    assert main_text(f"<article><ul>{links}</ul></article>").count("Another story") == 5  # the article itself is links
+    assert main_text("<article>42</article>") == "42"
+
+
+def test_a_short_article_beside_the_text():
+    text = "The text of this page stands in no article, and it is much longer than the teaser is. " * 3
+    assert text.strip() in main_text(f"<body><div><p>{text}</p></div><article><p>Read this.</p></article>")
+
+
 def test_sample_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     for r in extract(pages).collect():
