@@ -42,10 +42,14 @@ _CODE = {c: i for i, c in enumerate(LETTERS)} | {" ": 26}
 _TO_CODE = bytes(b - 97 if 97 <= b <= 122 else 26 for b in range(256))
 #: Costs of the channel, as log probabilities.
 KEEP, SWAP, DROP_MARK, DROP_STAND, SQUEEZE, SQUEEZE_PAIR, DOUBLE, BORDER = 0.0, -1.0, -0.5, -4.0, -0.5, -5.0, -1.5, -3.0
+STAND_PAIR, DROP_PAIR, DROP_EDGE = -2.5, -8.0, -1.5  # two of a stand-in for one letter, or for none; three and more at an edge for none
 _PLAIN = re.compile(r"[a-z]+")
 _LONG_RUN = re.compile(r"([a-z])\1\1")
-_HEAD = re.compile(r"""^(?:["'`.,;:?¿¡~_=^&\-/\\)\]}>]+|([^\w\s])\1+)+""")
-_TAIL = re.compile(r"""(?:["'`.,;:!?~_=^&\-/\\)\]}>]+|([^\w\s])\1+)+$""")
+#: Marks at a token's edges that stand for nothing; what may stand for a letter is left to the lattice.
+_HEAD = re.compile(r"""^[^\w\s@$!|+({\[<€£¥¢*#%]+""")
+_TAIL = re.compile(r"""[^\w\s@$!|+({\[<€£¥¢*#%]+$""")
+_NUMBER = re.compile(r"[-+$€£¥¢#(\[{<|]*\d[\d.,:/-]*[%€£¥¢+)\]}|*!]*")
+_APART = "-.,_~·•/\\:;'\"–—"  # what may stand between letters one by one
 _CACHED = 100_000  # tokens, and words, that a task remembers
 _STEP = 1 << 19  # letters counted at a time
 _TEXTS = 64  # labelled texts whose words are counted before they leave a task
@@ -119,9 +123,16 @@ def lattice(token: str, spaced: bool = False) -> list[list[tuple[str, float]]]:
             if n > 2:
                 options.append((c * 2, DOUBLE))
         elif c in STANDS_FOR:
-            options = [(x, SWAP) for x in STANDS_FOR[c]] + [("", DROP_STAND)]
+            drop = DROP_STAND
+            if c == "!" and at == len(token):
+                drop = DROP_MARK
+            elif n == 2:
+                drop = DROP_PAIR
+            elif n > 2 and not c.isdigit() and (at == n or at == len(token)):
+                drop = DROP_EDGE
+            options = [(x, STAND_PAIR if n == 2 else SWAP) for x in STANDS_FOR[c]] + [("", drop)]
             if n > 1:
-                options += [(x * 2, SWAP + DOUBLE) for x in STANDS_FOR[c]]
+                options += [(x * 2, SWAP if n == 2 else SWAP + DOUBLE) for x in STANDS_FOR[c]]
         else:
             options = [("", DROP_MARK)]
         if spaced:
@@ -132,21 +143,23 @@ def lattice(token: str, spaced: bool = False) -> list[list[tuple[str, float]]]:
 
 def viterbi(steps: list[list[tuple[str, float]]], model: np.ndarray) -> str:
     """The likeliest string through a lattice; states are the last three letters."""
-    states: dict[tuple[int, int, int], tuple[float, str]] = {(26, 26, 26): (0.0, "")}
+    log = memoryview(np.ascontiguousarray(model).reshape(-1))
+    states: dict[int, tuple[float, str]] = {_K**3 - 1: (0.0, "")}
     for options in [*steps, [(" ", 0.0)]]:
-        following: dict[tuple[int, int, int], tuple[float, str]] = {}
-        for (a, b, c), (score, text) in states.items():
-            for letters, cost in options:
-                x, y, z, s = a, b, c, score + cost
-                for letter in letters:
-                    code = _CODE[letter]
-                    if code == 26 and z == 26:
+        coded = [(letters, [_CODE[x] for x in letters], cost) for letters, cost in options]
+        following: dict[int, tuple[float, str]] = {}
+        for state, (score, text) in states.items():
+            for letters, codes, cost in coded:
+                to, s = state, score + cost
+                for code in codes:
+                    if code == 26 and to % _K == 26:
                         continue
-                    s += float(model[x, y, z, code])
-                    x, y, z = y, z, code
-                found = following.get((x, y, z))
+                    to = to * _K + code
+                    s += log[to]
+                    to %= _K**3
+                found = following.get(to)
                 if found is None or s > found[0]:
-                    following[x, y, z] = (s, text + letters)
+                    following[to] = (s, text + letters)
         states = following
     return max(states.values())[1].strip()
 
@@ -181,7 +194,7 @@ class Restorer:
         core = _TAIL.sub("", _HEAD.sub("", plain))
         if _PLAIN.fullmatch(core):
             return viterbi(lattice(core), self.model) if _LONG_RUN.search(core) else core
-        if not any(c in _CODE for c in core):
+        if _NUMBER.fullmatch(core) or not any(c in _CODE or c in STANDS_FOR for c in core):
             return ""
         return viterbi(lattice(core), self.model)
 
@@ -193,6 +206,8 @@ class Restorer:
             if len(token) == 1 and (token.isalpha() or token in STANDS_FOR):
                 single.append(token)
                 continue
+            if single and not token.strip(_APART):
+                continue
             if single:
                 self._close(single, out)
                 single = []
@@ -207,7 +222,7 @@ class Restorer:
         if len(single) >= 3:
             spelled = [fold(c) for c in single]
             spelled = "".join(c for c in spelled if c in _CODE or c in STANDS_FOR)
-            if any(c in _CODE for c in spelled):
+            if any(c in _CODE for c in spelled) or (len(set(spelled)) > 1 and not spelled.isdigit()):
                 out.extend(viterbi(lattice(spelled, spaced=True), self.model).split())
         else:
             out.extend(w for c in single if (w := fold(c)) in _CODE)

@@ -85,6 +85,25 @@ def test_restored_spelling(restorer, written, meant):
     assert " ".join(restorer.words(written)) == meant
 
 
+@pytest.fixture(scope="module")
+def coarse(spark):
+    docs = table(spark, FOLDER, "documents").select("text")
+    said = docs.limit(400).withColumn("text", F.lit("you stupid ass what shit such an idiot"))
+    return T.Restorer(T.character_model(docs.union(said)))
+
+
+@pytest.mark.parametrize(
+    ("written", "meant"),
+    [
+        ("a$$", "ass"), ("@$$", "ass"), ("@ss!", "ass"), ("$$tupid", "stupid"), ("$#!7", "shit"), ("$#!7!!!", "shit"), ("i - d - i - o - t", "idiot"),
+        ("i . d . i . o . t", "idiot"), ("$ # ! 7", "shit"), ("the***", "the"), ("THE!!", "the"), ("is%%%", "is"), ("with###", "with"),
+        ("$2,000.50", ""), ("50%", ""), ("1 2 3 4", ""), ("+1", ""), ("| | | |", ""), ("--- ...", ""), ("***", ""), ("$$$", ""),
+    ],
+)
+def test_stand_ins_at_the_edges(coarse, written, meant):
+    assert " ".join(coarse.words(written)) == meant
+
+
 def test_lattice_paths_are_all_weighed(restorer):
     """The decoder finds what trying every path finds."""
     from itertools import product
