@@ -1,3 +1,5 @@
+import inspect
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -32,6 +34,11 @@ def test_toxicity_of_held_out_rows(spark):
     assert held_out_area(spark, T.score_toxicity, "toxic", 4, 2) > 0.8
 
 
+def test_toxicity_learns_from_40000_rows():
+    assert T.MAX_TRAINING_ROWS == 40_000
+    assert all(inspect.signature(f).parameters["max_rows"].default == 40_000 for f in (T.learn, T.score_toxicity))
+
+
 @pytest.mark.parametrize(("score", "column"), [(Q.score_quality, "quality"), (T.score_toxicity, "toxic")])
 def test_edges(spark, edge, nothing, score, column):
     some = [(1, 1), (2, 0), (6, 0), (None, 1), (3, None), (99, 1), (1, 1)]
