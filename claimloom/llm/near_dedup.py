@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.components import components
+from claimloom.llm.components import components, join_heavy
 from claimloom.llm.text import WordHashes, lower_words, mix, odd_multipliers, shingle_set, signed, utf8
 from claimloom.session import stage
 
@@ -175,8 +175,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, id_col:
     classes = stage(classes, "classes")
     ones = features.join(classes.select(F.col("rep").alias("doc_id"), "set_high", "set_low"), ["doc_id", "set_high", "set_low"], "leftsemi")
     keys = stage(ones.select("doc_id", F.explode("keys").alias("key")), "bands")
-    firsts = keys.groupBy("key").agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("last")).where("v <> last").drop("last")
-    ties = keys.join(firsts, "key").select(F.col("doc_id").alias("u"), "v")
+    firsts = keys.groupBy("key").agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
+    ties = join_heavy(keys, firsts.where("v <> last").drop("last"), "key", keys.count()).select(F.col("doc_id").alias("u"), "v")
     groups = stage(components(ties).select(F.col("node").alias("doc_id"), "root"), "candidates")
 
     member = groups.join(features.select("doc_id", "sketch", "set_high", "set_low").join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "set_high", "set_low"], "leftsemi"), "doc_id")
@@ -187,13 +187,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, id_col:
     sets = stage(sets, "sets")
     size = sets.groupBy("root").agg(F.count("*").alias("n"), F.sum(F.octet_length("shingles")).alias("bytes"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
-    dealt = sets.join(size.select("root", blocks.alias("blocks")), "root").withColumn(
+    dealt = join_heavy(sets, size.select("root", blocks.alias("blocks"), "n"), "root", sets.count()).withColumn(
         "block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int")
     )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     met = dealt.select("root", "doc_id", "sketch", "shingles", "block", other).select(
         "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc_id", "block", "sketch", "shingles"
     )
+    met = met.repartition("root", "i", "j")  # else the join's order by root would do, with all pairs of a component in one task
     links = met.groupBy("root", "i", "j").applyInArrow(_forest(percent), "u bigint, v bigint")
     roots = components(links).withColumnRenamed("node", "rep")
     labels = classes.join(roots, "rep", "left").select("set_high", "set_low", F.coalesce("root", "rep").alias("label"))

@@ -90,3 +90,24 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 60)] + [(100, 101), (5, 5), (None, 3)], "u bigint, v bigint")
     got = {r.node: r.root for r in components(links).collect()}
     assert got == {i: 1 for i in range(1, 61)} | {100: 100, 101: 100}
+
+
+def test_a_component_is_dealt_by_pairs_of_blocks(spark, monkeypatch):
+    from claimloom.llm import near_dedup
+
+    plans = []
+
+    def seen(links):
+        plans.append(links._jdf.queryExecution().executedPlan().toString())
+        return components(links)
+
+    monkeypatch.setattr(near_dedup, "components", seen)
+    near_duplicates(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id bigint, text string"), 80)
+    assert "hashpartitioning(root" in plans[1].split("FlatMapGroupsInArrow")[1].split("Generate")[0]
+    assert "i#" in plans[1].split("hashpartitioning(root")[1].split(")")[0]
+
+
+def test_components_of_a_star_keep_the_centre_spread(spark):
+    links = spark.range(1, 5000).selectExpr("id as u", "id % 7 * 0 as v").unionByName(spark.createDataFrame([(9000, 9001)], "u bigint, v bigint"))
+    got = {r.node: r.root for r in components(links).collect()}
+    assert got == {i: 0 for i in range(5000)} | {9000: 9000, 9001: 9000}
