@@ -101,8 +101,108 @@ _CONTAINED = f"""
 """
 
 
+#: Sources in code point order share the words by weight, up to twice their size; rows are read in the order of a hash.
+_CURRICULUM = r"""
+    WITH RECURSIVE rows AS (
+        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+            md5(coalesce(doc_id::VARCHAR, '')) AS k
+        FROM documents
+    ),
+    sources AS (
+        SELECT source, size, [3, 1, 2][turn + 1] AS weight, turn, sum(size) OVER () * 1.5 AS wanted
+        FROM (SELECT source, sum(size)::BIGINT AS size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS turn FROM rows GROUP BY source)
+    ),
+    rounds AS (
+        SELECT 0 AS round, 0::HUGEINT AS full_size, sum(weight) AS open_weight, 0 AS stopped, -1 AS before FROM sources
+        UNION ALL
+        SELECT round + 1, sum(CASE WHEN above THEN 2 * size ELSE 0 END), sum(CASE WHEN above THEN 0 ELSE weight END), count_if(above), any_value(stopped)
+        FROM (
+            SELECT round, stopped, size, weight, (wanted - full_size) * weight / open_weight > 2 * size AS above
+            FROM rounds, sources WHERE stopped <> before
+        )
+        GROUP BY round
+    ),
+    last AS (SELECT * FROM rounds ORDER BY round DESC LIMIT 1),
+    targets AS (SELECT source, size, turn, least((wanted - full_size) * weight / open_weight, 2 * size)::DOUBLE AS target FROM sources, last),
+    placed AS (
+        SELECT r.*, t.size AS source_size, target, turn,
+            (sum(r.size) OVER (PARTITION BY r.source ORDER BY k, r.size ROWS UNBOUNDED PRECEDING) - r.size)::BIGINT AS start
+        FROM rows r JOIN targets t ON t.source IS NOT DISTINCT FROM r.source
+    ),
+    taken AS (
+        SELECT *, greatest(least(size, floor(target)::BIGINT - start), 0) AS once,
+            greatest(least(size, floor(target)::BIGINT - start - source_size), 0) AS again, start / target AS f,
+            CASE turn WHEN 0 THEN -1.0 WHEN 1 THEN 0.0 ELSE 1.0 END::DOUBLE AS slope,
+            CASE turn WHEN 0 THEN 1.5 WHEN 1 THEN 1.0 ELSE 0.5 END::DOUBLE AS w0
+        FROM placed
+    )
+    SELECT doc_id, size, source_size, target, (once + again)::BIGINT AS taken,
+        CASE WHEN once > 0 THEN floor(CASE WHEN f > 0 THEN 2 * f / (w0 + sqrt(w0 * w0 + 2 * slope * f)) ELSE 0 END * 1e9) END::BIGINT AS position,
+        ((once > 0)::INT + (again > 0)::INT) AS n_reads
+    FROM taken
+"""
+
+
+#: Anchors against all rows by component.
+_HARD_NEGATIVES = """
+    WITH vectors AS (
+        SELECT DISTINCT vec_id, embedding, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    parts AS (
+        SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS i, unnest(list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT)) AS x
+        FROM vectors
+    ),
+    scores AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id, sum(a.x * b.x)::BIGINT AS score
+        FROM parts a JOIN parts b USING (i) WHERE a.vec_id % 100 = 0 GROUP BY ALL
+    ),
+    labelled AS (
+        SELECT anchor_id, s.vec_id, score, a.label = b.label AS same
+        FROM scores s JOIN vectors a ON a.vec_id = anchor_id JOIN vectors b ON b.vec_id = s.vec_id
+    ),
+    positives AS (
+        SELECT * FROM labelled WHERE same AND vec_id <> anchor_id
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT p.anchor_id, p.vec_id AS positive_id,
+        row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+        n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM positives p JOIN labelled n ON n.anchor_id = p.anchor_id AND NOT n.same
+        AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+    QUALIFY rank <= 10
+"""
+
+
+_FILL_IN_MIDDLE = """
+    WITH rows AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+    numbers AS (
+        SELECT doc_id, text, length(text) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+            ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+        FROM rows
+    ),
+    cuts AS (
+        SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+            CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+        FROM numbers
+    ),
+    parts AS (SELECT *, substr(text, 1, a) AS p, substr(text, a + 1, b - a) AS m, substr(text, b + 1) AS s FROM cuts)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+            ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+        sha256(text) AS restored_sha256
+    FROM parts
+"""
+
+
 ORACLES: dict[str, str] = {
     "op3_decontaminate": _CONTAINED,
     "op9_near_dedup": near_duplicates(85),
     "op8_line_rules": _LINE_RULES,
+    "op11_curriculum": _CURRICULUM,
+    "op12_hard_negatives": _HARD_NEGATIVES,
+    "op13_fill_in_middle": _FILL_IN_MIDDLE,
 }

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from claimloom.llm.bpe import decode_documents, encode_documents
 from claimloom.llm.chat import chat_windows, window_digests
+from claimloom.llm.curriculum import curriculum, word_count
 from claimloom.llm.decontaminate import contained_items
+from claimloom.llm.fim import fim_documents, restore
+from claimloom.llm.hard_negatives import hard_negatives
 from claimloom.llm.html_text import extract
 from claimloom.llm.line_rules import line_rules
 from claimloom.llm.near_dedup import near_duplicates
@@ -115,3 +118,28 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items that documents have to 80 % or more."""
     return contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op11_curriculum(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in the order of a curriculum over their sources; position in billionths of the run."""
+    docs = table(spark, folder, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    first = F.get("reads", F.lit(0))["position"]
+    return curriculum(docs).select(
+        "doc_id", "size", "source_size", "target", "taken", F.floor(first * 1e9).cast("bigint").alias("position"), F.size("reads").alias("n_reads")
+    )
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, after a known change of every seventh label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as fill-in-middle texts, and rebuilt from these."""
+    done = restore(fim_documents(table(spark, folder, "documents").select("doc_id", "text")))
+    digest = lambda c: F.sha2(F.encode(c, "utf-8"), 256).alias(f"{c}_sha256")
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output"), digest("restored"))
