@@ -57,7 +57,7 @@ def test_large_components_stay_exact(spark):
     assert got(spark, rows, 5) == plain(rows, 5)
     huge = [(i, [1e12 * i, 1e300 if i == 3 else 0.0], i % 2) for i in range(1, 9)]
     found = got(spark, huge, 1)
-    assert found and all(abs(v) <= 1 << 63 for r in found for v in r)
+    assert found == []  # all scores become the largest number, and none is below 90 % of another
 
 
 def test_ties_go_to_smaller_ids(spark):
