@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType, NumericType
 
 from claimloom.functions.exprs import as_double
-from claimloom.operators.order_stats import exact_quantiles, in_units
+from claimloom.operators.order_stats import Series, Span, in_units, quantiles, sketch_of
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -27,63 +27,61 @@ def value_counts(df: DataFrame) -> DataFrame:
     return long.groupBy("column_name", "value").agg(F.count("*").alias("n"))
 
 
-def _quartiles(df: DataFrame) -> dict[str, list[float]]:
-    """Exact quartiles per numeric column; all whole and decimal columns share their passes, all doubles theirs."""
-    exact, doubles, out = {}, [], {}
+def _series(df: DataFrame) -> tuple[dict[str, Series], dict[str, int]]:
+    """Every numeric column to rank: whole and decimal ones exactly in their units, doubles without NaN."""
+    series, units = {}, {}
     for field in df.schema.fields:
-        if isinstance(field.dataType, (IntegralType, DecimalType)):
-            exact[field.name] = getattr(field.dataType, "scale", 0)
-        elif isinstance(field.dataType, NumericType):
-            doubles.append(field.name)
-    if doubles:
-        cells = [F.struct(F.lit(c).alias("column_name"), as_double(F.col(c)).alias("value")) for c in doubles]
-        out |= exact_quantiles(df.select(F.inline(F.array(*cells))), "value", QUARTILES, 0, "column_name", "double")
-    if exact:
-        scale = max(exact.values())
-        cells = [F.struct(F.lit(c).alias("column_name"), in_units(F.col(c), scale).alias("value")) for c in exact]
-        out |= exact_quantiles(df.select(F.inline(F.array(*cells))), "value", QUARTILES, scale, "column_name")
-    return out
+        column, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, (IntegralType, DecimalType)):
+            scale = getattr(kind, "scale", 0)
+            series[field.name], units[field.name] = Series(in_units(column, scale)), 10**scale
+        elif isinstance(kind, NumericType):
+            series[field.name] = Series(F.nanvl(column.cast("double"), F.lit(None)), False)
+    return series, units
 
 
 def profile(df: DataFrame, quartiles: bool = True) -> DataFrame:
     """One row per column, as a describe-all would print it.
 
     Every column has its type and number of non-null values; text-like columns
-    their distinct values and the most frequent one (from one value count over
-    all of them), numeric ones mean, std, min and max (from one aggregate) and
-    quartiles. Quartiles are exact; they read the input several times, so pass a
-    stored table.
+    their distinct values and the most frequent one, numeric ones mean, std, min
+    and max and exact quartiles. Three passes over the input, so pass a stored
+    table: one aggregate of all columns, which also sketches the numeric ones;
+    one value count over all texts; one exact count around the sketched
+    quartiles (more only where millions of values are that close to one).
     """
     spark = df.sparkSession
     fields = {f.name: f.dataType for f in df.schema.fields}
-    numeric = [c for c, t in fields.items() if isinstance(t, NumericType)]
-    texts = [c for c in fields if c not in numeric]
-    types = spark.createDataFrame([(c, t.simpleString()) for c, t in fields.items()], "column_name string, data_type string")
-
-    stats = []
-    for c in fields:
-        v = as_double(F.col(c) if c in numeric else F.lit(None))
-        named = {"mean": F.avg(v), "std": F.stddev_samp(v), "min": F.min(v), "max": F.max(v)}
-        named = {"non_null": F.count(c), **named}
-        stats.append(F.struct(F.lit(c).alias("column_name"), *[x.alias(n) for n, x in named.items()]))
-    out = types.join(df.agg(F.array(*stats).alias("s")).select(F.inline("s")), "column_name", "left")
+    series, units = _series(df)
+    texts = [c for c in fields if c not in series]
+
+    def stats(c: str):
+        v = as_double(F.col(f"`{c}`") if c in series else F.lit(None))
+        named = {"non_null": F.count(f"`{c}`"), "mean": F.avg(v), "std": F.stddev_samp(v), "min": F.min(v), "max": F.max(v)}
+        return F.struct(*[x.alias(n) for n, x in named.items()])
+
+    asked = [stats(c).alias(f"s{i}") for i, c in enumerate(fields)]
+    asked += [sketch_of(series[c]).alias(f"q{i}") for i, c in enumerate(fields) if quartiles and c in series]
+    found = df.agg(*asked).first()  # one row, of some 100 KB a numeric column
+    places: dict[str, list] = {}
+    if quartiles:
+        spans = {c: Span(**found[f"q{i}"].asDict()) for i, c in enumerate(fields) if c in series}
+        places = quantiles(df, series, spans, QUARTILES, units)
+    rows = [(c, t.simpleString(), *found[f"s{i}"], *places.get(c, [None] * len(QUARTILES))) for i, (c, t) in enumerate(fields.items())]
+    points = ", ".join(f"p{round(q * 100)} double" for q in QUARTILES)
+    kinds = f"column_name string, data_type string, non_null bigint, mean double, std double, min double, max double, {points}"
+    out = spark.createDataFrame(rows, kinds)
+    if not quartiles:
+        out = out.drop(*[f"p{round(q * 100)}" for q in QUARTILES])
 
     # Ties for the most frequent value go to the smallest.
     first = F.min(F.struct((-F.col("n")).alias("minus_n"), "value")).alias("first")
-    common = value_counts(df.select(*texts)) if texts else spark.createDataFrame([], "column_name string, value string, n bigint")
+    common = value_counts(df.select(*[f"`{c}`" for c in texts])) if texts else spark.createDataFrame([], "column_name string, value string, n bigint")
     common = common.groupBy("column_name").agg(F.count("*").alias("unique_values"), first)
-    out = out.join(
-        common.select(
-            "column_name", "unique_values", F.col("first.value").alias("top"), (-F.col("first.minus_n")).alias("freq")
-        ),
-        "column_name",
-        "left",
+    top = common.select("column_name", "unique_values", F.col("first.value").alias("top"), (-F.col("first.minus_n")).alias("freq"))
+    return out.join(top, "column_name", "left").select(
+        *out.columns[:7], "unique_values", "top", "freq", *out.columns[7:]
     )
-    if quartiles:
-        rows = [(c, *values) for c, values in _quartiles(df).items() if values]
-        names = ", ".join(f"p{round(q * 100)} double" for q in QUARTILES)
-        out = out.join(spark.createDataFrame(rows, f"column_name string, {names}"), "column_name", "left")
-    return out
 
 
 def group_mean(df: DataFrame, by: str, value: str, out: str = "mean") -> DataFrame:
