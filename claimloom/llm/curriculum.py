@@ -147,7 +147,13 @@ def curriculum(
     rows = _with_bins(keyed)
     parts = stage(rows.groupBy(*_BIN, "_part").agg(F.sum("_size").alias("_words")), "mix_bins")
     bins = parts.groupBy(*_BIN).agg(F.sum("_words").alias("_words"))
-    bins = bins.select(*_BIN, _sum_before("_words", _SOURCE, ["_bin", "_sub"]).alias("_first"))
+    # sums before a bin in two steps of at most 256 bins (and the keys split off), not one over all bins of a source
+    top = [*_SOURCE, "_top"]
+    bins = bins.withColumn("_top", F.substring("_bin", 1, _BIN_DIGITS // 2))
+    tops = bins.groupBy(*top).agg(F.sum("_words").alias("_words"))
+    tops = tops.select(*top, _sum_before("_words", _SOURCE, ["_top"]).alias("_above"))
+    bins = bins.select(*_BIN, "_top", _sum_before("_words", top, ["_bin", "_sub"]).alias("_within")).join(tops, top)
+    bins = bins.select(*_BIN, (F.col("_above") + F.col("_within")).alias("_first"))
     starts = parts.select(*_BIN, "_part", _sum_before("_words", _BIN, ["_part"]).alias("_inside")).join(bins, _BIN)
     starts = starts.join(sources.select(*_SOURCE, F.col("size").alias("source_size"), "target", "_shape"), _SOURCE)
 
