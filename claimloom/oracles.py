@@ -644,3 +644,7 @@ ORACLES |= {
         SELECT CASE WHEN l_linenumber <> 7 THEN l_suppkey END AS provider_id, count(*) AS claims,
                CASE WHEN provider_id IS NOT NULL THEN true END AS listed FROM lineitem GROUP BY ALL""",
 }
+
+from claimloom.refresh_oracles import ORACLES as _REFRESH  # noqa: E402  (they use the tables above)
+
+ORACLES |= _REFRESH

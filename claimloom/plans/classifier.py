@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from claimloom.functions.exprs import age_years, over_threshold
 from claimloom.operators.joins import join_dimension
 from claimloom.operators.order_stats import exact_quantiles, in_units, ranked_values
-from claimloom.session import stage
+from claimloom.session import new_path, stage
 
 COST_QUANTILE = 0.9
 TEST_SHARE = 0.2
@@ -152,7 +152,11 @@ def fit(train: DataFrame, numeric: str = "age", categories: list[str] | None = N
     scaler = _standardise(numeric, stats["mean"], stats["std"])
     assembler = VectorAssembler(inputCols=["_scaled", *[f"{c}_hot" for c in categories]], outputCol="features")
     regression = LogisticRegression(weightCol="_weight", maxIter=MAX_ITER, regParam=1.0 / n, standardization=False)
-    return Pipeline(stages=[scaler, indexer, encoder, assembler, regression]).fit(weighted)
+    fitted = Pipeline(stages=[scaler, indexer, encoder, assembler, regression]).fit(weighted)
+    # stored and read back: a model fresh from its fit holds the session, which tasks cannot be sent once a write was observed
+    path = new_path(train.sparkSession, "model")
+    fitted.write().save(path)
+    return PipelineModel.load(path)
 
 
 def _standardise(column: str, mean: float, std: float):

@@ -10,20 +10,36 @@ from pyspark.sql import functions as F
 
 from claimloom.model import EMPTY_SHEET, METRICS_SHEET, SHEETS
 from claimloom.operators.validate import require_report_columns
+from claimloom.operators.ordinals import ORD, add_file_ordinal, tag_source_order
 from claimloom.plans.reports import in_report_order
+from claimloom.session import stage
 from claimloom.sources.feeds import read_optional, scan_csv
 
 EMPTY_STATUS = "No output data available. Run the pipeline first."
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """One headed CSV. Only for grouped results: a report has a few thousand rows at any scale."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+FILE_ROWS = 1_000_000
 
 
-def write_reports(reports: Mapping[str, DataFrame], folder: str) -> None:
+def write_csv(df: DataFrame, path: str, file_rows: int = FILE_ROWS) -> None:
+    """Headed CSV files that hold the rows of ``df`` in its order, file after file.
+
+    A sorted frame is range partitioned: each task writes its range, in files of
+    at most ``file_rows`` rows, and file names follow the order. Small results
+    come out as one file, as adaptive execution merges their partitions.
+    """
+    df.write.mode("overwrite").option("header", True).option("escape", '"').option("maxRecordsPerFile", file_rows).csv(path)
+
+
+def read_csv_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_csv`` wrote, with ``_ord``: 0, 1, 2, ... in the order in which it was written."""
+    scan = scan_csv(spark, path)
+    return add_file_ordinal(stage(tag_source_order(scan, [F.col(f"`{c}`") for c in scan.columns]), "ordered_csv"))
+
+
+def write_reports(reports: Mapping[str, DataFrame], folder: str, file_rows: int = FILE_ROWS) -> None:
     for name, df in reports.items():
-        write_csv(in_report_order(name, df), f"{folder}/{name}.csv")
+        write_csv(in_report_order(name, df), f"{folder}/{name}.csv", file_rows)
 
 
 def read_metrics(spark: SparkSession, folder: str) -> str | None:
@@ -37,7 +53,12 @@ def read_metrics(spark: SparkSession, folder: str) -> str | None:
 
 
 def read_reports(spark: SparkSession, folder: str) -> dict[str, DataFrame | None]:
-    return {name: read_optional(spark, f"{folder}/{name}.csv") for name in SHEETS}
+    """The stored reports in the order of their files; None for one that was never written."""
+
+    def read(path: str) -> DataFrame | None:
+        return None if read_optional(spark, path) is None else read_csv_in_order(spark, path).orderBy(ORD).drop(ORD)
+
+    return {name: read(f"{folder}/{name}.csv") for name in SHEETS}
 
 
 def report_set(spark: SparkSession, reports: Mapping[str, DataFrame | None], metrics: str | None) -> dict[str, DataFrame]:

@@ -45,7 +45,7 @@ def to_operational(
     return {ROLE_TABLE[role][0]: conform(df, ROLE_TABLE[role][1]) for role, df in tables.items()}
 
 
-def check_operational(tables: dict[str, DataFrame]) -> None:
+def check_operational(tables: dict[str, DataFrame], observed: dict[str, store.TableStats] | None = None) -> None:
     """What the operational database would refuse: broken keys and dangling references."""
     require_unique(tables["member"], "member_id", "member")
     require_unique(tables["provider"], "provider_id", "provider")
@@ -53,9 +53,12 @@ def check_operational(tables: dict[str, DataFrame]) -> None:
     require_references(tables["claim"], tables["provider"], "provider_id", "providers")
 
 
-def ingest(spark: SparkSession, config: FeedConfig, root: str, as_of: dt.date) -> dict[str, DataFrame]:
-    """Load a feed as the new version of the operational tables under ``root``."""
-    feed = load_feed(spark, config, as_of)
+def ingest(spark: SparkSession, config: FeedConfig, root: str, as_of: dt.date, quarantine: str | None = None) -> dict[str, DataFrame]:
+    """Load a feed as the new version of the operational tables under ``root``.
+
+    Lines that do not fit their header go to the ``quarantine`` folder if there is one.
+    """
+    feed = load_feed(spark, config, as_of, quarantine)
     derived = [role for role in feed if role not in config.files]
     tables = to_operational(feed["members"], feed["providers"], feed["claims"], derived)
     store.publish(spark, root, tables, check=check_operational)

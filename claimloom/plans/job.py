@@ -18,8 +18,7 @@ from claimloom.sources.config import FeedConfig
 def report_frames(tables: Mapping[str, DataFrame], as_of: dt.date) -> dict[str, DataFrame]:
     """The five reports; the fact is joined and scanned once for all of them."""
     measures = reports.member_measures(tables["claim"], tables["member"], tables["provider"], as_of)
-    cube = stage(reports.claim_cube(measures), "cube")
-    return reports.all_reports(cube)
+    return reports.reports_of(stage(reports.rollups(reports.claim_cube(measures)), "rollups"))
 
 
 def run_reports(tables: Mapping[str, DataFrame], folder: str, as_of: dt.date) -> dict[str, DataFrame]:
@@ -40,9 +39,9 @@ def build_warehouse(
     """Full refresh of the star schema and summaries; committed, and reported as JSON, if the gate passes."""
     results: dict = {}
 
-    def gate(written: dict[str, DataFrame]) -> None:
+    def gate(written: dict[str, DataFrame], observed: dict[str, store.TableStats]) -> None:
         star = (written[n] for n in ("dim_member", "dim_provider", "dim_date", "fact_claims"))
-        results.update(quality.enforce(quality.run_checks(*star)))
+        results.update(quality.enforce(quality.run_checks(*star, observed=observed)))
 
     store.publish(
         spark,
@@ -52,7 +51,7 @@ def build_warehouse(
             "dim_provider": warehouse.dim_provider(tables["provider"]),
             "dim_date": warehouse.dim_date(spark, as_of, calendar_start).coalesce(1),
             "fact_claims": warehouse.partitioned_fact(warehouse.fact_claims(tables["claim"])),
-            **{name: report_frames[source].coalesce(1) for name, source in SUMMARY_TABLES.items()},
+            **{name: report_frames[source] for name, source in SUMMARY_TABLES.items()},
         },
         partition_by={"fact_claims": ["year", "month"]},
         check=gate,

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimloom.operators.distinct import surplus_of
+from claimloom.operators.filters import missing_counts
+from claimloom.sources.store import TableStats
+
 # The checks in report order
 CHECKS = [
     "dim_member_count",
@@ -42,54 +48,58 @@ def _metrics(df: DataFrame, **named: Column) -> DataFrame:
     return df.agg(F.array(*pairs).alias("m")).select(F.inline("m"))
 
 
-def _number(df: DataFrame, name: str) -> Column | None:
-    """A whole number or a date as BIGINT; None for other types."""
-    kind = dict(df.dtypes)[name]
-    if kind in ("tinyint", "smallint", "int", "bigint"):
-        return F.col(name).cast("bigint")
-    return F.unix_date(name).cast("bigint") if kind == "date" else None
-
-
 def missing_refs(fact: DataFrame, dims: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
     """Fact rows without a dimension row, per dimension; null fact keys count.
 
-    ``dims`` maps a metric name to (dimension, dimension key, fact key). The fact
-    is scanned once: its rows are counted per kind and key before the shuffle,
-    and all kinds are joined together. Number and date keys are compared as
-    numbers, others as texts.
+    ``dims`` maps a metric name to (dimension, dimension key, fact key). Keys that
+    are dense numbers or dates are probed in filters, in one pass that moves no
+    fact row. Otherwise the fact is scanned once, its rows are counted per kind and
+    key before the shuffle, and all kinds are joined together as texts.
     """
     names = list(dims)
-    numbers = all(_number(df, key) is not None for dim, dim_key, fact_key in dims.values() for df, key in ((dim, dim_key), (fact, fact_key)))
-
-    def key_of(df: DataFrame, name: str) -> Column:
-        return _number(df, name) if numbers else F.col(name).cast("string")
-
-    cells = [F.struct(F.lit(i).alias("kind"), key_of(fact, dims[n][2]).alias("key")) for i, n in enumerate(names)]
+    counts = missing_counts(fact, dims)
+    if counts is not None:
+        pairs = [F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in names]
+        return counts.select(F.inline(F.array(*pairs)))
+    cells = [F.struct(F.lit(i).alias("kind"), F.col(dims[n][2]).cast("string").alias("key")) for i, n in enumerate(names)]
     per_key = fact.select(F.inline(F.array(*cells))).groupBy("kind", "key").agg(F.count("*").alias("rows"))
     listed = None
     for i, n in enumerate(names):
         dim, dim_key, _ = dims[n]
-        part = dim.select(F.lit(i).alias("kind"), key_of(dim, dim_key).alias("key"))
+        part = dim.select(F.lit(i).alias("kind"), F.col(dim_key).cast("string").alias("key"))
         listed = part if listed is None else listed.unionByName(part)
     orphans = per_key.join(listed, ["kind", "key"], "left_anti")
     return _metrics(orphans, **{n: F.coalesce(F.sum(F.when(F.col("kind") == i, F.col("rows"))), F.lit(0)) for i, n in enumerate(names)})
 
 
-def duplicate_surplus(fact: DataFrame) -> Column:
-    return F.count("*") - F.count_distinct("claim_id")
+def _known(spark: SparkSession, **values: int) -> DataFrame:
+    """Values that a write has counted, as (name, value) rows."""
+    return spark.createDataFrame(list(values.items()), "name string, value bigint")
 
 
-def check_metrics(members: DataFrame, providers: DataFrame, dates: DataFrame, fact: DataFrame) -> DataFrame:
-    """All check values as (name, value) rows."""
+def check_metrics(
+    members: DataFrame, providers: DataFrame, dates: DataFrame, fact: DataFrame, observed: Mapping[str, TableStats] | None = None
+) -> DataFrame:
+    """All check values as (name, value) rows. What was counted while the tables were written is not counted again."""
+    observed = observed or {}
 
     def dim(df: DataFrame, name: str, key: str) -> DataFrame:
+        if (stats := observed.get(f"dim_{name}")) is not None:
+            return _known(df.sparkSession, **{f"dim_{name}_count": stats.rows, f"null_{name}_pk": stats.nulls[key]})
         return _metrics(df, **{f"dim_{name}_count": F.count("*"), f"null_{name}_pk": F.count_if(F.col(key).isNull())})
 
+    def of_fact() -> list[DataFrame]:
+        ids, surplus = surplus_of(fact, "claim_id")
+        if (stats := observed.get("fact_claims")) is not None:
+            return [_known(fact.sparkSession, fact_claims_count=stats.rows), _metrics(ids, fact_claims_dup_claim_id=surplus)]
+        rows = F.count("*") if ids is fact else F.coalesce(F.sum("rows"), F.lit(0))
+        return [_metrics(ids, fact_claims_count=rows, fact_claims_dup_claim_id=F.coalesce(surplus, F.lit(0)))]
+
     parts = [
         dim(members, "member", "member_id"),
         dim(providers, "provider", "provider_id"),
         dim(dates, "date", "date_key"),
-        _metrics(fact, fact_claims_count=F.count("*"), fact_claims_dup_claim_id=duplicate_surplus(fact)),
+        *of_fact(),
         missing_refs(
             fact,
             {
@@ -105,9 +115,11 @@ def check_metrics(members: DataFrame, providers: DataFrame, dates: DataFrame, fa
     return out
 
 
-def run_checks(members: DataFrame, providers: DataFrame, dates: DataFrame, fact: DataFrame) -> DataFrame:
+def run_checks(
+    members: DataFrame, providers: DataFrame, dates: DataFrame, fact: DataFrame, observed: Mapping[str, TableStats] | None = None
+) -> DataFrame:
     """One row: the check values, the joined failure texts and the status."""
-    metrics = check_metrics(members, providers, dates, fact)
+    metrics = check_metrics(members, providers, dates, fact, observed)
     row = metrics.agg(*[F.max(F.when(F.col("name") == c, F.col("value"))).alias(c) for c in CHECKS])
     texts = [F.when(F.expr(condition), F.lit(text)) for condition, text in FAILURES]
     row = row.withColumn("failures", F.concat_ws("; ", *texts))

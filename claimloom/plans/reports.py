@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions.exprs import age_band, age_years, as_double, guarded_pct, month_start, round_even
 from claimloom.model import AGE_LABELS, REPORT_COLUMNS
+from claimloom.operators.filters import known_rows
 from claimloom.operators.joins import join_dimension
 
 CUBE_KEYS = ["age_band", "member_region", "in_network", "month", "diagnosis_code"]
@@ -59,6 +60,23 @@ def member_measures(claims: DataFrame, members: DataFrame, providers: DataFrame,
     return joined.select(*CUBE_KEYS, *MEASURES)
 
 
+def claim_rows(claims: DataFrame, members: DataFrame, providers: DataFrame, as_of: dt.date) -> DataFrame:
+    """The measures claim by claim, for a report by month: a member rarely has two claims in one, so sums per member gain nothing."""
+    return claim_measures(joined_claims(claims, members, providers, as_of)).select(*CUBE_KEYS, *MEASURES)
+
+
+def known_claims(claims: DataFrame, members: DataFrame, providers: DataFrame) -> DataFrame:
+    """The measures of claims that have both a member and a provider, without any of their attributes.
+
+    Where the keys are dense numbers they are probed in filters and no claim is
+    moved before it is grouped.
+    """
+    rows = known_rows(known_rows(claims, providers, "provider_id"), members, "member_id")
+    nothing = {"age_band": "string", "member_region": "string", "in_network": "boolean"}
+    rows = rows.withColumns({c: F.lit(None).cast(kind) for c, kind in nothing.items()})
+    return claim_measures(rows).select(*CUBE_KEYS, *MEASURES)
+
+
 def _or_missing(df: DataFrame, name: str, dtype: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(dtype)
 
@@ -147,6 +165,40 @@ def all_reports(measures: DataFrame) -> dict[str, DataFrame]:
     return {name: build(measures).select(REPORT_COLUMNS[name]) for name, build in REPORTS.items()}
 
 
+#: Keys of each report; one roll-up of the batch makes them all.
+GROUPINGS = {
+    "kpis": ["age_band", "member_region", "in_network"],
+    "monthly": ["month", "member_region", "in_network"],
+    "loss_ratio": ["member_region", "in_network"],
+    "network_summary": ["in_network"],
+    "diagnosis_summary": ["diagnosis_code"],
+}
+GROUPING = "grouping"
+
+
+def _grouping(report: str) -> int:
+    """Grouping id of a report: a bit for each key that it has not, the first key's highest."""
+    keys = GROUPINGS[report]
+    return sum(1 << (len(CUBE_KEYS) - 1 - i) for i, k in enumerate(CUBE_KEYS) if k not in keys)
+
+
+def rollups(cube: DataFrame) -> DataFrame:
+    """The groups of all reports in one frame, told apart by ``grouping``: one scan of the cube, one Expand, one shuffle.
+
+    A null of a key is a group of its own; a key that a report has not is null
+    as well, and only the grouping id tells the two apart.
+    """
+    sets = [[F.col(k) for k in keys] for keys in GROUPINGS.values()]
+    grouped = cube.groupingSets(sets, *CUBE_KEYS)
+    return grouped.agg(F.grouping_id().alias(GROUPING), *[F.sum(m).alias(m) for m in MEASURES])
+
+
+def reports_of(rolled: DataFrame) -> dict[str, DataFrame]:
+    """The reports from stored ``rollups``: each reads its groups, which are summed already."""
+    parts = {name: rolled.where(F.col(GROUPING) == _grouping(name)) for name in REPORTS}
+    return {name: REPORTS[name](part).select(REPORT_COLUMNS[name]) for name, part in parts.items()}
+
+
 def in_report_order(name: str, report: DataFrame) -> DataFrame:
     """The row order of an exported report: keys ascending, bands in band order, nulls last."""
     if name == "diagnosis_summary":

@@ -69,3 +69,18 @@ def partitioned_fact(fact: DataFrame) -> DataFrame:
     """
     day = F.col("date_key")
     return fact.withColumns({"year": F.year(day), "month": F.month(day)}).hint("rebalance", "year", "month")
+
+
+def in_months(fact: DataFrame, year: int, months: range) -> DataFrame:
+    """Rows of the stored fact for some months of a year: the other partitions' files are not opened."""
+    return fact.where((F.col("year") == year) & F.col("month").between(months.start, months.stop - 1))
+
+
+def with_calendar(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """The stored fact with its calendar columns (inner: rows without a date drop out).
+
+    The join also names the storage partitions, so that a filter on the calendar
+    prunes the fact's files when the query runs.
+    """
+    days = dates.withColumnRenamed("month_num", "month")
+    return fact.join(days, ["year", "month", "date_key"])

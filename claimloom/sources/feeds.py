@@ -5,12 +5,14 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from claimloom.model import ROLE_DEFAULTS
 from claimloom.operators.keys import derive_members, derive_providers, ensure_claim_keys
 from claimloom.operators.mapping import apply_mapping, missing_to_null
-from claimloom.operators.ordinals import ORD, add_file_ordinal, tag_source_order
+from claimloom.operators.ordinals import ORD, SRC_BLOCK, SRC_FILE, SRC_SEQ, add_file_ordinal, tag_source_order
 from claimloom.operators.validate import require_references
 from claimloom.session import stage
 from claimloom.sources.config import FeedConfig
@@ -40,23 +42,85 @@ def read_optional(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def load_roles(spark: SparkSession, config: FeedConfig) -> dict[str, DataFrame]:
+#: Text of a line that does not fit the header, in a scan that looks for them.
+BAD_LINE = "_bad_line"
+QUARANTINE = "role string, file string, position bigint, kind string, line string"
+
+
+def scan_with_bad_lines(spark: SparkSession, path: str, **options) -> DataFrame:
+    """``scan_csv`` with ``_bad_line``: the whole line where it has fewer or more fields than the header, else null.
+
+    A value with an unquoted separator makes its line too long, a quote that is
+    never closed too short. Without this column Spark fills such lines up or cuts them.
+    """
+    header = scan_csv(spark, path, **options).columns
+    fields = StructType([StructField(c, StringType()) for c in [*header, BAD_LINE]])
+    checks = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE, "enforceSchema": True, **options}
+    return spark.read.schema(fields).option("header", True).option("quote", '"').option("escape", '"').options(**checks).csv(path)
+
+
+def _line_kind(line: Column, fields: int, sep: str) -> Column:
+    """Why a line is bad, by what a reader of it would look at first."""
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    found = F.length(line) - F.length(F.replace(line, F.lit(sep), F.lit(""))) + 1
+    return F.when(quotes % 2 == 1, "quote").when(found < fields, "short").otherwise("long")
+
+
+def split_bad_lines(staged: DataFrame, role: str, sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """(good rows in file order, quarantined lines) of a stored, tagged scan with bad lines.
+
+    Good rows of a block are numbered anew, so that file order stays without gaps.
+    """
+    fields = len([c for c in staged.columns if not c.startswith("_")])
+    bad = staged.where(F.col(BAD_LINE).isNotNull()).select(
+        F.lit(role).alias("role"), F.element_at(F.split(SRC_FILE, "/"), -1).alias("file"), F.col(SRC_SEQ).alias("position"),
+        _line_kind(F.col(BAD_LINE), fields, sep).alias("kind"), F.col(BAD_LINE).alias("line"),
+    )
+    in_block = Window.partitionBy(SRC_FILE, SRC_BLOCK).orderBy(SRC_SEQ)
+    good = staged.where(F.col(BAD_LINE).isNull()).withColumn(SRC_SEQ, F.row_number().over(in_block).cast("bigint")).drop(BAD_LINE)
+    return good, bad
+
+
+def line_counts(good: DataFrame, bad: DataFrame, role: str) -> DataFrame:
+    """(role, kind, lines): good lines and the bad ones of each kind."""
+    counts = bad.groupBy("role", "kind").agg(F.count("*").alias("lines"))
+    return good.agg(F.count(F.lit(1)).alias("lines")).select(F.lit(role).alias("role"), F.lit("good").alias("kind"), "lines").unionByName(counts)
+
+
+def load_roles(spark: SparkSession, config: FeedConfig, quarantine: str | None = None) -> dict[str, DataFrame]:
     """One mapped frame per configured role, each with its ``_ord`` file order.
 
     Every role is written once to the shared folder: the order of a text scan is
     only reproducible when stored, and later steps read columns instead of text.
+
+    With a ``quarantine`` folder, lines that do not fit the header are left out of
+    the feed and written there (role, file, position, kind, line), a partition a
+    role; without one they are read as Spark reads them, filled up or cut.
     """
     out = {}
     for role, path in config.files.items():
-        scan = scan_csv(spark, path, **config.csv_options)
-        rows = tag_source_order(scan, missing_to_null(scan.columns))
+        if quarantine is None:
+            scan = scan_csv(spark, path, **config.csv_options)
+            staged = stage(tag_source_order(scan, missing_to_null(scan.columns)), role)
+        else:
+            scan = scan_with_bad_lines(spark, path, **config.csv_options)
+            named = [c for c in scan.columns if c != BAD_LINE]
+            rows = stage(tag_source_order(scan, [*missing_to_null(named), F.col(BAD_LINE)]), role)
+            good, bad = split_bad_lines(rows, role, config.csv_options.get("sep", ","))
+            bad.drop("role").write.mode("overwrite").parquet(f"{quarantine}/role={role}")
+            staged = stage(good, role)
         defaults = {**ROLE_DEFAULTS.get(role, {}), **config.defaults.get(role, {})}
-        ordered = add_file_ordinal(stage(rows, role))
+        ordered = add_file_ordinal(staged)
         out[role] = apply_mapping(ordered, config.column_map.get(role, {}), defaults)
     return out
 
 
-def load_feed(spark: SparkSession, config: FeedConfig, as_of: dt.date) -> dict[str, DataFrame]:
+def read_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """All quarantined lines of a feed."""
+    return spark.read.schema(QUARANTINE).parquet(folder)
+
+
+def load_feed(spark: SparkSession, config: FeedConfig, as_of: dt.date, quarantine: str | None = None) -> dict[str, DataFrame]:
     """Members, providers and claims of a feed, still in the feed's own key space.
 
     Derived dimensions are stored: several later steps read them, and each would
@@ -64,7 +128,7 @@ def load_feed(spark: SparkSession, config: FeedConfig, as_of: dt.date) -> dict[s
     """
     if "claims" not in config.files:
         raise ValueError("a feed needs a file for the 'claims' role")
-    tables = load_roles(spark, config)
+    tables = load_roles(spark, config, quarantine)
     claims = tables["claims"] = ensure_claim_keys(tables["claims"])
     if "members" in config.files:
         require_references(claims, tables["members"], "member_id", "members")

@@ -114,7 +114,7 @@ def test_report_reads_only_its_columns(spark):
     assert plan.count("Exchange hashpartitioning") == 2
 
 
-@pytest.mark.parametrize("name", ["kpis", "monthly", "loss_ratio", "network_summary", "diagnosis_summary", "q1_age_region", "class_means"])
+@pytest.mark.parametrize("name", ["kpis", "monthly", "loss_ratio", "network_summary", "q1_age_region", "class_means"])
 def test_reports_sum_before_they_meet_the_members(spark, settings, name):
     settings(**NO_BROADCAST)
     plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString().split("\n")

@@ -68,3 +68,116 @@ def test_profile_reads_its_input_three_times(spark, numbers, tmp_path, monkeypat
     values = sorted(r.v for r in numbers.collect())
     assert rows["v"].p50 == (values[9_999] + values[10_000]) / 2 and rows["name"].unique_values == 9
     assert rows["few"].p25 == rows["few"].p75 == 7.0
+
+
+# ---- bitmaps of ids ----------------------------------------------------------------
+from claimloom.operators import distinct, filters  # noqa: E402
+
+
+@pytest.fixture(scope="module")
+def ids(spark):
+    """Serial ids of four partitions, some given out twice, some null."""
+    base = spark.range(0, 60_000, 1, 4).select(F.when(F.col("id") % 1000 != 7, F.col("id") + 5_000_000_000).alias("claim_id"), (F.col("id") % 3).alias("client"))
+    return base.unionByName(base.where("claim_id % 500 = 3")).repartition(5).cache()
+
+
+def test_bitmaps_count_like_a_set(ids):
+    row = distinct.distinct_of(distinct.id_bitmaps(ids, "claim_id")).first()
+    known = [r.claim_id for r in ids.collect() if r.claim_id is not None]
+    assert tuple(row) == (len(set(known)), len(known), len(known) - len(set(known)))
+    frame, surplus = distinct.surplus_of(ids, "claim_id")
+    assert frame.agg(surplus).first()[0] == ids.count() - len(set(known))
+    assert distinct.distinct_of(distinct.id_bitmaps(ids.limit(0), "claim_id")).first() == (0, 0, 0)
+
+
+def test_bitmaps_merge_over_partitions(ids):
+    parts = distinct.id_bitmaps(ids, "claim_id", ["client"])
+    whole = distinct.distinct_of(distinct.merge_bitmaps(parts)).first()
+    assert whole == distinct.distinct_of(distinct.id_bitmaps(ids, "claim_id")).first()
+
+
+def test_repeated_ids(ids):
+    got = {r.claim_id: r.rows for r in distinct.repeated_ids(ids, "claim_id").collect()}
+    assert got == {5_000_000_000 + i: 2 for i in range(60_000) if (5_000_000_000 + i) % 500 == 3 and i % 1000 != 7}
+
+
+def test_no_id_is_shuffled(ids):
+    frame, surplus = distinct.surplus_of(ids, "claim_id")
+    text = plan(frame.agg(surplus))
+    assert "bitmap_construct_agg" in text and "distinct" not in text and "hashpartitioning(claim_id" not in text
+
+
+def test_ids_with_gaps_are_counted_plainly(spark):
+    wide = spark.range(4000).select((F.col("id") % 3000 * 1_000_003_000).alias("claim_id"))
+    assert not distinct.is_dense(wide, "claim_id")
+    frame, surplus = distinct.surplus_of(wide, "claim_id")
+    assert frame.agg(surplus).first()[0] == 1000
+    assert not distinct.is_dense(wide.select(F.col("claim_id").cast("string")), "claim_id")
+
+
+# ---- key filters -------------------------------------------------------------------
+@pytest.fixture(scope="module")
+def star(spark):
+    dim = spark.range(0, 5_000).where("id % 11 <> 0").select(F.col("id").alias("member_id"))
+    dim = dim.unionByName(spark.createDataFrame([(None,), (-7,)], "member_id bigint"))
+    fact = spark.range(0, 40_000, 1, 6).select(F.when(F.col("id") % 97 != 0, F.col("id") % 6_000 - 9).alias("member_id"), F.lit("x").alias("more"))
+    return fact, dim
+
+
+def plain_orphans(fact, dim):
+    known = {r.member_id for r in dim.collect() if r.member_id is not None}
+    out = {}
+    for r in fact.collect():
+        if r.member_id not in known:
+            out[r.member_id] = out.get(r.member_id, 0) + 1
+    return out
+
+
+@pytest.mark.parametrize("rate", [0.3, 0.01, 1e-6])
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_orphans_at_any_error_rate(star, rate, kind):
+    fact, dim = (df.withColumn("member_id", F.col("member_id").cast(kind)) for df in star)
+    got = {r.member_id: r["rows"] for r in filters.orphan_counts(fact, dim, "member_id", error_rate=rate, exact=False).collect()}
+    assert got == plain_orphans(fact, dim)
+
+
+def test_a_full_filter_is_still_exact(star, monkeypatch):
+    monkeypatch.setattr(filters, "MAX_WORDS", 4)
+    fact, dim = star
+    members = filters.key_filter(dim, "member_id")
+    assert members.hashes and members.words.count() <= 4
+    got = {r.member_id: r["rows"] for r in filters.orphan_counts(fact, dim, "member_id").collect()}
+    assert got == plain_orphans(fact, dim)
+
+
+def test_dense_keys_need_no_join(star):
+    fact, dim = star
+    frame = filters.orphan_counts(fact, dim, "member_id")
+    text = plan(frame)
+    assert {r.member_id: r["rows"] for r in frame.collect()} == plain_orphans(fact, dim)
+    assert "BroadcastHashJoin" in text and "LeftAnti" not in text and text.count("Exchange hashpartitioning") == 1
+
+
+def test_only_suspects_reach_the_join(star):
+    """Certain orphans are counted on a branch of their own; what is joined has passed the filter."""
+    fact, dim = (df.withColumn("member_id", F.concat(F.lit("m"), "member_id")) for df in star)
+    text = plan(filters.orphan_counts(fact, dim, "member_id", error_rate=0.05))
+    assert text.count("LeftAnti") == 1
+    certain, rest = text.split("LeftAnti")
+    below = rest.split("FileScan")[0]
+    assert "_b__known" in below  # the probe stands below the join's fact side
+    passed = filters.key_filter(dim, "member_id", 0.01).probe(fact, "member_id", "_known")
+    orphans, wrong = passed.join(dim, "member_id", "left_anti").agg(F.count("*"), F.count_if("_known")).first()
+    assert wrong <= 0.02 * orphans
+
+
+def test_missing_counts_of_all_dimensions_at_once(spark, star):
+    fact, dim = star
+    fact = fact.withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("member_id") % 40).cast("int")))
+    days = spark.range(30).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    counts = filters.missing_counts(fact, {"members": (dim, "member_id", "member_id"), "days": (days, "d", "day")})
+    rows = fact.collect()
+    listed = {r.d for r in days.collect()}
+    assert tuple(counts.first()) == (sum(plain_orphans(fact, dim).values()), sum(r.day not in listed for r in rows))
+    assert "Exchange hashpartitioning" not in plan(counts)
+    assert filters.missing_counts(fact, {"x": (dim.withColumn("member_id", F.col("member_id").cast("string")), "member_id", "member_id")}) is None

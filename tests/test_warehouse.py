@@ -84,7 +84,7 @@ def test_publish_is_all_or_nothing(spark, tmp_path):
     assert store.open_tables(spark, root) == {}
     store.publish(spark, root, {"a": spark.range(3), "b": spark.range(2)})
     with pytest.raises(RuntimeError, match="no"):
-        store.publish(spark, root, {"a": spark.range(9)}, check=lambda written: (_ for _ in ()).throw(RuntimeError("no")))
+        store.publish(spark, root, {"a": spark.range(9)}, check=lambda written, observed: (_ for _ in ()).throw(RuntimeError("no")))
     tables = store.open_tables(spark, root)
     assert {n: t.count() for n, t in tables.items()} == {"a": 3, "b": 2}
     store.publish(spark, root, {"a": spark.range(5)})
