@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm.bpe import decode_documents, encode_documents
+from claimloom.llm.bpe import round_trip
 from claimloom.llm.chat import chat_windows, window_digests
 from claimloom.llm.curriculum import curriculum, word_count
 from claimloom.llm.decontaminate import contained_items
@@ -93,9 +93,7 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """All documents encoded with a public vocabulary, and decoded again."""
-    path = public_tokenizers.path("word_bpe_49k.json")
-    encoded = encode_documents(table(spark, folder, "documents"), path)
-    return decode_documents(encoded, path).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return round_trip(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
 
 
 @query
