@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm.bpe import decode_documents, encode_documents
+from claimloom.llm.bpe import round_trip
 from claimloom.llm.decontaminate import clean_documents
 from claimloom.llm.near_dedup import one_of_each
 from claimloom.llm.quality_gam import ACCEPT, fit_quality, id_remainder, quality_score
@@ -39,8 +39,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all documents, with digests of the ids and of the text that they decode to."""
-    path = public_tokenizers.path("word_bpe_49k.json")
-    return decode_documents(encode_documents(docs, path), path).drop("decoded")
+    return round_trip(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [
