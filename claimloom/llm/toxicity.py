@@ -20,7 +20,8 @@ from claimloom.session import stage
 
 #: The lexicon is learned from at most so many labelled rows, the first by a hash of their id.
 MAX_TRAINING_ROWS = 40_000
-MAX_LEXICON = 2_000  # words, those with the strongest evidence
+#: Default of ``max_words``: the lexicon keeps the words with the surest evidence; later ones would be rare words of a few texts.
+MAX_LEXICON = 2_000
 MIN_TEXTS = 3  # toxic texts with a word, told apart by its neighbours there, so that copies count once
 ACCEPT = 0.3
 
@@ -50,9 +51,9 @@ _HEAD = re.compile(r"""^[^\w\s@$!|+({\[<€£¥¢*#%]+""")
 _TAIL = re.compile(r"""[^\w\s@$!|+({\[<€£¥¢*#%]+$""")
 _NUMBER = re.compile(r"[-+$€£¥¢#(\[{<|]*\d[\d.,:/-]*[%€£¥¢+)\]}|*!]*")
 _APART = "-.,_~·•/\\:;'\"–—"  # what may stand between letters one by one
-_CACHED = 100_000  # tokens, and words, that a task remembers
+_CACHED = 200_000  # tokens, and words, that a task remembers
 _STEP = 1 << 19  # letters counted at a time
-_TEXTS = 64  # labelled texts whose words are counted before they leave a task
+_TEXTS = 64  # toxic texts whose words are counted before they leave a task
 
 
 def fold(text: str) -> str:
@@ -174,22 +175,24 @@ def word_score(word: str, model: np.ndarray) -> float:
     return s
 
 
-@dataclass
-class Restorer:
-    """Plain words of texts; remembers tokens that it has seen."""
+class _Tokens(dict):
+    """Plain words of tokens ("": none; None: one letter, which its neighbours decide), remembered for what a task sees again."""
 
-    model: np.ndarray
-    known: dict[str, str] = field(default_factory=dict)
-
-    def token(self, token: str) -> str:
-        found = self.known.get(token)
-        if found is None:
-            found = self._token(token)
-            if len(self.known) < _CACHED:
-                self.known[token] = found
+    def __init__(self, model: np.ndarray) -> None:
+        self.model = model
+
+    def __missing__(self, token: str) -> str | None:
+        found = self._plain(token)
+        if len(self) < _CACHED:
+            self[token] = found
         return found
 
-    def _token(self, token: str) -> str:
+    def _plain(self, token: str) -> str | None:
+        if token.isascii() and token.isalpha() and len(token) > 1:
+            plain = token.lower()
+            return viterbi(lattice(plain), self.model) if _LONG_RUN.search(plain) else plain
+        if len(token) == 1 and (token.isalpha() or token in STANDS_FOR):
+            return None
         plain = fold(token)
         core = _TAIL.sub("", _HEAD.sub("", plain))
         if _PLAIN.fullmatch(core):
@@ -198,24 +201,39 @@ class Restorer:
             return ""
         return viterbi(lattice(core), self.model)
 
+
+class Restorer:
+    """Plain words of texts."""
+
+    def __init__(self, model: np.ndarray) -> None:
+        self.model = model
+        self.known = _Tokens(model)
+
     def words(self, text: str) -> list[str]:
         """The words of a text as they were probably meant, without marks."""
+        return self.of_tokens(text.split())
+
+    def of_tokens(self, tokens: list[str]) -> list[str]:
+        plain = list(map(self.known.__getitem__, tokens))
+        if None not in plain:
+            return [w for w in plain if w]
         out: list[str] = []
-        single: list[str] = []
-        for token in text.split():
-            if len(token) == 1 and (token.isalpha() or token in STANDS_FOR):
-                single.append(token)
-                continue
-            if single and not token.strip(_APART):
-                continue
-            if single:
-                self._close(single, out)
-                single = []
-            word = self.token(token)
-            if word:
-                out.append(word)
-        self._close(single, out)
-        return out
+        at = 0
+        while True:
+            try:
+                first = plain.index(None, at)
+            except ValueError:
+                out += filter(None, plain[at:])
+                return out
+            out += filter(None, plain[at:first])
+            single, at = [tokens[first]], first + 1
+            while at < len(tokens):  # letters one by one, marks between them left out
+                if plain[at] is None:
+                    single.append(tokens[at])
+                elif tokens[at].strip(_APART):
+                    break
+                at += 1
+            self._close(single, out)
 
     def _close(self, single: list[str], out: list[str]) -> None:
         """Letters one by one: from three on they may be words spelled out."""
@@ -246,6 +264,27 @@ def units(word: str) -> list[str]:
 
 
 N_EVIDENCE = 5
+#: What a token can do in a text: nothing, not even as a neighbour; be no word; all else.
+_IDLE, _NONE, _TELLS = 0, 1, 2
+_TELLING = re.compile(rb"\x02[\x01\x02]*\x00?")
+
+
+class _Kinds(dict):
+    """Kinds of tokens under a lexicon, remembered for what a task sees again."""
+
+    def __init__(self, scorer: Scorer, restorer: Restorer) -> None:
+        self.scorer, self.words = scorer, restorer.known
+        self.begins = {u[:n] for u in scorer.lexicon if u.endswith(" ") for n in range(1, len(u) - 1)}
+
+    def __missing__(self, token: str) -> int:
+        word = self.words[token]
+        if word is None or (word and (word in self.begins or self.scorer.weight(word))):
+            found = _TELLS
+        else:
+            found = _IDLE if word else _NONE
+        if len(self) < _CACHED:
+            self[token] = found
+        return found
 
 
 @dataclass
@@ -256,12 +295,16 @@ class Scorer:
     lexicon: dict[str, float]
     curve: np.ndarray
     squeezed: dict[str, float] = field(init=False)
+    starts: set[str] = field(init=False)
 
     def __post_init__(self) -> None:
         whole = {u[:-1]: w for u, w in self.lexicon.items() if u.endswith(" ")}
         self.squeezed = {_squeeze(u): w for u, w in sorted(whole.items(), key=lambda x: x[1]) if len(u) > 3}
+        self.starts = {u[:3] for u in self.lexicon} | {u[:2] for u in self.squeezed}
 
     def weight(self, word: str) -> float:
+        if word[:3] not in self.starts and word[:2] not in self.starts and word + " " not in self.lexicon and word[:1] != word[1:2]:
+            return 0.0
         found = max((self.lexicon.get(u, 0.0) for u in units(word)), default=0.0)
         return found or (self.squeezed.get(_squeeze(word), 0.0) if len(word) > 3 else 0.0)
 
@@ -271,21 +314,23 @@ class Scorer:
         apart = word_score(last, self.model) + word_score(word, self.model) + BORDER if w else 0.0
         return w if w and word_score(last + word, self.model) > apart else 0.0
 
-    def evidence(self, restorer: Restorer, text: str, weights: dict[str, float]) -> list[float]:
-        """[1, strongest weight, what it has over 3, the next two, log of the rest], over different words."""
-        found = {}
-        last = ""
-        for word in restorer.words(text):
-            w = weights.get(word)
-            if w is None:
+    def evidence(self, restorer: Restorer, text: str, kinds: _Kinds) -> list[float]:
+        """[1, strongest weight, what it has over 3, the next two, log of the rest], over different words.
+
+        Most tokens neither weigh anything nor begin a word that does, and part
+        their neighbours; only what stands between such tokens is looked at.
+        """
+        tokens = text.split()
+        found: dict[str, float] = {}
+        for run in _TELLING.finditer(bytes(map(kinds.__getitem__, tokens))):
+            last = ""
+            for word in restorer.of_tokens(tokens[run.start() : run.end()]):
                 w = self.weight(word)
-                if len(weights) < _CACHED:
-                    weights[word] = w
-            if not w and last and len(last) + len(word) > 4:
-                w = self._joined(last, word)
-            if w:
-                found[word] = max(w, found.get(word, 0.0))
-            last = word
+                if not w and last and len(last) + len(word) > 4:
+                    w = self._joined(last, word)
+                if w:
+                    found[word] = max(w, found.get(word, 0.0))
+                last = word
         top = sorted(found.values(), reverse=True)
         most = top[0] if top else 0.0
         return [1.0, most, max(0.0, most - 3), sum(top[1:3]), float(np.log1p(sum(top[3:])))]
@@ -294,8 +339,11 @@ class Scorer:
         return 1 / (1 + np.exp(-(x @ self.curve))) if len(x) else np.empty(0)
 
 
+_SAME = re.compile(r"(.)\1+", re.DOTALL)
+
+
 def _squeeze(word: str) -> str:
-    return "".join(c for i, c in enumerate(word) if i == 0 or c != word[i - 1])
+    return _SAME.sub(r"\1", word)
 
 
 def _fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -317,67 +365,107 @@ def _half(text: bytes | None) -> int:
     return xxhash.xxh3_64_intdigest(text or b"") & 1
 
 
-def _best(counted: DataFrame) -> dict[str, float]:
+def _best(counted: DataFrame, max_words: int = MAX_LEXICON) -> dict[str, float]:
     """Weights of the units with the surest evidence: a lower bound of their share of toxic uses, as log odds."""
     uses = F.col("toxic") + F.col("harmless") + 1.0
     share = (F.col("toxic") + 0.5) / uses
     found = counted.withColumn("sure", share - F.sqrt(share * (1 - share) / uses))
     found = found.where((F.col("texts") >= MIN_TEXTS) & (F.col("sure") > 0.6))
-    rows = found.orderBy(F.desc("sure"), F.desc("toxic"), "unit").limit(MAX_LEXICON).collect()
+    rows = found.orderBy(F.desc("sure"), F.desc("toxic"), "unit").limit(max_words).collect()
     return {r.unit: float(np.log(r.sure / (1 - min(r.sure, 0.999)))) for r in rows}
 
 
-def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, max_rows: int = MAX_TRAINING_ROWS) -> Scorer:
-    """Lexicon and curve from ``labels`` (doc_id, toxic).
+def _places(said: list[str], at: list[int]) -> set[tuple[str, int]]:
+    """Different neighbourhoods of the words at some places of a text."""
+    return {(said[i], xxhash.xxh3_64_intdigest(" ".join(said[max(0, i - 1) : i + 2])) >> 1) for i in at}
 
-    The evidence of a word or a beginning of words is the number of different
-    neighbourhoods that it has in toxic texts against those in harmless texts,
-    text by text. The curve is fitted on evidence by words learned from the other
-    half of the texts (copies of a text fall into one half); the lexicon is then
-    learned from all. Counts are summed in tasks; at most ``MAX_LEXICON`` words
-    and ``max_rows`` rows of five numbers reach the driver.
-    """
-    rows = stage(training_rows(docs, labels, "toxic", max_rows), "toxic_texts")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _toxic_units(model: np.ndarray):
+    """Uses of every unit of toxic texts, text by text: half, unit, least place (it stands for the text), places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model)
         for batch in (b.slice(at, _TEXTS) for b in batches for at in range(0, len(b), _TEXTS)):
-            toxic: list[tuple[int, str, int, int]] = []  # half, unit, least place (it stands for the text), places
-            harmless: dict[tuple[int, str], int] = {}
-            for label, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+            rows: list[tuple[int, str, int, int]] = []
+            for text in utf8(batch.column(0)):
                 half, said = _half(text), restorer.words((text or b"").decode())
-                near = {(w, xxhash.xxh3_64_intdigest(" ".join(said[max(0, i - 1) : i + 2])) >> 1) for i, w in enumerate(said)}
                 uses: dict[str, list[int]] = {}
-                for word, place in near:
+                for word, place in _places(said, range(len(said))):
                     for unit in units(word):
                         uses.setdefault(unit, []).append(place)
-                for unit, places in uses.items():
-                    if label:
-                        toxic.append((half, unit, min(places), len(places)))
-                    else:
-                        harmless[half, unit] = harmless.get((half, unit), 0) + len(places)
-            rows = toxic + [(half, unit, None, n) for (half, unit), n in harmless.items()]
+                rows += [(half, unit, min(places), len(places)) for unit, places in uses.items()]
             columns = zip(*rows) if rows else ((), (), (), ())
             kinds = (pa.int32(), pa.string(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["half", "unit", "text", "uses"])
 
-    counted = rows.mapInArrow(count, "half int, unit string, text bigint, uses bigint")
+    return run
+
+
+class _Asked(dict):
+    """The units of a word that are among those asked for, remembered for what a task sees again."""
+
+    def __init__(self, asked: frozenset[str]) -> None:
+        self.asked = asked
+
+    def __missing__(self, word: str) -> tuple[str, ...]:
+        found = tuple(u for u in units(word) if u in self.asked)
+        if len(self) < _CACHED:
+            self[word] = found
+        return found
+
+
+def _harmless_units(model: np.ndarray, asked):
+    """Uses of the units asked for in harmless texts, summed by task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restorer, of_word = Restorer(model), _Asked(asked.value)
+        uses: dict[tuple[int, str], int] = {}
+        for batch in batches:
+            for text in utf8(batch.column(0)):
+                half, said = _half(text), restorer.words((text or b"").decode())
+                found = list(map(of_word.__getitem__, said))
+                for word, _ in _places(said, [i for i, f in enumerate(found) if f]):
+                    for unit in of_word[word]:
+                        uses[half, unit] = uses.get((half, unit), 0) + 1
+        halves, names = zip(*uses) if uses else ((), ())
+        columns = [pa.array(halves, pa.int32()), pa.array(names, pa.string()), pa.array(list(uses.values()), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["half", "unit", "uses"])
+
+    return run
+
+
+def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, max_rows: int = MAX_TRAINING_ROWS, max_words: int = MAX_LEXICON) -> Scorer:
+    """Lexicon and curve from ``labels`` (doc_id, toxic).
+
+    The evidence of a word or a beginning of words is the number of different
+    neighbourhoods that it has in toxic texts against those in harmless texts,
+    text by text. The curve is fitted on evidence by words learned from the other
+    half of the texts (copies of a text fall into one half); the lexicon is then
+    learned from all. Toxic texts are counted first; harmless ones are asked only
+    for the units that ``MIN_TEXTS`` toxic texts have, of which there are as many
+    as the bounded rows give. At most ``max_words`` words and ``max_rows`` rows of five
+    numbers reach the driver.
+    """
+    rows = stage(training_rows(docs, labels, "toxic", max_rows), "toxic_texts")
+    label, text = rows.columns[:2]
+    counted = rows.where(F.col(label) != 0).select(text).mapInArrow(_toxic_units(model), "half int, unit string, text bigint, uses bigint")
     # copies of a text have one least place, and count once
-    counted = counted.groupBy("half", "unit", "text").agg(F.max("uses").alias("most"), F.sum("uses").alias("sum"))
-    harmless, toxic = F.col("text").isNull(), F.col("text").isNotNull()
-    counted = counted.groupBy("half", "unit").agg(
-        F.coalesce(F.sum(F.when(toxic, F.col("most"))), F.lit(0)).alias("toxic"),
-        F.count("text").alias("texts"),
-        F.coalesce(F.sum(F.when(harmless, F.col("sum"))), F.lit(0)).alias("harmless"),
-    )
-    counted = stage(counted, "toxic_units")
-    judges = [Scorer(model, _best(counted.where(F.col("half") != h)), np.zeros(N_EVIDENCE)) for h in (0, 1)]
+    counted = counted.groupBy("half", "unit", "text").agg(F.max("uses").alias("most"))
+    counted = stage(counted.groupBy("half", "unit").agg(F.sum("most").alias("toxic"), F.count("text").alias("texts")), "toxic_units")
+    asked = counted.groupBy("unit").agg(F.sum("texts").alias("texts")).where(F.col("texts") >= MIN_TEXTS).select("unit").toArrow()
+    asked = docs.sparkSession.sparkContext.broadcast(frozenset(asked.column("unit").to_pylist()))
+    harmless = rows.where(F.col(label) == 0).select(text).mapInArrow(_harmless_units(model, asked), "half int, unit string, uses bigint")
+    harmless = harmless.groupBy("half", "unit").agg(F.sum("uses").alias("harmless"))
+    counted = counted.join(harmless, ["half", "unit"], "full").na.fill(0, ["toxic", "texts", "harmless"])
+    counted = stage(counted, "unit_counts")
+    judges = [Scorer(model, _best(counted.where(F.col("half") != h), max_words), np.zeros(N_EVIDENCE)) for h in (0, 1)]
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, weights = Restorer(model), ({}, {})
+        restorer = Restorer(model)
+        kinds = [_Kinds(j, restorer) for j in judges]
         for batch in batches:
             halves = [(_half(t), (t or b"").decode()) for t in utf8(batch.column(1))]
-            x = [judges[h].evidence(restorer, t, weights[h]) for h, t in halves]
+            x = [judges[h].evidence(restorer, t, kinds[h]) for h, t in halves]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["label", "x"])
 
     other = rows.mapInArrow(weigh, "label int, x array<double>").toArrow()
@@ -385,10 +473,10 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, max_rows: int =
     x = np.array(other.column("x").to_pylist(), dtype=np.float64).reshape(len(y), N_EVIDENCE)
     order = np.lexsort((*x.T, y))
     whole = counted.groupBy("unit").agg(*(F.sum(c).alias(c) for c in ("toxic", "texts", "harmless")))
-    return Scorer(model, _best(whole), _fit_curve(x[order], y[order]))
+    return Scorer(model, _best(whole, max_words), _fit_curve(x[order], y[order]))
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, max_rows: int = MAX_TRAINING_ROWS, max_words: int = MAX_LEXICON) -> DataFrame:
     """doc_id, score (higher: likelier toxic), predicted (score >= 0.3) of every row of ``docs``.
 
     The character model is counted over all of ``docs``, without labels.
@@ -398,14 +486,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column | None =
     one, so repeats, ties and other columns do not matter; an empty table gives no rows.
     """
     teach = labels if held_out is None else labels.where(~held_out)
-    scorer = learn(docs, teach, character_model(docs), max_rows)
+    scorer = learn(docs, teach, character_model(docs), max_rows, max_words)
     shared = docs.sparkSession.sparkContext.broadcast(scorer)  # 2 MB of letters, at most 2,000 words
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        restorer, weights = Restorer(shared.value.model), {}
+        restorer = Restorer(shared.value.model)
+        kinds = _Kinds(shared.value, restorer)
         for batch in batches:
-            x = np.array([shared.value.evidence(restorer, t or "", weights) for t in batch], dtype=np.float64).reshape(len(batch), N_EVIDENCE)
+            x = np.array([shared.value.evidence(restorer, t or "", kinds) for t in batch], dtype=np.float64).reshape(len(batch), N_EVIDENCE)
             yield pd.Series(shared.value.score(x))
 
     scored = docs.select("doc_id", score(F.col("text").cast("string")).alias("score"))
