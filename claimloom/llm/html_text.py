@@ -20,7 +20,7 @@ _TOKEN = re.compile(
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 
 #: Elements whose content is no text of the page.
-_RAW = frozenset({"script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "math", "canvas", "title"})
+_RAW = frozenset({"script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "canvas", "title", "annotation", "annotation-xml"})
 #: Elements that hold navigation, notices and the like.
 _CHROME = frozenset({"head", "nav", "header", "footer", "aside", "menu", "dialog", "button", "select", "label"})
 #: Elements that may hold a whole page as well.
@@ -30,7 +30,8 @@ _QUOTED = re.compile(r"""=\s*(?:"[^"]*"|'[^']*')""")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)", re.IGNORECASE)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
-    "a abbr b bdi bdo big br cite code data dfn em font i img ins del kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr b bdi bdo big br cite code data dfn em font i img ins del kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr"
+    " math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover munderover semantics annotation annotation-xml".split()
 )
 #: Words in a class, id or role that mark chrome inside a page.
 _CHROME_WORDS = frozenset(
@@ -259,8 +260,8 @@ def main_text(page: str | None) -> str:
     Lines of links count nothing, lines in an article or main element ``PRIOR``
     times their length; where those outweigh the rest, the rest counts nothing.
     The surges and dives of what counts choose the text. Lines of links inside
-    a run of an article belong to it. A page without a run gives what its
-    article or main elements hold, if that is anything.
+    a run of an article belong to it. A page without a run, as its lines are
+    short, gives what its article or main elements hold, or else its lines that count.
     """
     lines = strip_markup(page or "")
     lengths = np.array([len(x.text) for x in lines], dtype=np.int64)
@@ -270,8 +271,9 @@ def main_text(page: str | None) -> str:
     if weights[scoped].sum() and weights[scoped].sum() >= weights[~scoped].sum():
         weights[~scoped] = 0
     runs = text_span(weights)
-    if not runs and lengths[scoped].any():
-        return "\n\n".join(x.text for x, s in zip(lines, scoped) if s and x.text)
+    if not runs:
+        short = scoped if lengths[scoped].any() else weights > 0
+        return "\n\n".join(x.text for x, s in zip(lines, short) if s and x.text)
     taken = (weights > 0) | (scoped & linked & (lengths > 0))
     return "\n\n".join(lines[i].text for a, b in runs for i in range(a, b) if taken[i])
 

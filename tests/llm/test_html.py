@@ -89,3 +89,23 @@ def test_edges(spark):
     got = extract(spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")).collect()
     assert [r.text for r in got[:3]] == ["", "", ""] and len(got[3].text) == 20_000 * 5 - 2
     assert extract(spark.createDataFrame([], "page_id bigint, html string")).count() == 0
+
+
+def test_formulas_stand_in_their_sentence():
+    page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x = 2</annotation></math> be the first prime number there is.</p></article>"
+    assert main_text(page) == "Let x=2 be the first prime number there is."
+
+
+def test_short_pages_keep_their_lines():
+    assert main_text("<body><div>Closed.</div><div></div><div></div><div></div><div>Call us</div></body>") == "Closed.\n\nCall us"
+    assert main_text("<body><nav><a href=x>Home</a></nav><div><a href=y>About</a></div></body>") == ""
+
+
+def test_windows_part_nameless_menus_from_text():
+    """No class, no article: link lists and scattered words stand apart from the text by their windows alone."""
+    menu = "".join(f"<div><div><a href=/{i}>Item {i}</a></div></div>" for i in range(12))
+    crumbs = "<div>Sign</div><div><a href=q>all of the pages</a></div><div><a href=r>of this whole site</a></div><div><a href=s>are here as links</a></div>"
+    body = "".join(f"<p>Sentence number {i} of a text that goes on for a while and says something.</p>" for i in range(6))
+    page = f"<html><body><div>{menu}{crumbs}</div><div>{body}</div><div>{menu}</div></body></html>"
+    text = main_text(page)
+    assert text.count("Sentence number") == 6 and "Item" not in text and "Sign" not in text
