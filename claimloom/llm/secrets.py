@@ -82,19 +82,30 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _free(start: int, end: int, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """Parts of a run that no fixed form covers."""
+    for a, _, b in base:
+        if a < end and start < b:
+            if start < a:
+                yield start, a
+            start = max(start, b)
+    if start < end:
+        yield start, end
+
+
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """(start, end, length class, binned score) of strings with two kinds of characters, outside the fixed forms."""
+    """(start, end, length class, binned score) of long strings, and of what fixed forms leave of them."""
     found = []
     for m in _RUN.finditer(text):
-        run = m[0].rstrip("=")
-        kinds = (any(c.isdigit() for c in run), any("a" <= c <= "z" for c in run), any("A" <= c <= "Z" for c in run))
-        if sum(kinds) < 2 or any(a < m.end() and m.start() < b for a, _, b in base):
-            continue
-        used = set(run)
-        i = next(i for i, s in enumerate(_SETS) if used <= s)
-        symbols = _INDEX[i, np.frombuffer(run.encode(), dtype=np.uint8)]
-        score = battery(symbols[None, :], len(ALPHABETS[i][1]))
-        found.append((m.start(), m.end(), sum(len(run) >= n for n in LENGTHS) - 1, int(_bin(score)[0])))
+        for start, end in _free(m.start(), m.end(), base):
+            run = text[start:end].rstrip("=")
+            if len(run) < LENGTHS[0]:
+                continue
+            used = set(run)
+            i = next(i for i, s in enumerate(_SETS) if used <= s)
+            symbols = _INDEX[i, np.frombuffer(run.encode(), dtype=np.uint8)]
+            score = battery(symbols[None, :], len(ALPHABETS[i][1]))
+            found.append((start, end, sum(len(run) >= n for n in LENGTHS) - 1, int(_bin(score)[0])))
     return found
 
 
@@ -102,15 +113,16 @@ _LONG = re.compile(rb"[A-Za-z0-9+/_-]{20,}")
 _NO_LETTERS = bytes(b for b in range(256) if not chr(b).isascii() or not chr(b).isalpha())
 
 
-def natural_scores(texts: list[str | None], rest: bytes = b"") -> tuple[np.ndarray, bytes]:
-    """Binned scores of ordinary words, run together and cut into pieces of each length in turn.
+def natural_scores(texts: list[str | None]) -> np.ndarray:
+    """counts[length, binned score] of ordinary words: those of a text, run together and cut into pieces of each length in turn.
 
-    Returns counts[length, bin] and the last letters, under 152, to go on with. Candidates take no part.
+    What a text has left under 152 letters is not used, so counts do not depend
+    on which texts a task reads. Candidates take no part.
     """
     counts = np.zeros((len(LENGTHS), STEPS), dtype=np.int64)
-    words = [_LONG.sub(b"", t.encode("ascii", "ignore")).translate(None, _NO_LETTERS) for t in texts if t]
-    letters = np.frombuffer(b"".join([rest, *words]), dtype=np.uint8)
     size = int(_CUTS[-1])
+    words = [_LONG.sub(b"", t.encode("ascii", "ignore")).translate(None, _NO_LETTERS) for t in texts if t]
+    letters = np.frombuffer(b"".join([w[: len(w) // size * size] for w in words]), dtype=np.uint8)
     m = len(letters) // size
     for at in range(0, m, 10_000):
         pieces = letters[at * size : min(at + 10_000, m) * size].reshape(-1, size)
@@ -120,7 +132,7 @@ def natural_scores(texts: list[str | None], rest: bytes = b"") -> tuple[np.ndarr
             for i, rows in ((3, part[lower]), (6, part[~lower])):
                 if len(rows):
                     counts[j] += np.bincount(_bin(battery(_INDEX[i, rows], len(ALPHABETS[i][1]))), minlength=STEPS)
-    return counts, letters[m * size :].tobytes()
+    return counts
 
 
 def thresholds(docs: DataFrame, rate: float = FALSE_DISCOVERIES) -> list[int]:
@@ -135,11 +147,9 @@ def thresholds(docs: DataFrame, rate: float = FALSE_DISCOVERIES) -> list[int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         natural, seen = np.zeros((len(LENGTHS), STEPS), dtype=np.int64), np.zeros((len(LENGTHS), STEPS), dtype=np.int64)
-        rest = b""
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            counts, rest = natural_scores(texts, rest)
-            natural += counts
+            natural += natural_scores(texts)
             for text in texts:
                 if text:
                     for _, _, j, b in candidates(text, base_spans(text)):

@@ -68,3 +68,26 @@ def test_overlaps_and_edges(edge, nothing):
     assert clean.columns == edge.columns
     assert sorted(map(str, (r.text for r in clean.collect()))) == sorted(map(str, (r.text for r in edge.collect())))
     assert S.find_secrets(nothing).count() == 0 and S.redact(nothing).count() == 0
+
+
+def test_strings_of_one_kind_are_judged():
+    rng = random.Random(4)
+    for letters in (string.ascii_lowercase, string.ascii_uppercase, string.digits):
+        key = "".join(rng.choice(letters) for _ in range(40))
+        assert [c[:2] for c in S.candidates(f"see {key} here", [])] == [(4, 44)]
+
+
+def test_what_a_fixed_form_leaves_of_a_run_is_judged():
+    rng = random.Random(5)
+    access, rest = "AKIA" + "Q" * 16, "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(60))
+    text = f"x {access}-{rest} y"
+    base = S.base_spans(text)
+    assert [(a, b) for a, b, _, _ in S.candidates(text, base)] == [(22, 83)]
+    assert S.candidates(f"x {access}-short y", base[:1]) == []
+
+
+def test_natural_pieces_do_not_depend_on_the_batch():
+    rng = random.Random(6)
+    texts = [words(rng, rng.randint(1, 200)) for _ in range(60)]
+    apart = sum(S.natural_scores([t]) for t in texts)
+    assert (S.natural_scores(texts) == apart).all() and apart.sum() > 0
