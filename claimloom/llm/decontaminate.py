@@ -18,8 +18,9 @@ WORDS = 5
 CONTAINED_PERCENT = 80
 #: Items are dealt with in blocks of at most so many; every block meets every document.
 BLOCK_ITEMS, BLOCK_SHINGLES = 20_000, 2_000_000
-#: A window that holds an item has at most twice its shingles, so one hash finds 80 % of an
-#: item with a chance above 0.36, and all of them miss with a chance under 4e-6.
+#: A window that holds an item of five shingles or more has at most twice its shingles, so one hash
+#: finds 80 % of an item with a chance above 0.36, and all of them miss with a chance under 4e-6.
+#: Smaller items are looked up by their shingles and never missed.
 HASHES = 28
 #: Minima are taken over 32 bits of the shingle hashes, which is quick and enough to name candidates.
 _MULTIPLIERS = (odd_multipliers(HASHES, 23) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -61,13 +62,45 @@ class Table:
                 yield w, items
 
 
+@dataclass
+class Lookup:
+    """Items of at most four shingles, by shingles of which a document with enough of the item has at least one."""
+
+    items: dict[int, list[int]] = field(default_factory=lambda: defaultdict(list))
+    keys: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.uint64))
+    bitmap: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=bool))
+
+    def add(self, item: int, shingles: np.ndarray, percent: int) -> None:
+        needed = -(-percent * len(shingles) // 100)
+        for s in shingles[: len(shingles) - max(needed, 1) + 1].tolist():
+            self.items[s].append(item)
+
+    def close(self) -> None:
+        self.keys = np.unique(np.array(list(self.items), dtype=np.uint64))
+        self.bitmap = np.zeros(1 << max(10, (64 * len(self.keys)).bit_length()), dtype=bool)
+        self.bitmap[self._places(self.keys)] = True
+
+    def _places(self, shingles: np.ndarray) -> np.ndarray:
+        return (shingles & np.uint64(len(self.bitmap) - 1)).astype(np.int64)
+
+    def hits(self, line: np.ndarray) -> Iterator[tuple[int, list[int]]]:
+        """(place, items) where a shingle of the line is one of an item's."""
+        at = np.flatnonzero(self.bitmap[self._places(line)])
+        for place, shingle in zip(at.tolist(), line[at].tolist()):
+            items = self.items.get(shingle)
+            if items:
+                yield place, items
+
+
 @dataclass
 class Index:
     """One block of items: shingle sets, and a table per size class."""
 
+    percent: int = CONTAINED_PERCENT
     sets: list[tuple[int, int, np.ndarray]] = field(default_factory=list)  # item, words per shingle, shingles
     #: (words per shingle, stride) -> minima
     classes: dict[tuple[int, int], Table] = field(default_factory=dict)
+    small: dict[int, Lookup] = field(default_factory=dict)  # words per shingle -> items of the first class
 
     def add(self, item_id: int, hashes: np.ndarray) -> None:
         if not len(hashes):
@@ -75,13 +108,17 @@ class Index:
         size = min(WORDS, len(hashes))  # an item of fewer words is one shingle of that many words
         shingles = shingle_set(hashes, WORDS)
         stride = next(s for s in strides() if 4 * s >= len(shingles))
+        if stride == 1:
+            self.small.setdefault(size, Lookup()).add(len(self.sets), shingles, self.percent)
+            self.sets.append((item_id, size, shingles))
+            return
         table = self.classes.setdefault((size, stride), Table())
         for items, minimum in zip(table.items, _products(shingles).min(axis=0).tolist()):
             items[minimum].append(len(self.sets))
         self.sets.append((item_id, size, shingles))
 
     def close(self) -> Index:
-        for table in self.classes.values():
+        for table in [*self.classes.values(), *self.small.values()]:
             table.close()
         return self
 
@@ -109,16 +146,21 @@ def _windows(shingles: np.ndarray, stride: int) -> np.ndarray:
 def matches(index: Index, documents: list[np.ndarray], percent: int = CONTAINED_PERCENT) -> list[tuple[int, int, int, int]]:
     """(document, item, shared shingles, item's shingles) where a document has ``percent`` % of an item's shingles.
 
-    The shingles of the documents are laid end to end. Windows are as long as
+    The shingles of the documents are laid end to end. Items of up to four
+    shingles are looked up among them. For larger ones, windows are as long as
     the items of a class, and overlap so that one of them holds any item,
     however long its document. Candidates are checked on all shingles of each
     document that the window touches.
     """
     found: set[tuple[int, int]] = set()
-    for size in {size for size, _ in index.classes}:
+    for size in {size for size, _ in index.classes} | set(index.small):
         parts = [window_hashes(d, size) for d in documents]
         starts = np.cumsum([0, *map(len, parts)])
         line = np.concatenate(parts)
+        if size in index.small:
+            for place, items in index.small[size].hits(line):
+                d = int(np.searchsorted(starts, place, side="right")) - 1
+                found.update((d, i) for i in items)
         for (other, stride), table in index.classes.items():
             if other != size or not len(line):
                 continue
@@ -137,14 +179,14 @@ def matches(index: Index, documents: list[np.ndarray], percent: int = CONTAINED_
     return out
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[Index]:
+def _blocks(benchmark: DataFrame, percent: int) -> Iterator[Index]:
     """Items in blocks of bounded size, streamed through the driver one block at a time."""
-    hashes, index, shingles = WordHashes(), Index(), 0
+    hashes, index, shingles = WordHashes(), Index(percent), 0
     for row in benchmark.where("item_id is not null").select(F.col("item_id").cast("bigint"), F.col("text").cast("string")).toLocalIterator():
         words = hashes.of(lower_words((row[1] or "").encode()))
         if index.sets and (len(index.sets) >= BLOCK_ITEMS or shingles + len(words) > BLOCK_SHINGLES):
             yield index.close()
-            index, shingles = Index(), 0
+            index, shingles = Index(percent), 0
         index.add(row[0], words)
         shingles += len(words)
     if index.sets:
@@ -167,7 +209,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, percent: int = CONTAI
     """
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     context, found = docs.sparkSession.sparkContext, None
-    for block in _blocks(benchmark):
+    for block in _blocks(benchmark, percent):
         shared = context.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

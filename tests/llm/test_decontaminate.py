@@ -1,6 +1,8 @@
+import numpy as np
 from test_near_dedup import shingles
 
-from claimloom.llm.decontaminate import clean_documents, contained_items
+from claimloom.llm.decontaminate import Index, clean_documents, contained_items, matches
+from claimloom.llm.text import WordHashes, lower_words
 
 
 def test_same_as_all_pairs(spark, small):
@@ -33,3 +35,18 @@ def test_nothing(spark, edge, nothing):
     assert contained_items(nothing, spark.createDataFrame([(1, "a b c d e f")], "item_id bigint, text string")).count() == 0
     kept = clean_documents(edge, items)
     assert kept.columns == edge.columns and kept.count() == edge.count()
+
+
+def test_small_items_anywhere_in_a_line_of_documents(spark):
+    """Items of one to four shingles that open, close or fill a document are never missed."""
+    rng = np.random.default_rng(3)
+    words = [f"v{i}" for i in range(60)]
+    items = [(i, " ".join(rng.choice(words, rng.integers(1, 9)))) for i in range(2000)]
+    index = Index()
+    for i, text in items:
+        index.add(i, WordHashes().of(lower_words(text.encode())))
+    index.close()
+    hashes = WordHashes()
+    for i, text in items:
+        found = matches(index, [hashes.of(lower_words(f"{text} tail t1 t2 t3".encode())), hashes.of(lower_words(f"t4 t5 {text}".encode()))])
+        assert {(0, i), (1, i)} <= {m[:2] for m in found}
