@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.llm.text import WordHashes, lower_words, odd_multipliers, shingle_set, utf8, window_hashes
@@ -193,7 +193,7 @@ def _blocks(benchmark: DataFrame, percent: int) -> Iterator[Index]:
         yield index.close()
 
 
-_MATCH = "doc_id bigint, item_id bigint, shared bigint, item_shingles bigint"
+_MATCH = "doc_id bigint, text_hash bigint, item_id bigint, shared bigint, item_shingles bigint"
 
 
 def contained_items(docs: DataFrame, benchmark: DataFrame, percent: int = CONTAINED_PERCENT) -> DataFrame:
@@ -207,7 +207,17 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, percent: int = CONTAI
     back null; a repeated row or item id gives its matches once. Other columns
     are ignored. Without items or documents there are no rows.
     """
-    docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    found = _matched(docs, benchmark, percent).drop("text_hash")
+    return found.groupBy("doc_id", "item_id").agg(F.max("shared").alias("shared"), F.max_by("item_shingles", "shared").alias("item_shingles"))
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def _matched(docs: DataFrame, benchmark: DataFrame, percent: int) -> DataFrame:
+    """``contained_items`` row by row, each match with the hash of its row's text."""
+    docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), _text_hash().alias("text_hash"))
     context, found = docs.sparkSession.sparkContext, None
     for block in _blocks(benchmark, percent):
         shared = context.broadcast(block)
@@ -215,25 +225,28 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, percent: int = CONTAI
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             hashes = WordHashes()
             for batch in batches:
-                ids, texts, rows, at = batch.column(0).to_pylist(), utf8(batch.column(1)), [], 0
+                texts, rows, at = utf8(batch.column(1)), [], 0
+                ids = list(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()))
                 while at < len(texts):
                     together, size = [], 0
                     while at + len(together) < len(texts) and size < _TOGETHER:
                         together.append(hashes.of(lower_words(texts[at + len(together)])))
                         size += len(together[-1])
-                    rows += [(ids[at + d], *match) for d, *match in matches(shared.value, together, percent)]
+                    rows += [(*ids[at + d], *match) for d, *match in matches(shared.value, together, percent)]
                     at += len(together)
-                columns = zip(*rows) if rows else ((), (), (), ())
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "item_id", "shared", "item_shingles"])
+                columns = zip(*rows) if rows else ((), (), (), (), ())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in columns], names=["doc_id", "text_hash", "item_id", "shared", "item_shingles"]
+                )
 
         part = docs.mapInArrow(run, _MATCH)
         found = part if found is None else found.unionByName(part)
-    if found is None:
-        return docs.sparkSession.createDataFrame([], _MATCH)
-    return found.groupBy("doc_id", "item_id").agg(F.max("shared").alias("shared"), F.max_by("item_shingles", "shared").alias("item_shingles"))
+    return docs.sparkSession.createDataFrame([], _MATCH) if found is None else found
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, percent: int = CONTAINED_PERCENT) -> DataFrame:
-    """The rows of ``docs``, with all columns, whose document has no item; rows without doc_id stay."""
-    hit = stage(contained_items(docs, benchmark, percent).where("doc_id is not null").select("doc_id").distinct(), "contaminated")
-    return docs.join(hit.withColumnRenamed("doc_id", "_hit"), docs["doc_id"] == F.col("_hit"), "leftanti")
+    """The rows of ``docs``, with all columns, whose text has no item; each text is judged for itself, whatever its doc_id."""
+    hit = _matched(docs, benchmark, percent).select(F.col("doc_id").alias("_hit"), F.col("text_hash").alias("_hit_text")).distinct()
+    hit = stage(hit, "contaminated")
+    rows = docs.withColumn("_text", _text_hash())
+    return rows.join(hit, (F.col("_text") == F.col("_hit_text")) & F.col("doc_id").cast("bigint").eqNullSafe(F.col("_hit")), "leftanti").drop("_text")

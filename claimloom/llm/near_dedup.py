@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from claimloom.llm.components import components, join_heavy
 from claimloom.llm.text import WordHashes, lower_words, mix, odd_multipliers, shingle_set, signed, utf8
+from claimloom.operators.ordinals import ORD, stage_in_order
 from claimloom.session import stage
 
 SIGNATURE_VALUES = 420  # at most
@@ -206,12 +207,35 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, id_col:
     )
 
 
+def _with_nodes(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_node``: a number per different (doc_id, text), which is the doc_id where that names one text.
+
+    Rows without a doc_id, and rows whose doc_id has several texts, get numbers
+    after the largest doc_id, in the order of id (null last) and text hash.
+    """
+    docs = docs.withColumn("_text", F.xxhash64(F.coalesce("text", F.lit(""))))
+    ids = docs.groupBy("doc_id").agg(F.min("_text").alias("low"), F.max("_text").alias("high"))
+    several = stage(ids.where("doc_id is null or low <> high").select("doc_id"), "several_texts")
+    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    odd = docs.select("doc_id", "_text").join(several.withColumnRenamed("doc_id", "_several"), same("doc_id", "_several"), "leftsemi").distinct()
+    last = ids.agg(F.coalesce(F.max("doc_id"), F.lit(0))).first()[0]
+    odd = odd.withColumn("_unknown", F.col("doc_id").isNull())
+    odd = stage_in_order(odd, ["_unknown", "doc_id", "_text"], "odd_rows").select(
+        F.col("doc_id").alias("_odd"), F.col("_text").alias("_odd_text"), (F.col(ORD) + last + 1).alias("_number")
+    )
+    joined = docs.join(odd, (F.col("_text") == F.col("_odd_text")) & same("doc_id", "_odd"), "left")
+    return joined.withColumn("_node", F.coalesce("_number", "doc_id")).drop("_text", "_odd", "_odd_text", "_number")
+
+
 def one_of_each(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates, the one with the smallest doc_id.
 
-    All columns are kept. Of rows that repeat a doc_id one stays; rows without a doc_id all stay.
+    All columns are kept. Every different text is judged for itself: rows that
+    share a doc_id but not their text are documents of their own, and so are rows
+    without a doc_id; both give way to documents with an id of their own. Of rows
+    that agree in doc_id and text one stays. Texts without words are in no group.
     """
-    gone = near_duplicates(docs, percent, words).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    known = docs.where("doc_id is not null")
-    stays = known.join(stage(gone, "gone"), known["doc_id"] == F.col("_gone"), "leftanti").dropDuplicates(["doc_id"])
-    return stays.unionByName(docs.where("doc_id is null"))
+    numbered = _with_nodes(docs)
+    gone = near_duplicates(numbered, percent, words, id_col="_node").where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    stays = numbered.join(stage(gone, "gone"), F.col("_node") == F.col("_gone"), "leftanti")
+    return stays.dropDuplicates(["_node"]).drop("_node")

@@ -26,7 +26,9 @@ def test_partial_items_at_the_threshold(spark):
     docs = spark.createDataFrame(docs, "doc_id bigint, text string")
     got = {(r.doc_id, r.item_id, r.shared) for r in contained_items(docs, items).collect()}
     assert got == {(1, 1, 32), (3, 1, 32), (4, 2, 1), (None, 1, 32)}
-    assert sorted(str(r.doc_id) for r in clean_documents(docs, items).collect()) == ["2", "5", "6", "7", "None"]
+    assert sorted(str(r.doc_id) for r in clean_documents(docs, items).collect()) == ["2", "5", "6", "7"]
+    more = docs.union(spark.createDataFrame([(1, "another text"), (None, "and one")], docs.schema))
+    assert sorted(str(r.doc_id) for r in clean_documents(more, items).collect()) == ["1", "2", "5", "6", "7", "None"]
 
 
 def test_nothing(spark, edge, nothing):

@@ -62,11 +62,15 @@ def test_edge_rows(edge):
     assert {(r.component_id, r.kept) for r in rows if r.doc_id is None} == {(None, True)}
 
 
-def test_one_of_each_keeps_columns_and_unknown_ids(edge, nothing):
+def test_one_of_each_judges_every_text(spark, edge, nothing):
     kept = one_of_each(edge)
     assert kept.columns == edge.columns
-    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 1, 3, 4, 5, 6, 8, 10]
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 8, 10]  # the copy without an id goes, the empty row stays
     assert one_of_each(nothing).count() == 0
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a), (1, b), (2, b), (3, c), (3, c), (None, c), (None, a + " more"), (None, "alone here"), (None, None), (4, ""), (4, "x")]
+    kept = one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(map(str, kept)) == sorted(map(str, spark.createDataFrame([(1, a), (2, b), (3, c), (None, "alone here"), (None, None), (4, ""), (4, "x")], "doc_id bigint, text string").collect()))
 
 
 def test_empty_table(nothing):
