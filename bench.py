@@ -19,8 +19,8 @@ from claimloom.queries import QUERIES  # noqa: E402
 from claimloom.session import local_session  # noqa: E402
 
 
-#: Each builds the same warehouse as warehouse_tables again.
-REBUILT = {"q1_stored", "q3_stored"}
+#: Each builds the same warehouse as warehouse_tables again; named in the output as left out, as are the llm queries.
+REBUILT = {"q1_stored", "q3_stored", "quarter_stored"}
 
 
 def main() -> None:
@@ -46,6 +46,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "left_out": sorted(set(QUERIES) - set(seconds)) + ["queries of claimloom.llm (see the check tool's figures)"],
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
             }
         )

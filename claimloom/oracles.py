@@ -645,6 +645,7 @@ ORACLES |= {
                CASE WHEN provider_id IS NOT NULL THEN true END AS listed FROM lineitem GROUP BY ALL""",
 }
 
-from claimloom.refresh_oracles import ORACLES as _REFRESH  # noqa: E402  (they use the tables above)
+from claimloom.config_oracles import ORACLES as _CONFIG  # noqa: E402  (they use the tables above)
+from claimloom.refresh_oracles import ORACLES as _REFRESH  # noqa: E402
 
-ORACLES |= _REFRESH
+ORACLES |= _REFRESH | _CONFIG

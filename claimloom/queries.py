@@ -608,4 +608,4 @@ def synthetic_claims(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-from claimloom import refresh_queries, stored_queries  # noqa: E402, F401  (register their queries)
+from claimloom import config_queries, refresh_queries, stored_queries  # noqa: E402, F401  (register their queries)
