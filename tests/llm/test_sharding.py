@@ -2,7 +2,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from claimloom.llm.sharding import histogram_shards
+from claimloom.llm.sharding import histogram_shards, with_keys
 
 
 def check(rows, shards, total, slack):
@@ -49,3 +49,19 @@ def test_edge_rows(edge, nothing):
         slots[r.shard].append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert histogram_shards(nothing).count() == 0
+
+
+def test_same_as_a_plain_cut_of_the_sorted_rows(spark):
+    """Rows in key order, cut where their bytes come within the tolerance of each share; slots count on within a shard."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    shards, tolerance = 13, 0.05
+    rows = sorted(with_keys(histogram_shards(docs, shards, tolerance)).collect(), key=lambda r: (r._k1, r._k2))
+    assert [r.shard for r in rows] == sorted(r.shard for r in rows) and {r.shard for r in rows} == set(range(shards))
+    total = sum(r._size for r in rows)
+    for i in range(1, shards):
+        below = sum(r._size for r in rows if r.shard < i)
+        largest = max(r._size for r in rows if r.shard in (i - 1, i))
+        assert abs(below - total * i / shards) <= max(tolerance * total / shards, largest)
+        # slots follow the first digit of the key, then part of its second number, then the key
+        inside = sorted((r for r in rows if r.shard == i), key=lambda r: (r._k1 >> 48, r._k2 >> 52, r._k1, r._k2))
+        assert [r.slot for r in inside] == list(range(len(inside)))
