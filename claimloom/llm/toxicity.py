@@ -49,19 +49,33 @@ _LONG_RUN = re.compile(r"([a-z])\1\1")
 #: Marks at a token's edges that stand for nothing; what may stand for a letter is left to the lattice.
 _HEAD = re.compile(r"""^[^\w\s@$!|+({\[<€£¥¢*#%]+""")
 _TAIL = re.compile(r"""[^\w\s@$!|+({\[<€£¥¢*#%]+$""")
+#: The same marks among ASCII characters.
+_EDGES = "\"&'),-./:;=>?\\]^`}~"
+_SINGLE = re.compile(r"(?:([a-z])(?!\1))+")  # letters, none followed by itself
 _NUMBER = re.compile(r"[-+$€£¥¢#(\[{<|]*\d[\d.,:/-]*[%€£¥¢+)\]}|*!]*")
 _APART = "-.,_~·•/\\:;'\"–—"  # what may stand between letters one by one
 _CACHED = 200_000  # tokens, and words, that a task remembers
+_KINDS = 500_000  # tokens whose kind a worker remembers, under 100 MB
 _STEP = 1 << 19  # letters counted at a time
 _TEXTS = 64  # toxic texts whose words are counted before they leave a task
 
 
+def _folded(lower: str) -> str:
+    text = unicodedata.normalize("NFKD", lower.translate(_INVISIBLE)).translate(LOOKS_LIKE)
+    return "".join(c for c in text if not unicodedata.combining(c))
+
+
+#: Letters up to here fold one by one: none of them joins with another.
+_LATIN = "\u024f"
+_FOLDED = {c: _folded(chr(c)) for c in range(0x80, ord(_LATIN) + 1)}
+
+
 def fold(text: str) -> str:
     """Lower-case letters without accents; look-alikes as Latin letters."""
+    text = text.lower()
     if text.isascii():
-        return text.lower()
-    text = unicodedata.normalize("NFKD", text.lower().translate(_INVISIBLE)).translate(LOOKS_LIKE)
-    return "".join(c for c in text if not unicodedata.combining(c))
+        return text
+    return text.translate(_FOLDED) if max(text) <= _LATIN else _folded(text)
 
 
 def letter_counts(texts: list[bytes | None]) -> np.ndarray:
@@ -113,6 +127,10 @@ def lattice(token: str, spaced: bool = False) -> list[list[tuple[str, float]]]:
     steps = []
     at = 0
     while at < len(token):
+        if not spaced and (same := _SINGLE.match(token, at)) and (at == 0 or token[at - 1] != token[at]):
+            steps.append([(same[0], KEEP)])
+            at = same.end()
+            continue
         c, end = token[at], at + 1
         while end < len(token) and token[end] == c and not spaced:
             end += 1
@@ -144,9 +162,16 @@ def lattice(token: str, spaced: bool = False) -> list[list[tuple[str, float]]]:
 
 def viterbi(steps: list[list[tuple[str, float]]], model: np.ndarray) -> str:
     """The likeliest string through a lattice; states are the last three letters."""
+    first = next((i for i, options in enumerate(steps) if len(options) > 1), len(steps))
+    plain = "".join([options[0][0] for options in steps[:first]])  # all paths begin with it
+    if first == len(steps):
+        return plain.strip()
     log = memoryview(np.ascontiguousarray(model).reshape(-1))
-    states: dict[int, tuple[float, str]] = {_K**3 - 1: (0.0, "")}
-    for options in [*steps, [(" ", 0.0)]]:
+    start = _K**3 - 1
+    for letter in plain[-3:]:
+        start = (start * _K + _CODE[letter]) % _K**3
+    states: dict[int, tuple[float, str]] = {start: (0.0, plain)}
+    for options in [*steps[first:], [(" ", 0.0)]]:
         coded = [(letters, [_CODE[x] for x in letters], cost) for letters, cost in options]
         following: dict[int, tuple[float, str]] = {}
         for state, (score, text) in states.items():
@@ -182,18 +207,18 @@ class _Tokens(dict):
         self.model = model
 
     def __missing__(self, token: str) -> str | None:
-        found = self._plain(token)
+        found = self.plain(token)
         if len(self) < _CACHED:
             self[token] = found
         return found
 
-    def _plain(self, token: str) -> str | None:
-        if token.isascii() and token.isalpha() and len(token) > 1:
-            plain = token.lower()
-            return viterbi(lattice(plain), self.model) if _LONG_RUN.search(plain) else plain
+    def plain(self, token: str) -> str | None:
         if len(token) == 1 and (token.isalpha() or token in STANDS_FOR):
             return None
         plain = fold(token)
+        core = plain.strip(_EDGES)
+        if core.isascii() and core.isalpha():
+            return viterbi(lattice(core), self.model) if _LONG_RUN.search(core) else core
         core = _TAIL.sub("", _HEAD.sub("", plain))
         if _PLAIN.fullmatch(core):
             return viterbi(lattice(core), self.model) if _LONG_RUN.search(core) else core
@@ -273,16 +298,16 @@ class _Kinds(dict):
     """Kinds of tokens under a lexicon, remembered for what a task sees again."""
 
     def __init__(self, scorer: Scorer, restorer: Restorer) -> None:
-        self.scorer, self.words = scorer, restorer.known
+        self.scorer, self.restorer = scorer, restorer
         self.begins = {u[:n] for u in scorer.lexicon if u.endswith(" ") for n in range(1, len(u) - 1)}
 
     def __missing__(self, token: str) -> int:
-        word = self.words[token]
+        word = self.restorer.known.plain(token)
         if word is None or (word and (word in self.begins or self.scorer.weight(word))):
             found = _TELLS
         else:
             found = _IDLE if word else _NONE
-        if len(self) < _CACHED:
+        if len(self) < _KINDS:
             self[token] = found
         return found
 
@@ -314,13 +339,23 @@ class Scorer:
         apart = word_score(last, self.model) + word_score(word, self.model) + BORDER if w else 0.0
         return w if w and word_score(last + word, self.model) > apart else 0.0
 
-    def evidence(self, restorer: Restorer, text: str, kinds: _Kinds) -> list[float]:
+    def kinds(self) -> _Kinds:
+        """Kinds of tokens under this lexicon; one table a worker, which its tasks share."""
+        if not hasattr(self, "_kinds"):
+            self._kinds = _Kinds(self, Restorer(self.model))
+        return self._kinds
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_kinds"}
+
+    def evidence(self, text: str) -> list[float]:
         """[1, strongest weight, what it has over 3, the next two, log of the rest], over different words.
 
         Most tokens neither weigh anything nor begin a word that does, and part
         their neighbours; only what stands between such tokens is looked at.
         """
-        tokens = text.split()
+        tokens, kinds = text.split(), self.kinds()
+        restorer = kinds.restorer
         found: dict[str, float] = {}
         for run in _TELLING.finditer(bytes(map(kinds.__getitem__, tokens))):
             last = ""
@@ -461,11 +496,9 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, max_rows: int =
     judges = [Scorer(model, _best(counted.where(F.col("half") != h), max_words), np.zeros(N_EVIDENCE)) for h in (0, 1)]
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(model)
-        kinds = [_Kinds(j, restorer) for j in judges]
         for batch in batches:
             halves = [(_half(t), (t or b"").decode()) for t in utf8(batch.column(1))]
-            x = [judges[h].evidence(restorer, t, kinds[h]) for h, t in halves]
+            x = [judges[h].evidence(t) for h, t in halves]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["label", "x"])
 
     other = rows.mapInArrow(weigh, "label int, x array<double>").toArrow()
@@ -491,10 +524,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column | None =
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        restorer = Restorer(shared.value.model)
-        kinds = _Kinds(shared.value, restorer)
         for batch in batches:
-            x = np.array([shared.value.evidence(restorer, t or "", kinds) for t in batch], dtype=np.float64).reshape(len(batch), N_EVIDENCE)
+            x = np.array([shared.value.evidence(t or "") for t in batch], dtype=np.float64).reshape(len(batch), N_EVIDENCE)
             yield pd.Series(shared.value.score(x))
 
     scored = docs.select("doc_id", score(F.col("text").cast("string")).alias("score"))
