@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.text import WordHashes, lower_words, odd_multipliers, shingle_set, utf8, window_hashes
+from claimloom.llm.text import WordHashes, in_steps, lower_words, odd_multipliers, shingle_set, utf8, window_hashes
 from claimloom.session import stage
 
 WORDS = 5
@@ -224,7 +224,7 @@ def _matched(docs: DataFrame, benchmark: DataFrame, percent: int) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             hashes = WordHashes()
-            for batch in batches:
+            for batch in in_steps(batches):
                 texts, rows, at = utf8(batch.column(1)), [], 0
                 ids = list(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()))
                 while at < len(texts):

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.llm.components import components, join_heavy
-from claimloom.llm.text import WordHashes, lower_words, mix, odd_multipliers, shingle_set, signed, utf8
+from claimloom.llm.text import WordHashes, in_steps, lower_words, mix, odd_multipliers, shingle_set, signed, utf8
 from claimloom.operators.ordinals import ORD, stage_in_order
 from claimloom.session import stage
 
@@ -59,7 +59,7 @@ def _signatures(words: int, r: int, bands: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in in_steps(batches):
             sizes, high, low, keys, sketches = [], [], [], [], []
             for text in utf8(batch.column(1)):
                 s = shingle_set(hashes.of(lower_words(text)), words)
@@ -99,7 +99,7 @@ def _sets(words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in in_steps(batches):
             sets = [shingle_set(hashes.of(lower_words(t)), words).tobytes() for t in utf8(batch.column(2))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(3), pa.array(sets, pa.binary())],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -12,6 +14,7 @@ SPACES = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
 _MASK = (1 << 64) - 1
 _CACHED_WORDS = 200_000
+STEP_ROWS = 500
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,6 +27,13 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+def in_steps(batches: Iterator[pa.RecordBatch], rows: int = STEP_ROWS) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what a task holds besides its batch stays small."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def lower_words(text: bytes | None) -> list[bytes]:
     """Words with A-Z in lower case; ``bytes`` methods touch ASCII only, which is what is wanted."""
     return (text or b"").lower().split()
