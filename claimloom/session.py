@@ -37,10 +37,16 @@ def local_session(cores: int | str = 8, app: str = "claimloom", **conf) -> Spark
 def work_folder(spark: SparkSession) -> str:
     """The cluster's shared folder for intermediate tables (``spark.checkpoint.dir``).
 
-    Where that is unset, a folder in the warehouse, which every executor can reach as well.
+    Where that is unset, a folder in the warehouse; on a cluster it must not be a
+    local one, which other machines cannot see.
     """
     shared = spark.conf.get("spark.checkpoint.dir", "")
-    return (shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
+    if shared:
+        return shared.rstrip("/")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    if folder.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share: the warehouse is a local folder")
+    return folder
 
 
 _run_folder: ContextVar[str | None] = ContextVar("claimloom_run_folder", default=None)
