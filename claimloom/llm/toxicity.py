@@ -289,9 +289,10 @@ def units(word: str) -> list[str]:
 
 
 N_EVIDENCE = 5
-#: What a token can do in a text: nothing, not even as a neighbour; be no word; all else.
-_IDLE, _NONE, _TELLS = 0, 1, 2
-_TELLING = re.compile(rb"\x02[\x01\x02]*\x00?")
+#: What a token can do in a text: nothing, not even as a neighbour; be no word; weigh something, or be one
+#: letter; begin a word of the lexicon, end one, or both, without any weight of its own.
+_IDLE, _NONE, _TELLS, _BEGINS, _ENDS, _BOTH = range(6)
+_TELLING = re.compile(rb"\x02|[\x03\x05]\x01*[\x04\x05]")
 
 
 class _Kinds(dict):
@@ -300,17 +301,29 @@ class _Kinds(dict):
     def __init__(self, scorer: Scorer, restorer: Restorer) -> None:
         self.scorer, self.restorer = scorer, restorer
         self.begins = {u[:n] for u in scorer.lexicon if u.endswith(" ") for n in range(1, len(u) - 1)}
+        self.ends = {u[n:-1] for u in scorer.lexicon if u.endswith(" ") for n in range(1, len(u) - 1)}
+        self.weights: dict[str, float] = {}
 
     def __missing__(self, token: str) -> int:
         word = self.restorer.known.plain(token)
-        if word is None or (word and (word in self.begins or self.scorer.weight(word))):
+        if word is None or (word and self.weight(word)):
             found = _TELLS
+        elif word:
+            found = (_IDLE, _BEGINS, _ENDS, _BOTH)[(word in self.begins) + 2 * (word in self.ends)]
         else:
-            found = _IDLE if word else _NONE
+            found = _NONE
         if len(self) < _KINDS:
             self[token] = found
         return found
 
+    def weight(self, word: str) -> float:
+        found = self.weights.get(word)
+        if found is None:
+            found = self.scorer.weight(word)
+            if len(self.weights) < _CACHED:
+                self.weights[word] = found
+        return found
+
 
 @dataclass
 class Scorer:
@@ -351,16 +364,21 @@ class Scorer:
     def evidence(self, text: str) -> list[float]:
         """[1, strongest weight, what it has over 3, the next two, log of the rest], over different words.
 
-        Most tokens neither weigh anything nor begin a word that does, and part
-        their neighbours; only what stands between such tokens is looked at.
+        Most tokens neither weigh anything nor begin or end a word that does, and
+        part their neighbours; only what stands between them is looked at, and only
+        where something weighs or two neighbours may be one word.
         """
         tokens, kinds = text.split(), self.kinds()
         restorer = kinds.restorer
         found: dict[str, float] = {}
-        for run in _TELLING.finditer(bytes(map(kinds.__getitem__, tokens))):
+        of, end = bytes(map(kinds.__getitem__, tokens)), 0
+        while run := _TELLING.search(of, end):
+            start, end = of.rfind(b"\0", end, run.start()) + 1 or end, of.find(b"\0", run.end())
+            if end < 0:
+                end = len(of)
             last = ""
-            for word in restorer.of_tokens(tokens[run.start() : run.end()]):
-                w = self.weight(word)
+            for word in restorer.of_tokens(tokens[start:end]):
+                w = kinds.weight(word)
                 if not w and last and len(last) + len(word) > 4:
                     w = self._joined(last, word)
                 if w:
