@@ -34,11 +34,15 @@ def first_per_key(df: DataFrame, key: str, order, columns: list[str]) -> DataFra
     return rows.select(key, *[F.col(f"_row.{c}").alias(c) for c in columns], ORD)
 
 
-def derive_members(claims: DataFrame, as_of: dt.date, order=ORD) -> DataFrame:
-    """One member per member_id, from the first claim that names it."""
+def derive_members(claims: DataFrame, as_of: dt.date, order=ORD, numbered: bool = False) -> DataFrame:
+    """One member per member_id, from the first claim that names it.
+
+    ``numbered`` says that the claims were numbered for want of ids: each is a
+    member's only one, and nothing is grouped.
+    """
     order = F.col(order) if isinstance(order, str) else order
     known = [c for c in ("age", "gender", "region") if c in claims.columns]
-    rows = first_per_key(claims, "member_id", order, known)
+    rows = claims.select("member_id", *known, order.alias(ORD)) if numbered else first_per_key(claims, "member_id", order, known)
     base = ROLE_DEFAULTS["members"]
     dob = dob_from_age(F.col("age").cast("string"), as_of) if "age" in known else F.lit(None).cast("date")
     return rows.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,7 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from claimloom.model import ROLE_DEFAULTS
 from claimloom.operators.keys import derive_members, derive_providers, ensure_claim_keys
-from claimloom.operators.mapping import apply_mapping, missing_to_null
+from claimloom.operators.mapping import apply_mapping, missing_to_null, rename_columns
 from claimloom.operators.ordinals import ORD, SRC_BLOCK, SRC_FILE, SRC_SEQ, add_file_ordinal, tag_source_order
 from claimloom.operators.validate import require_references
 from claimloom.session import stage
@@ -66,12 +67,13 @@ def _line_kind(line: Column, fields: int, sep: str) -> Column:
     return F.when(quotes % 2 == 1, "quote").when(found < fields, "short").otherwise("long")
 
 
-def split_bad_lines(staged: DataFrame, role: str, sep: str = ",") -> tuple[DataFrame, DataFrame]:
+def split_bad_lines(staged: DataFrame, role: str, sep: str = ",", fields: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(good rows in file order, quarantined lines) of a stored, tagged scan with bad lines.
 
     Good rows of a block are numbered anew, so that file order stays without gaps.
+    ``fields`` is the header's length where not all columns were stored.
     """
-    fields = len([c for c in staged.columns if not c.startswith("_")])
+    fields = fields or len([c for c in staged.columns if not c.startswith("_")])
     bad = staged.where(F.col(BAD_LINE).isNotNull()).select(
         F.lit(role).alias("role"), F.element_at(F.split(SRC_FILE, "/"), -1).alias("file"), F.col(SRC_SEQ).alias("position"),
         _line_kind(F.col(BAD_LINE), fields, sep).alias("kind"), F.col(BAD_LINE).alias("line"),
@@ -87,7 +89,9 @@ def line_counts(good: DataFrame, bad: DataFrame, role: str) -> DataFrame:
     return good.agg(F.count(F.lit(1)).alias("lines")).select(F.lit(role).alias("role"), F.lit("good").alias("kind"), "lines").unionByName(counts)
 
 
-def load_roles(spark: SparkSession, config: FeedConfig, quarantine: str | None = None) -> dict[str, DataFrame]:
+def load_roles(
+    spark: SparkSession, config: FeedConfig, quarantine: str | None = None, wanted: Mapping[str, Collection[str]] | None = None
+) -> dict[str, DataFrame]:
     """One mapped frame per configured role, each with its ``_ord`` file order.
 
     Every role is written once to the shared folder: the order of a text scan is
@@ -96,42 +100,60 @@ def load_roles(spark: SparkSession, config: FeedConfig, quarantine: str | None =
     With a ``quarantine`` folder, lines that do not fit the header are left out of
     the feed and written there (role, file, position, kind, line), a partition a
     role; without one they are read as Spark reads them, filled up or cut.
+
+    ``wanted`` names, per role, the model columns that the caller reads; other
+    columns of that role's file are not stored. Without it all are.
     """
     out = {}
     for role, path in config.files.items():
+        mapped = config.column_map.get(role, {})
         if quarantine is None:
             scan = scan_csv(spark, path, **config.csv_options)
-            staged = stage(tag_source_order(scan, missing_to_null(scan.columns)), role)
+            staged = stage(tag_source_order(scan, missing_to_null(_kept(scan, mapped, wanted, role))), role)
         else:
             scan = scan_with_bad_lines(spark, path, **config.csv_options)
-            named = [c for c in scan.columns if c != BAD_LINE]
-            rows = stage(tag_source_order(scan, [*missing_to_null(named), F.col(BAD_LINE)]), role)
-            good, bad = split_bad_lines(rows, role, config.csv_options.get("sep", ","))
+            header = scan.drop(BAD_LINE)
+            rows = stage(tag_source_order(scan, [*missing_to_null(_kept(header, mapped, wanted, role)), F.col(BAD_LINE)]), role)
+            good, bad = split_bad_lines(rows, role, config.csv_options.get("sep", ","), len(header.columns))
             bad.drop("role").write.mode("overwrite").parquet(f"{quarantine}/role={role}")
             staged = stage(good, role)
         defaults = {**ROLE_DEFAULTS.get(role, {}), **config.defaults.get(role, {})}
         ordered = add_file_ordinal(staged)
-        out[role] = apply_mapping(ordered, config.column_map.get(role, {}), defaults)
+        out[role] = apply_mapping(ordered, mapped, defaults)
     return out
 
 
+def _kept(scan: DataFrame, column_map: Mapping[str, str], wanted: Mapping[str, Collection[str]] | None, role: str) -> list[str]:
+    """Columns of a file whose model names are wanted; names that clash are an error for all columns."""
+    names = rename_columns(scan, column_map).columns
+    if wanted is None or role not in wanted:
+        return scan.columns
+    return [c for c, name in zip(scan.columns, names) if name in wanted[role]]
+
+
 def read_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     """All quarantined lines of a feed."""
     return spark.read.schema(QUARANTINE).parquet(folder)
 
 
-def load_feed(spark: SparkSession, config: FeedConfig, as_of: dt.date, quarantine: str | None = None) -> dict[str, DataFrame]:
+def load_feed(
+    spark: SparkSession, config: FeedConfig, as_of: dt.date, quarantine: str | None = None, wanted: Mapping[str, Collection[str]] | None = None
+) -> dict[str, DataFrame]:
     """Members, providers and claims of a feed, still in the feed's own key space.
 
     Derived dimensions are stored: several later steps read them, and each would
-    otherwise aggregate all claims again.
+    otherwise aggregate all claims again. Members of claims that came without ids
+    are the claims themselves; they are neither grouped nor stored.
     """
     if "claims" not in config.files:
         raise ValueError("a feed needs a file for the 'claims' role")
-    tables = load_roles(spark, config, quarantine)
+    tables = load_roles(spark, config, quarantine, wanted)
+    numbered = "member_id" not in tables["claims"].columns
     claims = tables["claims"] = ensure_claim_keys(tables["claims"])
     if "members" in config.files:
         require_references(claims, tables["members"], "member_id", "members")
+    elif numbered:
+        tables["members"] = derive_members(claims, as_of, ORD, numbered=True)
     else:
         tables["members"] = stage(derive_members(claims, as_of, ORD), "derived_members")
     if "providers" in config.files:

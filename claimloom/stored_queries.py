@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.model import PROVIDER
-from claimloom.operators import keys, mapping, validate
+from claimloom.operators import distinct, keys, mapping, validate
 from claimloom.operators.ordinals import ORD
 from claimloom.plans import adhoc, classifier, export, ingest, job, marts, quality, reports, warehouse
 from claimloom.queries import CLIENT_MAP, _labelled, client_feed, query
@@ -44,13 +44,16 @@ def ingest_files(spark: SparkSession, folder: str) -> DataFrame:
     tables = ingest.ingest(spark, FeedConfig("files", "Client with files", files, maps), new_path(spark, "operational"), AS_OF)
     claim, member = tables["claim"], tables["member"].select("member_id", "gender", "dob", F.col("region").alias("member_region"))
     joined = claim.join(tables["provider"].select("provider_id", "specialty", "in_network"), "provider_id").join(member, "member_id")
-    return joined.groupBy("specialty", "in_network", "gender", "member_region").agg(
+    by = ["specialty", "in_network", "gender", "member_region"]
+    sums = [
         F.count("*").alias("claims"),
-        F.count_distinct("claim_id").alias("ids"),
         F.sum("paid_amount").cast("double").alias("paid_total"),
         F.max("service_date").alias("last_service"),
         F.min("dob").alias("oldest"),
-    )
+    ]
+    # the load has checked that members and providers are unique, so the joins repeat no claim
+    out = distinct.distinct_by(joined, "claim_id", by, "ids", sums, ids=claim)
+    return out.select(*by, "claims", "ids", "paid_total", "last_service", "oldest")
 
 
 @query

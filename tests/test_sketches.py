@@ -181,3 +181,33 @@ def test_missing_counts_of_all_dimensions_at_once(spark, star):
     assert tuple(counts.first()) == (sum(plain_orphans(fact, dim).values()), sum(r.day not in listed for r in rows))
     assert "Exchange hashpartitioning" not in plan(counts)
     assert filters.missing_counts(fact, {"x": (dim.withColumn("member_id", F.col("member_id").cast("string")), "member_id", "member_id")}) is None
+
+
+# ---- ids per group, keys and references ------------------------------------------------
+def test_distinct_ids_of_groups(spark, rows):
+    """Repeated, null and missing ids in groups with a null key; the rows of a group that repeats none are only counted."""
+    ids = spark.range(0, 100_000, 1, 5).select(
+        F.when(F.col("id") % 101 != 0, F.when(F.col("id") % 1000 == 9, 9).otherwise(F.col("id"))).alias("claim_id"),
+        F.when(F.col("id") % 3 != 0, F.col("id") % 3).alias("a"), (F.col("id") % 2).alias("b"),
+    )
+    plain = ids.groupBy("a", "b").agg(F.count_distinct("claim_id").alias("ids"), F.count("*").alias("rows"))
+    found = distinct.distinct_by(ids, "claim_id", ["a", "b"], "ids", [F.count("*").alias("rows")], ids)
+    assert found.columns == plain.columns and rows(found) == rows(plain)
+    unique = ids.dropDuplicates(["claim_id"]).localCheckpoint()
+    once = distinct.distinct_by(unique, "claim_id", ["a", "b"], "ids", [], unique)
+    assert "distinct" not in plan(once) and "claim_id" not in " ".join(x for x in plan(once).split("\n") if "Exchange" in x)
+    assert rows(once) == rows(unique.groupBy("a", "b").agg(F.count_distinct("claim_id")))
+    gaps = ids.withColumn("claim_id", F.col("claim_id") * 1_000_003)
+    assert rows(distinct.distinct_by(gaps, "claim_id", ["a", "b"], "ids", [], gaps)) == rows(plain, "a", "b", "ids")
+
+
+def test_keys_and_references_by_bitmaps(spark):
+    dim = spark.range(1, 100_001).select(F.col("id").alias("k"))
+    fact = spark.range(0, 100_001).select(F.nullif("id", F.lit(0)).alias("k"))
+    assert distinct.is_key(dim, "k") and distinct.covers(dim, fact, "k")
+    assert not distinct.is_key(fact, "k")
+    assert not distinct.is_key(dim.unionByName(dim.where("k = 70000")), "k")
+    assert not distinct.covers(dim.where("k <> 70000"), fact, "k")
+    assert not distinct.covers(dim.where("k < 30000"), fact, "k")  # whole buckets that the dimension has not
+    assert not distinct.is_key(dim.select((F.col("k") * 1_000_003).alias("k")), "k")
+    assert distinct.covers(dim, fact.where("k < 0"), "k")
