@@ -127,22 +127,22 @@ def to_key(value: Column) -> Column:
     in a DOUBLE. Patterns go first because a failing cast costs an exception per
     row; only a text of 19 digits can still fail.
     """
+    plain = F.when(value.rlike(r"^\d{1,18}$"), value.cast("bigint"))  # most keys; the other patterns are not tried on them
     text = F.btrim(value, F.lit(" \t\r\n\f\x0b"))
     digits = F.regexp_replace(text, r"\.0*$", "")
     power = F.when(text.rlike(POWER), text.try_cast("double"))
-    return (
+    other = (
         F.when(digits.rlike(r"^[+-]?\d{1,18}$"), digits.cast("bigint"))
         .when(digits.rlike(r"^[+-]?\d+$"), digits.try_cast("bigint"))
         .otherwise(F.when(power == F.floor(power), power.try_cast("bigint")))
     )
+    return F.coalesce(plain, other)
 
 
 def strict_cast(value: Column, dtype, name: str) -> Column:
-    """Cast, but fail the job on a value that does not fit, whatever the ANSI setting."""
-    out = value.try_cast(dtype)
-    bad = value.isNotNull() & out.isNull()
+    """Cast, but fail the job on a value that does not fit, whatever the ANSI setting. A value that fits is cast once."""
     message = F.concat(F.lit(f"column '{name}' holds a value that is not a valid type: "), value.cast("string"))
-    return F.when(bad, F.raise_error(message)).otherwise(out)
+    return F.coalesce(value.try_cast(dtype), F.when(value.isNotNull(), F.raise_error(message).cast(dtype)))
 
 
 def cut_text(value: Column, width: int) -> Column:

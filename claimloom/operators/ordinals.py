@@ -58,12 +58,14 @@ def add_file_ordinal(staged: DataFrame) -> DataFrame:
 
     Positions within a block are consecutive, so a row's ordinal is its position
     plus a shift known per block. Only the block table goes through windows: one
-    row per block, and the file list the driver holds anyway. It is stored, so
-    that readers of the result do not count the rows again.
+    row per block, and the file list the driver holds anyway. The counts are
+    stored, so that the rows are counted once, and so are the shifts, so that
+    readers of the result do not count again.
     """
     blocks = staged.groupBy(SRC_FILE, SRC_BLOCK).agg(
         F.count("*").alias("_rows"), F.min(SRC_SEQ).alias("_first")
     )
+    blocks = stage(blocks, "block_counts")
     files = blocks.groupBy(SRC_FILE).agg(F.sum("_rows").alias("_file_rows"))
     files = files.select(SRC_FILE, _sum_before("_file_rows", Window.orderBy(SRC_FILE)).alias("_file_shift"))
     in_file = Window.partitionBy(SRC_FILE).orderBy(SRC_BLOCK)

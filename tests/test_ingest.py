@@ -275,3 +275,48 @@ def test_jdbc_options(tmp_path):
         jdbc_options({"user": "me"}, {})
     assert jdbc_options({"engine_url": "postgres://x@y/z"}, {})["url"] == "jdbc:postgresql://y/z"
     assert read_db_config(str(tmp_path / "absent.yaml")) == {}
+
+
+def test_load_stores_only_what_it_reads(spark, client, monkeypatch):
+    """The feed's own ids and columns without a place in the model are not stored; those members are derived from are."""
+    stored = {}
+    plain = feeds.stage
+    monkeypatch.setattr(feeds, "stage", lambda df, name: stored.setdefault(name, df) and plain(df, name))
+    config = client({"sex": "gender"}, claims="claim_id,member_id,provider_id,paid_amount,sex,age,region,more\nc1,1,10,5,F,30,East,x\n", providers="provider_id,more\n10,y\n")
+    tables = feeds.load_feed(spark, config, AS_OF, wanted=ingest.wanted_columns(config))
+    own = lambda role: [c for c in stored[role].columns if not c.startswith("_")]
+    assert own("claims") == ["member_id", "provider_id", "paid_amount", "sex", "age", "region"] and own("providers") == ["provider_id"]
+    assert tables["members"].first()["gender"] == "F"
+    config = client({"sex": "gender"}, claims="member_id,sex,gender\n1,F,F\n")
+    with pytest.raises(ValueError, match="more than one source column"):
+        feeds.load_feed(spark, config, AS_OF, wanted=ingest.wanted_columns(config))
+
+
+def test_numbered_claims_are_their_members_without_grouping(spark, client, rows):
+    config = client({}, claims="paid_amount,age\n1,30\n2,40\n3,x\n")
+    members = feeds.load_feed(spark, config, AS_OF)["members"]
+    assert "Aggregate" not in members._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(members, "member_id", "gender") == [(1, "U"), (2, "U"), (3, "U")]
+
+
+def test_written_tables_with_many_keys_are_checked(spark):
+    """Keys that bitmaps find broken are still named, at one claim a key."""
+    from claimloom.sources import store
+
+    member = spark.range(1, 2001).select(F.col("id").alias("member_id"))
+    claim = spark.range(1, 2001).select(F.col("id").alias("member_id"), F.lit(1).cast("bigint").alias("provider_id"))
+    provider = spark.range(1, 2).select(F.col("id").alias("provider_id"))
+    stats = lambda n: store.TableStats(n, {}, {})
+    seen = {"member": stats(2000), "provider": stats(1), "claim": stats(2000)}
+    ingest.check_operational({"member": member, "provider": provider, "claim": claim}, seen)
+    with pytest.raises(ValueError, match="1 member_id.*: 7$"):
+        ingest.check_operational({"member": member.where("member_id <> 7"), "provider": provider, "claim": claim}, seen)
+    with pytest.raises(ValueError, match="1 repeated keys"):
+        ingest.check_operational({"member": member.unionByName(member.where("member_id = 7")), "provider": provider, "claim": claim}, seen)
+
+
+@pytest.mark.parametrize("text, key", [("7", 7), ("007", 7), ("7.0", 7), (" 7 ", 7), ("-7", -7), ("1e3", 1000), ("999999999999999999", 10**18 - 1), ("7x", None), ("7.5", None), ("", None), (None, None)])
+def test_plain_and_other_spellings_of_keys(spark, text, key):
+    from claimloom.functions.exprs import to_key
+
+    assert spark.createDataFrame([(text,)], "t string").select(to_key(F.col("t"))).first()[0] == key
