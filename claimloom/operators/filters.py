@@ -21,6 +21,8 @@ from claimloom.session import stage
 
 #: Most words of a filter: 16 MB as (word, bits). Nothing larger is broadcast.
 MAX_WORDS = 1 << 20
+#: Class numbers of a key are a byte; 0 is no key.
+MAX_CLASSES = 255
 ERROR_RATE = 0.01
 _SEED_WORD, _SEED_BITS = 11, 12
 _WORD_BITS = 64
@@ -131,6 +133,45 @@ def known_rows(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return members.probe(fact, key, "_known").where("_known").drop("_known")
 
 
+def classed_rows(fact: DataFrame, dim: DataFrame, key: str, columns: list[str]) -> DataFrame | None:
+    """``fact`` inner joined to the ``columns`` of a dimension, without moving a fact row.
+
+    Whole-number keys that lie close together, and columns of at most 255 value
+    pairs in all: a 64-bit word holds the class numbers of eight keys, 0 for none.
+    None where that is not so, where the words would be more than ``MAX_WORDS``,
+    or where a key occurs twice, whose rows a join repeats.
+    """
+    number = _number(dim, key)
+    if number is None or _number(fact, key) is None:
+        return None
+    rows = dim.where(F.col(key).isNotNull()).select(key, *columns)
+    word, slot = F.shiftright(number, 3), number.bitwiseAND(7).cast("int")
+    if rows.agg(F.approx_count_distinct(word)).first()[0] > MAX_WORDS:
+        return None
+    values = rows.select(*columns).distinct().limit(MAX_CLASSES + 1).collect()
+    if len(values) > MAX_CLASSES:
+        return None
+    kinds = ", ".join(f"`{c}` {kind}" for c, kind in rows.select(*columns).dtypes)
+    classes = dim.sparkSession.createDataFrame([(i + 1, *v) for i, v in enumerate(values)], f"_class bigint, {kinds}")
+    named = classes.select("_class", *[F.col(c).alias(f"_of_{c}") for c in columns])
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    shift = lambda value, by: F.call_function("shiftleft", value, by)
+    numbered = rows.join(F.broadcast(named), same).select(word.alias("_word"), slot.alias("slot"), "_class")
+    words = numbered.groupBy("_word").agg(
+        F.bit_or(shift(F.col("_class"), F.col("slot") * 8)).alias("_classes"), F.bit_count(F.bit_or(shift(F.lit(1), F.col("slot")))).alias("keys"), F.count("*").alias("rows")
+    )
+    words = stage(words, "key_classes")
+    total = words.agg(F.count("*").alias("words"), F.coalesce(F.sum(F.col("rows") - F.col("keys")), F.lit(0)).alias("surplus")).first()
+    if total["words"] > MAX_WORDS or total["surplus"]:
+        return None
+    number = _number(fact, key)
+    found = fact.join(F.broadcast(words.select("_word", "_classes")), F.shiftright(number, 3) == F.col("_word"))
+    placed = F.call_function("shiftright", F.col("_classes"), (number.bitwiseAND(7) * 8).cast("int")).bitwiseAND(MAX_CLASSES)
+    return found.withColumn("_place", placed).join(F.broadcast(classes), F.col("_place") == F.col("_class")).drop("_word", "_classes", "_place", "_class")
+
+
 def missing_counts(fact: DataFrame, dims: dict[str, tuple[DataFrame, str, str]]) -> DataFrame | None:
     """One row: fact rows without a dimension row per name, all in one pass over the fact and without moving it.
 

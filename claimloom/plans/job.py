@@ -17,7 +17,7 @@ from claimloom.sources.config import FeedConfig
 
 def report_frames(tables: Mapping[str, DataFrame], as_of: dt.date) -> dict[str, DataFrame]:
     """The five reports; the fact is joined and scanned once for all of them."""
-    measures = reports.member_measures(tables["claim"], tables["member"], tables["provider"], as_of)
+    measures = reports.batch_measures(tables["claim"], tables["member"], tables["provider"], as_of)
     return reports.reports_of(stage(reports.rollups(reports.claim_cube(measures)), "rollups"))
 
 

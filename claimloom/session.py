@@ -103,5 +103,5 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     ``checkpoint()``, so that later readers prune columns.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

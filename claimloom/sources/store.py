@@ -85,7 +85,7 @@ def publish(
         keys = (partition_by or {}).get(name)
         rows, counted = observed(df)
         writer = rows.write.partitionBy(*keys) if keys else rows.write
-        writer.parquet(f"{versions}/{version}/{name}")
+        writer.option("compression", "zstd").parquet(f"{versions}/{version}/{name}")
         stats[name] = counted()
         written[name] = spark.read.schema(df.schema).parquet(f"{versions}/{version}/{name}")
         logger.info("%s: %d rows", name, stats[name].rows)

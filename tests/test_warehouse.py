@@ -179,3 +179,37 @@ def test_synthetic_rows_do_not_depend_on_partitions(spark, rows):
     assert people[0] == 18 and people[1] <= 80 and (people[2], people[3]) == (50, 99)
     ages = synthetic.members(spark, 5000, AS_OF).agg(F.min("dob"), F.max("dob")).first()
     assert ages[0] >= dt.date(1944, 2, 28) and ages[1] < dt.date(2006, 3, 1)
+
+
+def test_batch_looks_members_up_where_the_claims_are(spark, rows):
+    """The same measures as by sums per member, with null attributes, unknown and null members; no claim is shuffled for them."""
+    from claimloom.operators.filters import classed_rows
+    from claimloom.plans import reports
+    from claimloom.sources.sample_tables import AS_OF, SampleTables
+
+    t = SampleTables(spark, "/root/testdata/sf0.001")
+    member = F.when(F.crc32("claim_id") % 9 == 0, F.lit(None)).when(F.crc32("claim_id") % 9 == 1, F.col("member_id") - 10_000_000).otherwise(F.col("member_id"))
+    claims = t.claims().withColumn("member_id", member)
+    expected = reports.claim_cube(reports.member_measures(claims, t.members(), t.providers(), AS_OF))
+    found = reports.batch_measures(claims, t.members(), t.providers(), AS_OF)
+    assert "Exchange hashpartitioning(member_id" not in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(reports.claim_cube(found)) == rows(expected) and expected.count() > 100
+
+    twice = t.members().unionByName(t.members().limit(1))
+    assert classed_rows(claims, twice, "member_id", ["gender"]) is None
+    assert rows(reports.claim_cube(reports.batch_measures(claims, twice, t.providers(), AS_OF))) == rows(reports.claim_cube(reports.member_measures(claims, twice, t.providers(), AS_OF)))
+    odd = spark.createDataFrame([(i, i % 255 if i % 3 else None) for i in range(-300, 300)], "k bigint, v bigint")
+    fact = spark.range(-400, 400).select(F.col("id").alias("k"))
+    assert rows(classed_rows(fact, odd, "k", ["v"])) == rows(fact.join(odd, "k"))
+    assert classed_rows(fact, odd.withColumn("v", F.col("k")), "k", ["v"]) is None
+
+
+def test_stored_tables_are_written_small(spark, tmp_path):
+    """Work files and tables are compressed with zstd, which takes a third less of a claim than Spark's default."""
+    import glob
+
+    from claimloom.session import stage
+
+    store.publish(spark, str(tmp_path), {"t": spark.range(10)})
+    assert all(".zstd." in f for f in glob.glob(f"{tmp_path}/versions/*/t/part-*"))
+    assert all(".zstd." in f for f in stage(spark.range(10), "t").inputFiles())
