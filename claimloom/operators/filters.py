@@ -133,6 +133,18 @@ def known_rows(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return members.probe(fact, key, "_known").where("_known").drop("_known")
 
 
+def all_known(fact: DataFrame, dim: DataFrame, key: str) -> bool:
+    """Whether every non-null key of ``fact`` is one of ``dim``, by an exact filter: no fact row is shuffled.
+
+    False as well where there is no exact filter of bounded size, which is not looked at further.
+    """
+    members = _exact(dim, key) if _number(fact, key) is not None else None
+    if members is None:
+        return False
+    probed = members.probe(fact.select(key).where(F.col(key).isNotNull()), key, "_known")
+    return probed.where(~F.col("_known")).isEmpty()
+
+
 def classed_rows(fact: DataFrame, dim: DataFrame, key: str, columns: list[str]) -> DataFrame | None:
     """``fact`` inner joined to the ``columns`` of a dimension, without moving a fact row.
 

@@ -34,15 +34,46 @@ def first_per_key(df: DataFrame, key: str, order, columns: list[str]) -> DataFra
     return rows.select(key, *[F.col(f"_row.{c}").alias(c) for c in columns], ORD)
 
 
-def derive_members(claims: DataFrame, as_of: dt.date, order=ORD, numbered: bool = False) -> DataFrame:
+#: Value sets of a claim's member attributes that are numbered; 15 bits, so that ordinals have 48.
+MAX_CLASSES, CLASS_BITS = (1 << 15) - 1, 15
+
+
+def first_by_class(df: DataFrame, key: str, columns: list[str]) -> DataFrame | None:
+    """``first_per_key`` by ``_ord`` where the columns have few different value sets; None where they have many.
+
+    The sets are numbered, so that a key's first row is the least of one number:
+    that is a hash aggregate, where texts would have all rows sorted by key.
+    """
+    values = df.select(*columns).distinct().limit(MAX_CLASSES + 1).collect()
+    if len(values) > MAX_CLASSES:
+        return None
+    kinds = ", ".join(f"`{c}` {kind}" for c, kind in df.select(*columns).dtypes)
+    classes = df.sparkSession.createDataFrame([(i, *v) for i, v in enumerate(values)], f"_class bigint, {kinds}")
+    named = classes.select("_class", *[F.col(c).alias(f"_of_{c}") for c in columns])
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    numbered = df.select(key, ORD, *columns).join(F.broadcast(named), same)
+    place = F.shiftleft(ORD, CLASS_BITS).bitwiseOR(F.col("_class"))
+    firsts = numbered.groupBy(key).agg(F.min(place).alias("_place"))
+    firsts = firsts.select(key, F.shiftright("_place", CLASS_BITS).alias(ORD), F.col("_place").bitwiseAND(MAX_CLASSES).alias("_number"))
+    return firsts.join(F.broadcast(classes), F.col("_number") == F.col("_class")).select(key, *columns, ORD)
+
+
+def derive_members(claims: DataFrame, as_of: dt.date, order=ORD, numbered: bool = False, stored: bool = False) -> DataFrame:
     """One member per member_id, from the first claim that names it.
 
     ``numbered`` says that the claims were numbered for want of ids: each is a
-    member's only one, and nothing is grouped.
+    member's only one, and nothing is grouped. ``stored`` says that claims are
+    stored rows with ``_ord``, which may be read twice.
     """
     order = F.col(order) if isinstance(order, str) else order
     known = [c for c in ("age", "gender", "region") if c in claims.columns]
-    rows = claims.select("member_id", *known, order.alias(ORD)) if numbered else first_per_key(claims, "member_id", order, known)
+    rows = first_by_class(claims, "member_id", known) if stored and known else None
+    if numbered:
+        rows = claims.select("member_id", *known, order.alias(ORD))
+    elif rows is None:
+        rows = first_per_key(claims, "member_id", order, known)
     base = ROLE_DEFAULTS["members"]
     dob = dob_from_age(F.col("age").cast("string"), as_of) if "age" in known else F.lit(None).cast("date")
     return rows.select(

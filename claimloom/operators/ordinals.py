@@ -32,6 +32,26 @@ def tag_source_order(scan: DataFrame, columns: list[Column]) -> DataFrame:
     )
 
 
+def tag_by_file(scan: DataFrame, columns: list[Column]) -> tuple[DataFrame, DataFrame | None]:
+    """``tag_source_order`` with a hash of the path for a tag, and the paths for ``add_file_ordinal``.
+
+    A number costs a tenth of a long path to store and to join by; the driver's
+    list of the files gives the paths back. Should two paths have one hash, rows
+    carry the paths.
+    """
+    paths = scan.sparkSession.createDataFrame([(path,) for path in set(scan.inputFiles())], "_path string")
+    paths = paths.select(F.xxhash64("_path").alias(SRC_FILE), "_path")
+    if not paths.groupBy(SRC_FILE).count().where("count > 1").isEmpty():
+        return tag_source_order(scan, columns), None
+    rows = scan.select(
+        *columns,
+        F.xxhash64(F.input_file_name()).alias(SRC_FILE),  # spelt as the list spells it
+        F.col("_metadata.file_block_start").alias(SRC_BLOCK),
+        F.monotonically_increasing_id().alias(SRC_SEQ),
+    )
+    return rows, paths
+
+
 def stage_in_order(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Sort, store, and add ``_ord`` by position: an ordinal in the order of ``keys``.
 
@@ -53,9 +73,11 @@ def _sum_before(value: str, window) -> Column:
     return F.coalesce(F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
-def add_file_ordinal(staged: DataFrame) -> DataFrame:
+def add_file_ordinal(staged: DataFrame, paths: DataFrame | None = None) -> DataFrame:
     """Replace the source tags by ``_ord``: 0, 1, 2, ... in file-name and row order.
 
+    ``paths`` gives the path (``_path``) of each file where the tag is not the path itself.
+
     Positions within a block are consecutive, so a row's ordinal is its position
     plus a shift known per block. Only the block table goes through windows: one
     row per block, and the file list the driver holds anyway. The counts are
@@ -67,7 +89,11 @@ def add_file_ordinal(staged: DataFrame) -> DataFrame:
     )
     blocks = stage(blocks, "block_counts")
     files = blocks.groupBy(SRC_FILE).agg(F.sum("_rows").alias("_file_rows"))
-    files = files.select(SRC_FILE, _sum_before("_file_rows", Window.orderBy(SRC_FILE)).alias("_file_shift"))
+    by = SRC_FILE
+    if paths is not None:
+        by, lost = "_path", F.raise_error(F.lit("a file of the scan is not in the list of its files")).cast("string")
+        files = files.join(paths, SRC_FILE, "left").withColumn(by, F.coalesce(by, lost))
+    files = files.select(SRC_FILE, _sum_before("_file_rows", Window.orderBy(by)).alias("_file_shift"))
     in_file = Window.partitionBy(SRC_FILE).orderBy(SRC_BLOCK)
     shifts = (
         blocks.withColumn("_block_shift", _sum_before("_rows", in_file))

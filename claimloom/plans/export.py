@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from claimloom.model import EMPTY_SHEET, METRICS_SHEET, SHEETS
 from claimloom.operators.validate import require_report_columns
-from claimloom.operators.ordinals import ORD, add_file_ordinal, tag_source_order
+from claimloom.operators.ordinals import ORD, add_file_ordinal, tag_by_file
 from claimloom.plans.reports import in_report_order
 from claimloom.session import stage
 from claimloom.sources.feeds import read_optional, scan_csv
@@ -34,7 +34,8 @@ def write_csv(df: DataFrame, path: str, file_rows: int = FILE_ROWS) -> None:
 def read_csv_in_order(spark: SparkSession, path: str) -> DataFrame:
     """What ``write_csv`` wrote, with ``_ord``: 0, 1, 2, ... in the order in which it was written."""
     scan = scan_csv(spark, path)
-    return add_file_ordinal(stage(tag_source_order(scan, [F.col(f"`{c}`") for c in scan.columns]), "ordered_csv"))
+    rows, paths = tag_by_file(scan, [F.col(f"`{c}`") for c in scan.columns])
+    return add_file_ordinal(stage(rows, "ordered_csv"), paths)
 
 
 def write_reports(reports: Mapping[str, DataFrame], folder: str, file_rows: int = FILE_ROWS) -> None:

@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from claimloom.model import ROLE_DEFAULTS
 from claimloom.operators.keys import derive_members, derive_providers, ensure_claim_keys
 from claimloom.operators.mapping import apply_mapping, missing_to_null, rename_columns
-from claimloom.operators.ordinals import ORD, SRC_BLOCK, SRC_FILE, SRC_SEQ, add_file_ordinal, tag_source_order
+from claimloom.operators.ordinals import ORD, SRC_BLOCK, SRC_FILE, SRC_SEQ, add_file_ordinal, tag_by_file, tag_source_order
 from claimloom.operators.validate import require_references
 from claimloom.session import stage
 from claimloom.sources.config import FeedConfig
@@ -109,16 +109,17 @@ def load_roles(
         mapped = config.column_map.get(role, {})
         if quarantine is None:
             scan = scan_csv(spark, path, **config.csv_options)
-            staged = stage(tag_source_order(scan, missing_to_null(_kept(scan, mapped, wanted, role))), role)
+            rows, paths = tag_by_file(scan, missing_to_null(_kept(scan, mapped, wanted, role)))
+            staged = stage(rows, role)
         else:
             scan = scan_with_bad_lines(spark, path, **config.csv_options)
             header = scan.drop(BAD_LINE)
             rows = stage(tag_source_order(scan, [*missing_to_null(_kept(header, mapped, wanted, role)), F.col(BAD_LINE)]), role)
             good, bad = split_bad_lines(rows, role, config.csv_options.get("sep", ","), len(header.columns))
             bad.drop("role").write.mode("overwrite").parquet(f"{quarantine}/role={role}")
-            staged = stage(good, role)
+            staged, paths = stage(good, role), None
         defaults = {**ROLE_DEFAULTS.get(role, {}), **config.defaults.get(role, {})}
-        ordered = add_file_ordinal(staged)
+        ordered = add_file_ordinal(staged, paths)
         out[role] = apply_mapping(ordered, mapped, defaults)
     return out
 
@@ -155,7 +156,7 @@ def load_feed(
     elif numbered:
         tables["members"] = derive_members(claims, as_of, ORD, numbered=True)
     else:
-        tables["members"] = stage(derive_members(claims, as_of, ORD), "derived_members")
+        tables["members"] = stage(derive_members(claims, as_of, stored=True), "derived_members")
     if "providers" in config.files:
         require_references(claims, tables["providers"], "provider_id", "providers")
     else:

@@ -320,3 +320,34 @@ def test_plain_and_other_spellings_of_keys(spark, text, key):
     from claimloom.functions.exprs import to_key
 
     assert spark.createDataFrame([(text,)], "t string").select(to_key(F.col("t"))).first()[0] == key
+
+
+def test_first_claims_are_found_without_a_sort(spark, rows, monkeypatch):
+    """Numbered value sets give the rows that an aggregate over texts gives, null values and a null key included."""
+    claims = claims_frame(spark, ["1", "2", None, "1", None, "3"], ("10",) * 6).withColumn("region", F.when(F.col(ORD) > 0, F.col("region")))
+    known = ["age", "gender", "region"]
+    out = keys.first_by_class(claims, "member_id", known)
+    assert rows(out) == rows(keys.first_per_key(claims, "member_id", ORD, known).select(out.columns))
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(keys, "MAX_CLASSES", 2)
+    assert keys.first_by_class(claims, "member_id", known) is None
+    assert rows(keys.derive_members(claims, AS_OF, stored=True)) == rows(keys.derive_members(claims, AS_OF))
+
+
+def test_references_are_checked_where_the_claims_are(spark, monkeypatch):
+    """Many claims a key: no claim is counted per key unless one has no member."""
+    from claimloom.sources import store
+
+    member = spark.range(1, 101).select(F.col("id").alias("member_id"))
+    provider = spark.range(1, 3).select(F.col("id").alias("provider_id"))
+    claim = spark.range(0, 2000).select((F.col("id") % 100 + 1).alias("member_id"), F.when(F.col("id") > 0, F.col("id") % 2 + 1).alias("provider_id"))
+    stats = lambda n: store.TableStats(n, {}, {})
+    seen = {"member": stats(100), "provider": stats(2), "claim": stats(2000)}
+    with pytest.raises(ValueError, match="1 member_id.*: 7$"):
+        ingest.check_operational({"member": member.where("member_id <> 7"), "provider": provider, "claim": claim}, seen)
+
+    def refuse(*_):
+        raise AssertionError("claims were counted per key")
+
+    monkeypatch.setattr(ingest, "require_references", refuse)
+    ingest.check_operational({"member": member, "provider": provider, "claim": claim}, seen)

@@ -82,6 +82,26 @@ def test_file_ordinal_follows_names_and_lines(spark, tmp_path):
     assert [r[ordinals.ORD] for r in got] == list(range(len(expected)))
 
 
+def test_stored_rows_carry_no_paths(spark, tmp_path):
+    """Odd file names, a folder with a blank, many blocks: the order is that of the paths, and a row's file is a number."""
+    home, expected = tmp_path / "in 100%", []
+    home.mkdir()
+    for name, n in [("a b.csv", 900), ("a%20c.csv", 5), ("b#+.csv", 700), ("\u00fc.csv", 40)]:
+        (home / name).write_text("v\n" + "".join(f"{name}-{i:05d}\n" for i in range(n)))
+        expected += [f"{name}-{i:05d}" for i in range(n)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    spark.conf.set("spark.sql.files.openCostInBytes", "64")
+    try:
+        tagged, paths = ordinals.tag_by_file(spark.read.option("header", True).csv(str(home)), [F.col("v")])
+        out = ordinals.add_file_ordinal(stage(tagged, "lines"), paths)
+        got = out.orderBy(ordinals.ORD).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [tuple(r) for r in got] == [(v, i) for i, v in enumerate(expected)]
+    assert "_src_file:bigint" in out._jdf.queryExecution().executedPlan().toString().replace(" ", "")
+
+
 @pytest.mark.parametrize("bucket", [1, 100, 1000, 1 << 20])
 def test_number_by_ordinal_closes_gaps(spark, bucket):
     rng = random.Random(3)
