@@ -6,14 +6,14 @@ import datetime as dt
 from collections.abc import Collection, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from claimloom.model import ROLE_DEFAULTS
 from claimloom.operators.keys import derive_members, derive_providers, ensure_claim_keys
 from claimloom.operators.mapping import apply_mapping, missing_to_null, rename_columns
-from claimloom.operators.ordinals import ORD, SRC_BLOCK, SRC_FILE, SRC_SEQ, add_file_ordinal, tag_by_file, tag_source_order
+from claimloom.operators.ordinals import ORD, add_file_ordinal, tag_by_file
 from claimloom.operators.validate import require_references
 from claimloom.session import stage
 from claimloom.sources.config import FeedConfig
@@ -53,10 +53,12 @@ def scan_with_bad_lines(spark: SparkSession, path: str, **options) -> DataFrame:
 
     A value with an unquoted separator makes its line too long, a quote that is
     never closed too short. Without this column Spark fills such lines up or cuts them.
+    Lines are parsed whole whatever columns are read: Spark would otherwise count
+    the fields of those columns only, and find no line bad.
     """
     header = scan_csv(spark, path, **options).columns
     fields = StructType([StructField(c, StringType()) for c in [*header, BAD_LINE]])
-    checks = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE, "enforceSchema": True, **options}
+    checks = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE, "enforceSchema": True, "columnPruning": False, **options}
     return spark.read.schema(fields).option("header", True).option("quote", '"').option("escape", '"').options(**checks).csv(path)
 
 
@@ -67,20 +69,22 @@ def _line_kind(line: Column, fields: int, sep: str) -> Column:
     return F.when(quotes % 2 == 1, "quote").when(found < fields, "short").otherwise("long")
 
 
-def split_bad_lines(staged: DataFrame, role: str, sep: str = ",", fields: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(good rows in file order, quarantined lines) of a stored, tagged scan with bad lines.
+def bad_lines(scan: DataFrame, role: str, sep: str = ",") -> DataFrame:
+    """Quarantined lines of a scan with bad lines, by file, position in the scan, and kind.
 
-    Good rows of a block are numbered anew, so that file order stays without gaps.
-    ``fields`` is the header's length where not all columns were stored.
+    A second pass over the text: numbering the good rows as they are read needs
+    neither a sort nor a second copy of them, which cost more than the pass.
+    Positions are only stable once written.
     """
-    fields = fields or len([c for c in staged.columns if not c.startswith("_")])
-    bad = staged.where(F.col(BAD_LINE).isNotNull()).select(
-        F.lit(role).alias("role"), F.element_at(F.split(SRC_FILE, "/"), -1).alias("file"), F.col(SRC_SEQ).alias("position"),
-        _line_kind(F.col(BAD_LINE), fields, sep).alias("kind"), F.col(BAD_LINE).alias("line"),
-    )
-    in_block = Window.partitionBy(SRC_FILE, SRC_BLOCK).orderBy(SRC_SEQ)
-    good = staged.where(F.col(BAD_LINE).isNull()).withColumn(SRC_SEQ, F.row_number().over(in_block).cast("bigint")).drop(BAD_LINE)
-    return good, bad
+    first, *_ = header = scan.drop(BAD_LINE).columns
+    tagged = scan.select(
+        F.col(BAD_LINE),
+        F.coalesce(BAD_LINE, F.col(f"`{first}`")).alias("line"),  # Spark refuses a scan of nothing but bad lines
+        F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"),
+        F.monotonically_increasing_id().alias("position"),
+    )
+    kind = _line_kind(F.col("line"), len(header), sep).alias("kind")
+    return tagged.where(F.col(BAD_LINE).isNotNull()).select(F.lit(role).alias("role"), "file", "position", kind, "line")
 
 
 def line_counts(good: DataFrame, bad: DataFrame, role: str) -> DataFrame:
@@ -109,17 +113,16 @@ def load_roles(
         mapped = config.column_map.get(role, {})
         if quarantine is None:
             scan = scan_csv(spark, path, **config.csv_options)
-            rows, paths = tag_by_file(scan, missing_to_null(_kept(scan, mapped, wanted, role)))
-            staged = stage(rows, role)
+            kept = _kept(scan, mapped, wanted, role)
         else:
             scan = scan_with_bad_lines(spark, path, **config.csv_options)
-            header = scan.drop(BAD_LINE)
-            rows = stage(tag_source_order(scan, [*missing_to_null(_kept(header, mapped, wanted, role)), F.col(BAD_LINE)]), role)
-            good, bad = split_bad_lines(rows, role, config.csv_options.get("sep", ","), len(header.columns))
+            kept = _kept(scan.drop(BAD_LINE), mapped, wanted, role)
+            bad = bad_lines(scan, role, config.csv_options.get("sep", ","))
             bad.drop("role").write.mode("overwrite").parquet(f"{quarantine}/role={role}")
-            staged, paths = stage(good, role), None
+            scan = scan.where(F.col(BAD_LINE).isNull())
+        rows, paths = tag_by_file(scan, missing_to_null(kept))
+        ordered = add_file_ordinal(stage(rows, role), paths)
         defaults = {**ROLE_DEFAULTS.get(role, {}), **config.defaults.get(role, {})}
-        ordered = add_file_ordinal(staged, paths)
         out[role] = apply_mapping(ordered, mapped, defaults)
     return out
 

@@ -93,6 +93,24 @@ def test_bad_lines_are_quarantined(spark, tmp_path):
     }
 
 
+def test_bad_lines_are_found_where_not_all_columns_are_read(spark, tmp_path):
+    """Good rows are numbered without gaps, block by block, as they are read: no window, and stored once."""
+    lines = [f"{i}" if i % 10 == 3 else f"{i},n,1,more" if i % 10 == 7 else f"{i},n,1" for i in range(3000)]
+    (tmp_path / "f.csv").write_text("key,name,amount\n" + "\n".join(lines) + "\n")
+    config = FeedConfig("q", "q", {"members": str(tmp_path / "f.csv")}, {})
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    spark.conf.set("spark.sql.files.openCostInBytes", "64")
+    try:
+        found = feeds.load_roles(spark, config, f"{tmp_path}/quarantine", {"members": {"key"}})["members"]
+        got = [(int(r.key), r._ord) for r in found.orderBy("_ord").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == [(k, i) for i, k in enumerate(k for k in range(3000) if k % 10 not in (3, 7))]
+    bad = feeds.read_quarantine(spark, f"{tmp_path}/quarantine").orderBy("position").collect()
+    assert [(r.kind, int(r.line.split(",")[0])) for r in bad] == [("short" if k % 10 == 3 else "long", k) for k in range(3000) if k % 10 in (3, 7)]
+
+
 def test_files_keep_the_order(spark, tmp_path):
     rows = spark.range(0, 5000, 1, 4).select(((F.col("id") * 7919) % 5000).alias("k"), F.lit('a "b", c').alias("t"))
     path = f"{tmp_path}/sorted"
