@@ -351,3 +351,12 @@ def test_references_are_checked_where_the_claims_are(spark, monkeypatch):
 
     monkeypatch.setattr(ingest, "require_references", refuse)
     ingest.check_operational({"member": member, "provider": provider, "claim": claim}, seen)
+
+
+def test_members_of_claims_without_ids_are_counted_without_a_shuffle_of_them(spark):
+    from claimloom.queries import QUERIES
+
+    out = QUERIES["ingest_without_ids"](spark, "/root/testdata/sf0.001")
+    assert "distinct" not in out._jdf.queryExecution().optimizedPlan().toString()
+    row = out.first()
+    assert row.claim_members == row.claims == row.members == row.last_member
